@@ -18,10 +18,13 @@ def child_rows(details: DataFrame, column: str, key: str = "listing_id") -> Data
 
 
 def first_week(
-    rates: DataFrame, week: Column, key: str = "listing_id", pos: str = "pos"
+    rates: DataFrame,
+    week: Column,
+    key: str = "listing_id",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """First rate entry per listing whose date is the target week."""
-    return dedupe_first(rates.filter(week), [key], [pos])
+    return dedupe_first(rates.filter(week), [key], order or ["pos"])
 
 
 def week_of_list(weeks: Column, date_field: str, target: str) -> Column:
@@ -35,9 +38,10 @@ def available_week(
     arrive: str = "arrive",
     open_flag: str | None = "is_available",
     rate: str = "weekly_rate",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Per listing the target week's first entry, if it is open and priced."""
-    first = first_week(rates, F.col(arrive) == target)
+    first = first_week(rates, F.col(arrive) == target, order=order)
     if open_flag:
         first = first.filter(F.col(open_flag))
     return first.filter(F.col(rate).isNotNull())
