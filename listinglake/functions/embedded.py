@@ -2,6 +2,9 @@
 
 Spark's JSON reader stops at the end of the first complete value, so text that
 follows an embedded object needs no bracket counting: cut at the start, parse.
+
+Each function names its argument once.  The arguments are parses themselves, and a
+second mention inside one expression would be a second parse.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
 from listinglake.functions.arrays import first_where
-from listinglake.functions.text import group, strip
+from listinglake.functions.text import group
 
 
 def script_json(body: Column, script_pattern: str) -> Column:
@@ -21,10 +24,7 @@ def script_json(body: Column, script_pattern: str) -> Column:
 
 def json_after_marker(body: Column, marker: str) -> Column:
     """Text from the first ``{`` behind the marker; null when either is missing."""
-    at = F.instr(body, marker)
-    tail = F.when(at > 0, F.substring(body, at + len(marker), F.length(body)))
-    brace = F.instr(tail, "{")
-    return F.when(brace > 0, F.substring(tail, brace, F.length(tail)))
+    return group(body, rf"(?s)\Q{marker}\E[^{{]*(\{{.*)")
 
 
 def array_after_key(body: Column, key_pattern: str) -> Column:
@@ -34,13 +34,9 @@ def array_after_key(body: Column, key_pattern: str) -> Column:
 
 def anti_hijack_json(text: Column) -> Column:
     """JSON object text without the guarding prefix; short or other text -> null."""
-    prefix = fv.REDFIN_TEXT_PREFIX
-    clean = strip(
-        F.when(
-            text.startswith(prefix), F.substring(text, len(prefix) + 1, F.length(text))
-        ).otherwise(text)
+    return group(
+        text, rf"(?s)^(?=.{{5}})(?:\Q{fv.REDFIN_TEXT_PREFIX}\E)?[\s\p{{Z}}]*(\{{.*)"
     )
-    return F.when((F.length(text) >= 5) & clean.startswith("{"), clean)
 
 
 def cache_payload(cache: Column, key_part: str, payload_schema: str) -> Column:

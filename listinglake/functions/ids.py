@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
-from listinglake.functions.nulls import first_present, present
+from listinglake.functions.nulls import first_present
 from listinglake.functions.text import group, strip
 
 _DIGITS = r"^\d+$"
@@ -23,13 +23,9 @@ def _digits(c: Column) -> Column:
 def decode_stay_id(c: Column) -> Column:
     """base64("DemandStayListing:100") -> "100"; not base64 or not text -> null."""
     clean = F.regexp_replace(c, "[^A-Za-z0-9+/=]", "")
-    text = F.try_validate_utf8(
-        F.when(
-            F.length(clean) % 4 == 0, F.try_to_binary(clean, F.lit("base64"))
-        ).cast("string")
-    )
-    parts = F.split(text, ":", 2)
-    return present(F.when(F.size(parts) == 2, F.get(parts, F.lit(1))).otherwise(text))
+    whole = F.regexp_extract(clean, "^(?:.{4})*$", 0)
+    text = F.try_validate_utf8(F.try_to_binary(whole, F.lit("base64")).cast("string"))
+    return group(text, "(?s)^(?:[^:]*:)?(.*)$")
 
 
 def stays_id(c: Column) -> Column:

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 
 def present(c: Column) -> Column:
-    """Empty string -> null."""
-    return F.nullif(c, F.lit(""))
+    """Empty string -> null.
+
+    Names ``c`` only once: ``nullif`` expands to an expression that holds it twice,
+    and nested text functions would then double in size at every level.
+    """
+    return F.get(F.array_remove(F.array(c), ""), F.lit(0))
 
 
 def first_present(*cols: Column) -> Column:

@@ -96,11 +96,8 @@ def last_segment(c: Column) -> Column:
 
 def neighborhood(path: Column) -> Column:
     """Third path segment below ``outer-banks``, as a display name."""
-    parts = F.split(F.btrim(path, F.lit("/")), "/")
-    return F.when(
-        (F.size(parts) >= 3) & (F.get(parts, F.lit(0)) == "outer-banks"),
-        title_case(F.replace(F.get(parts, F.lit(2)), F.lit("-"), F.lit(" "))),
-    )
+    part = group(path, "^/*outer-banks/[^/]*/([^/]+)")
+    return title_case(F.replace(part, F.lit("-"), F.lit(" ")))
 
 
 def listing_type(slug: Column) -> Column:

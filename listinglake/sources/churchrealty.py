@@ -27,30 +27,31 @@ def _box(nodes: Column, name: str) -> Column:
 
 def card_image(nodes: Column, card: Column) -> Column:
     """First image of the photo block that is not inside its logo block."""
+    def first_outside(photo: Column) -> Column:
+        return let(
+            _box(photo, "sri-listing"),
+            lambda logo: find(
+                photo,
+                lambda n: is_tag(n, "img")
+                & present(n["src"]).isNotNull()
+                & ~F.coalesce(
+                    (n["i"] > logo["i"]) & (n["i"] < logo["end"]), F.lit(False)
+                ),
+            ),
+        )
+
     photo = inside(nodes, _box(inside(nodes, card), "featured_image"))
-    logo = _box(photo, "sri-listing")
-    images = find_all(
-        photo,
-        lambda n: is_tag(n, "img")
-        & present(n["src"]).isNotNull()
-        & ~F.coalesce((n["i"] > logo["i"]) & (n["i"] < logo["end"]), F.lit(False)),
-    )
-    return F.get(images, F.lit(0))["src"]
+    return let(photo, first_outside)["src"]
 
 
 def _card(nodes: Column, card: Column) -> Column:
-    parts = inside(nodes, card)
-    link = find(parts, lambda n: is_tag(n, "a") & n["href"].contains("/property/"))
-    lines = texts_of(
-        nodes, find_all(inside(nodes, _box(parts, "col_content")), lambda n: is_tag(n, "p"))
-    )
-
-    def fields(slug: Column) -> Column:
+    def fields(link: Column, lines: Column) -> Column:
         street = F.coalesce(F.get(lines, F.lit(0)), F.lit(""))
+        slug = text.last_segment(link)
         place = text.address_line2(F.get(lines, F.lit(1)))
         return F.struct(
             slug.alias("listing_id"),
-            F.concat(F.rtrim(link["href"], F.lit("/")), F.lit("/")).alias("url"),
+            F.concat(F.rtrim(link, F.lit("/")), F.lit("/")).alias("url"),
             street.alias("name"),
             street.alias("address"),
             place["city"].alias("city"),
@@ -60,7 +61,19 @@ def _card(nodes: Column, card: Column) -> Column:
             card_image(nodes, card).alias("image_url"),
         )
 
-    return let(text.last_segment(link["href"]), fields)
+    def read(parts: Column) -> Column:
+        link = find(parts, lambda n: is_tag(n, "a") & n["href"].contains("/property/"))
+        paragraphs = find_all(
+            inside(nodes, _box(parts, "col_content")), lambda n: is_tag(n, "p")
+        )
+        return let(
+            F.struct(
+                link["href"].alias("link"), texts_of(nodes, paragraphs).alias("lines")
+            ),
+            lambda x: fields(x["link"], x["lines"]),
+        )
+
+    return let(inside(nodes, card), read)
 
 
 def search_payloads(responses: DataFrame) -> DataFrame:

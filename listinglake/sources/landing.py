@@ -105,17 +105,23 @@ def status_to_rows(kind: str, rows: Column) -> Column:
 
 
 def payload_table(df: DataFrame, drift: Column, items: Column) -> DataFrame:
-    """Parsed payloads; a drifted response keeps its row but gives no items."""
+    """Parsed payloads; a drifted response keeps its row but has no items."""
     return df.select(
-        *REQUEST_COLUMNS, drift.alias("drift"), items.alias("items")
+        *REQUEST_COLUMNS,
+        drift.alias("drift"),
+        F.when(drift.isNull(), items).alias("items"),
     )
 
 
 def explode_items(payloads: DataFrame) -> DataFrame:
-    """One row per raw record of the usable responses, with its position."""
-    return payloads.filter(F.col("drift").isNull()).select(
-        *REQUEST_COLUMNS, F.posexplode("items").alias("pos", "item")
-    )
+    """One row per raw record of the usable responses, with its position.
+
+    Empty responses are dropped behind the explode.  A filter in front of it (Spark
+    infers one for the inner form) would run the whole parse a second time.
+    """
+    return payloads.select(
+        *REQUEST_COLUMNS, F.posexplode_outer("items").alias("pos", "item")
+    ).filter(F.col("pos").isNotNull())
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:

@@ -135,12 +135,18 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
 
 
 def details(payloads: DataFrame) -> DataFrame:
-    df = explode_items(payloads).withColumn("listing_id", ids.stays_id(F.col("entity_id")))
+    named = F.filter("item.sections", lambda s: present(s["sectionId"]).isNotNull())
+    by_id = arrays.pairs_to_map(
+        F.transform(
+            named, lambda s: F.struct(s["sectionId"].alias("key"), s["section"].alias("value"))
+        )
+    )
+    df = explode_items(payloads).withColumns(
+        {"listing_id": ids.stays_id(F.col("entity_id")), "by_id": by_id}
+    )
 
     def section(section_id: str) -> Column:
-        return arrays.last_where(
-            F.col("item.sections"), lambda s: s["sectionId"] == section_id
-        )["section"]
+        return F.try_element_at("by_id", F.lit(section_id))
 
     card = section("MEET_YOUR_HOST")["cardData"]
     counts = F.transform(

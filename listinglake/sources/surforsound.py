@@ -40,52 +40,57 @@ def stat_fields(pairs: Column) -> Column:
 
 
 def _card(nodes: Column, card: Column) -> Column:
-    parts = inside(nodes, card)
-
-    def first(tag: str, part: str) -> Column:
+    def first(parts: Column, tag: str, part: str) -> Column:
         return find(parts, lambda n: is_tag(n, tag) & class_contains(n, part))
 
-    pairs = label_values(
-        nodes, first("div", "sos-property-card__details"), "sos-letter-spc-1", "fw-bold"
-    )
-    side_blocks = find_all(
-        parts, lambda n: is_tag(n, "div") & class_contains(n, "justify-content-around")
-    )
-    side_lines = F.flatten(
-        F.transform(
-            side_blocks,
-            lambda b: texts_of(
-                nodes,
-                find_all(inside(nodes, b), lambda n: is_tag(n, "small", "span", "p")),
-                " ",
-            ),
+    def side_village(parts: Column) -> Column:
+        """Village in the line below the card body."""
+        blocks = find_all(
+            parts, lambda n: is_tag(n, "div") & class_contains(n, "justify-content-around")
         )
-    )
-    village = text.village_label(
-        arrays.first_where(side_lines, lambda t: t.rlike(fv.VILLAGE_LINE))
-    )
-    link = card["data_property_url"]
-    return let(
-        stat_fields(pairs),
-        lambda stats: F.struct(
-            text.group(link, CARD_ID).try_cast("bigint").alias("listing_id"),
-            text.strip_query(link).alias("url"),
-            F.coalesce(
-                text.strip_number_suffix(
-                    text_of(nodes, first("div", "sos-property-card_name"))
+        lines = F.flatten(
+            F.transform(
+                blocks,
+                lambda b: texts_of(
+                    nodes,
+                    find_all(inside(nodes, b), lambda n: is_tag(n, "small", "span", "p")),
+                    " ",
                 ),
-                F.lit(""),
-            ).alias("name"),
-            stats["bedrooms"].alias("bedrooms"),
-            stats["bathrooms_full"].alias("bathrooms_full"),
-            stats["bathrooms_half"].alias("bathrooms_half"),
-            F.coalesce(first_present(stats["town"], village), F.lit("")).alias("town"),
-            stats["location"].alias("location"),
-            numbers.dollar_amount(text_of(nodes, first("span", "text-info"))).alias(
-                "weekly_rate"
+            )
+        )
+        return text.village_label(
+            arrays.first_where(lines, lambda t: t.rlike(fv.VILLAGE_LINE))
+        )
+
+    def fields(parts: Column) -> Column:
+        details = first(parts, "div", "sos-property-card__details")
+        pairs = label_values(nodes, details, "sos-letter-spc-1", "fw-bold")
+        link = card["data_property_url"]
+        return let(
+            let(pairs, stat_fields),
+            lambda stats: F.struct(
+                text.group(link, CARD_ID).try_cast("bigint").alias("listing_id"),
+                text.strip_query(link).alias("url"),
+                F.coalesce(
+                    text.strip_number_suffix(
+                        text_of(nodes, first(parts, "div", "sos-property-card_name"))
+                    ),
+                    F.lit(""),
+                ).alias("name"),
+                stats["bedrooms"].alias("bedrooms"),
+                stats["bathrooms_full"].alias("bathrooms_full"),
+                stats["bathrooms_half"].alias("bathrooms_half"),
+                F.coalesce(
+                    first_present(stats["town"], side_village(parts)), F.lit("")
+                ).alias("town"),
+                stats["location"].alias("location"),
+                numbers.dollar_amount(
+                    text_of(nodes, first(parts, "span", "text-info"))
+                ).alias("weekly_rate"),
             ),
-        ),
-    )
+        )
+
+    return let(inside(nodes, card), fields)
 
 
 def search_pages(responses: DataFrame) -> DataFrame:
@@ -214,19 +219,14 @@ def details(payloads: DataFrame) -> DataFrame:
         lambda n: urls.absolute_path(n["data_lazy"], fv.SURFORSOUND_BASE),
     )
     paragraphs = texts_of(nodes, find_all(nodes, lambda n: is_tag(n, "p")))
-    df = (
-        explode_items(payloads)
-        .withColumn("listing_id", ids.surforsound_id(F.col("entity_id")))
-        .withColumn(
-            "stats",
-            stat_fields(label_values(nodes, features, "sos-letter-spc-1", "fw-bold")),
-        )
-        .withColumn(
-            "rates",
-            numbers.rate_range(
-                arrays.first_where(paragraphs, lambda t: t.rlike(fv.WEEKLY_RANGE))
-            ),
-        )
+    pairs = label_values(nodes, features, "sos-letter-spc-1", "fw-bold")
+    range_line = arrays.first_where(paragraphs, lambda t: t.rlike(fv.WEEKLY_RANGE))
+    df = explode_items(payloads).withColumns(
+        {
+            "listing_id": ids.surforsound_id(F.col("entity_id")),
+            "stats": let(pairs, stat_fields),
+            "rates": let(range_line, numbers.rate_range),
+        }
     )
     rows = df.select(
         *ORDER_COLUMNS,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from listinglake.workload import offers, rates, texts  # noqa: F401
+from listinglake.workload import json_sources, offers, rates, texts  # noqa: F401
 from listinglake.workload.tables import QUERIES, SQL, Query
 
 

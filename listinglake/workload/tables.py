@@ -191,14 +191,19 @@ _KEYS = {
 
 
 def keyed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """key, label, money, kind of a table; one row becomes one response."""
+    """key, label, money, kind of a table; one row becomes one response.
+
+    A body is many times larger than the row it is built from, so splits sized for
+    the rows would make tasks too large: spread the narrow rows first.
+    """
     key, label, money, kind = _KEYS[name]
-    return table(spark, sf_dir, name).select(
+    rows = table(spark, sf_dir, name).select(
         F.col(key).cast("bigint").alias("key"),
         F.col(label).alias("label"),
         F.col(money).alias("money"),
         F.col(kind).alias("kind_text"),
     )
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
 
 
 def home_list(make: Callable[[Column], Column]) -> Column:
