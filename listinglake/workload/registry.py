@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from listinglake.workload import json_sources, offers, rates, texts  # noqa: F401
+from listinglake.workload import (  # noqa: F401
+    html_sources, json_sources, offers, rates, texts,
+)
 from listinglake.workload.tables import QUERIES, SQL, Query
 
 
