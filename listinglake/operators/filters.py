@@ -104,17 +104,18 @@ def filter_budget(
 
 def filter_stay_rule(
     df: DataFrame,
-    check_ins: list[str],
+    check_ins: list[str] | None = None,
     nights: int = fv.REPORT_NIGHTS,
     min_bedrooms: int = fv.BUDGET_MIN_BEDROOMS,
     max_total: float = fv.BUDGET_MAX_RATE,
     min_rating: float = fv.REPORT_MIN_RATING,
 ) -> DataFrame:
     """The rule behind the stay report; an unrated listing is not a badly rated one."""
+    if check_ins is not None:
+        df = df.filter(F.col("check_in").isin(check_ins))
     return df.filter(
         (F.col("bedrooms") >= min_bedrooms)
         & (F.col("nights") == nights)
         & (F.col("total_price") <= max_total)
-        & F.col("check_in").isin(check_ins)
         & (F.coalesce(F.col("rating"), F.lit(min_rating)) >= min_rating)
     )

@@ -29,7 +29,7 @@ def _sheet(df: DataFrame, headers: list[str], values: dict[str, Column | str]) -
 def stays_report(
     offers: DataFrame,
     order: list[str],
-    check_ins: list[str],
+    check_ins: list[str] | None = None,
     min_reviews: int = 5,
     top_n: int = 12,
     honorable_n: int = 4,

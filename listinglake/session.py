@@ -31,13 +31,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch one only when unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local run may go without: it gets one scratch folder per application.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder on a cluster")
-    scratch = tempfile.mkdtemp(prefix="listinglake-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    app = context.applicationId
+    if app not in _local_scratch:
+        _local_scratch[app] = tempfile.mkdtemp(prefix="listinglake-")
+    return _local_scratch[app]

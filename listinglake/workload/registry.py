@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from listinglake.workload import (  # noqa: F401
-    html_sources, json_sources, offers, rates, texts,
+    html_sources, json_sources, offers, rates, reports, texts,
 )
 from listinglake.workload.tables import QUERIES, SQL, Query
 
