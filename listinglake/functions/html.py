@@ -8,9 +8,10 @@ expression.
 
 from __future__ import annotations
 
+import html
+import re
 import sys
 from collections.abc import Callable
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -27,87 +28,92 @@ TEXT = "#text"
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-UNREAD_TAGS = frozenset(["script", "style", "template"])
+
+# Elements with raw content, start tags, end tags, comments and other markup.
+_ATTRS = r"""((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)"""
+_MARKUP = re.compile(
+    rf"<(script|style|template)\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
+    rf"|<([a-z][^\s/>]*){_ATTRS}>"
+    r"|</([a-z][^\s/>]*)[^>]*>"
+    r"|<!--.*?(?:-->|\Z)|<[!?/][^>]*>",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTR = re.compile(
+    r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?"""
+)
 
 
-class _Flattener(HTMLParser):
-    """Collects (tag, end, depth, text, attributes) in document order.
+class _NodeTable:
+    """Column lists of the nodes of many pages, filled page by page.
 
     An end tag closes the nearest open element of that name and everything opened
     since; an end tag with no such element is ignored.
     """
 
     def __init__(self, attrs: tuple[str, ...], keep_blanks: bool):
-        super().__init__(convert_charrefs=True)
-        self.wanted = attrs
+        self.attrs = attrs
         self.keep_blanks = keep_blanks
+        self.i: list[int] = []
         self.tag: list[str] = []
         self.end: list[int] = []
         self.depth: list[int] = []
         self.text: list[str | None] = []
         self.values: list[list[str | None]] = [[] for _ in attrs]
-        self.begin_page()
 
-    def begin_page(self) -> None:
-        self.reset()
-        self.base = len(self.tag)
-        self.open: list[int] = []
-        self.pending: list[str] = []
-
-    def end_page(self) -> None:
-        self.close()
-        self._flush()
-        self._close_down_to(0)
-
-    def _add(self, tag: str, text: str | None, attrs: dict) -> None:
+    def add_page(self, page: str) -> None:
+        base, at = len(self.tag), 0
+        stack: list[int] = []
+        for m in _MARKUP.finditer(page):
+            if m.start() > at:
+                self._add_text(base, len(stack), page[at : m.start()])
+            at = m.end()
+            raw, raw_attrs, start, attrs, closing = m.groups()
+            if closing:
+                closing = closing.lower()
+                for level in range(len(stack) - 1, -1, -1):
+                    if self.tag[stack[level]] == closing:
+                        self._close(stack, level, base)
+                        break
+            elif start:
+                start = start.lower()
+                self._add(base, start, len(stack), None, self._read(attrs))
+                if start not in VOID_TAGS and not attrs.endswith("/"):
+                    stack.append(len(self.tag) - 1)
+            elif raw:
+                self._add(base, raw.lower(), len(stack), None, self._read(raw_attrs))
+        if at < len(page):
+            self._add_text(base, len(stack), page[at:])
+        self._close(stack, 0, base)
+
+    def _add(self, base, tag, depth, text, attrs):
+        here = len(self.tag) - base
+        self.i.append(here)
         self.tag.append(tag)
-        self.end.append(len(self.tag) - self.base)
-        self.depth.append(len(self.open))
+        self.end.append(here + 1)
+        self.depth.append(depth)
         self.text.append(text)
-        for store, name in zip(self.values, self.wanted):
-            store.append(attrs.get(name))
-
-    def _flush(self) -> None:
-        text = "".join(self.pending)
-        self.pending.clear()
-        if not text or not (self.keep_blanks or text.strip()):
-            return
-        if not (self.open and self.tag[self.open[-1]] in UNREAD_TAGS):
-            self._add(TEXT, text, {})
-
-    def _close_down_to(self, depth: int) -> None:
-        for at in self.open[depth:]:
-            self.end[at] = len(self.tag) - self.base
-        del self.open[depth:]
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
-        first: dict = {}
-        for name, value in attrs:
-            first[name] = value or ""
-        self._add(tag, None, first)
-        if tag not in VOID_TAGS:
-            self.open.append(len(self.tag) - 1)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self._flush()
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.tag[self.open[depth]] == tag:
-                self._close_down_to(depth)
-                return
-
-    def handle_data(self, data):
-        self.pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
-
-    handle_decl = handle_pi = unknown_decl = handle_comment
+        for column, name in zip(self.values, self.attrs):
+            column.append(attrs.get(name))
+
+    def _add_text(self, base: int, depth: int, text: str) -> None:
+        if self.keep_blanks or not text.isspace():
+            self._add(base, TEXT, depth, html.unescape(text), {})
+
+    def _close(self, stack: list[int], level: int, base: int) -> None:
+        for at in stack[level:]:
+            self.end[at] = len(self.tag) - base
+        del stack[level:]
+
+    def _read(self, text: str) -> dict[str, str]:
+        """Wanted attributes of a tag; class names end up blank-separated."""
+        found: dict[str, str] = {}
+        if text and self.attrs:
+            for name, double, single, bare in _ATTR.findall(text):
+                name = name.lower()
+                if name in self.attrs:
+                    value = html.unescape(double or single or bare)
+                    found[name] = " ".join(value.split()) if name == "class" else value
+        return found
 
 
 def _field(attr: str) -> str:
@@ -119,7 +125,7 @@ def html_nodes(body: Column, attrs: list[str], keep_blanks: bool = False) -> Col
 
     ``i`` counts from 0, ``end`` is one past the last descendant.  Only the named
     attributes cross the Python boundary; a dash in a name becomes an underscore.
-    Blank text pieces are left out unless asked for.
+    Blank text pieces are left out unless asked for; scripts and styles have no text.
     """
     names = tuple(attrs)
     ddl = ", ".join(
@@ -129,24 +135,18 @@ def html_nodes(body: Column, attrs: list[str], keep_blanks: bool = False) -> Col
 
     @F.arrow_udf(f"ARRAY<STRUCT<{ddl}>>")
     def flatten(pages: pa.Array) -> pa.Array:
-        flat = _Flattener(names, keep_blanks)
-        index: list[int] = []
+        rows = _NodeTable(names, keep_blanks)
         offsets: list[int | None] = []
-        for page in pages:
-            html = page.as_py()
-            offsets.append(len(flat.tag) if html is not None else None)
-            if html is None:
-                continue
-            flat.begin_page()
-            flat.feed(html)
-            flat.end_page()
-            index.extend(range(len(flat.tag) - flat.base))
-        offsets.append(len(flat.tag))
+        for page in pages.to_pylist():
+            offsets.append(len(rows.tag) if page is not None else None)
+            if page is not None:
+                rows.add_page(page)
+        offsets.append(len(rows.tag))
         columns = [
-            pa.array(index, pa.int32()), pa.array(flat.tag, pa.string()),
-            pa.array(flat.end, pa.int32()), pa.array(flat.depth, pa.int32()),
-            pa.array(flat.text, pa.string()),
-            *[pa.array(v, pa.string()) for v in flat.values],
+            pa.array(rows.i, pa.int32()), pa.array(rows.tag, pa.string()),
+            pa.array(rows.end, pa.int32()), pa.array(rows.depth, pa.int32()),
+            pa.array(rows.text, pa.string()),
+            *[pa.array(v, pa.string()) for v in rows.values],
         ]
         fields = ["i", "tag", "end", "depth", "text", *map(_field, names)]
         nodes = pa.StructArray.from_arrays(columns, fields)
@@ -157,14 +157,13 @@ def html_nodes(body: Column, attrs: list[str], keep_blanks: bool = False) -> Col
 
 def inside(nodes: Column, node: Column) -> Column:
     """All descendants of a node, in document order; null node -> null."""
-    return F.slice(nodes, node["i"] + 2, node["end"] - node["i"] - 1)
+    return let(node, lambda n: F.slice(nodes, n["i"] + 2, n["end"] - n["i"] - 1))
 
 
 def has_class(node: Column, name: str) -> Column:
     """The class list holds exactly this name."""
-    return F.coalesce(
-        F.array_contains(F.split(node["class"], r"\s+"), name), F.lit(False)
-    )
+    padded = F.concat(F.lit(" "), node["class"], F.lit(" "))
+    return F.coalesce(padded.contains(f" {name} "), F.lit(False))
 
 
 def class_contains(node: Column, part: str) -> Column:

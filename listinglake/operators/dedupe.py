@@ -39,7 +39,7 @@ def dedupe_later_pages(
     ``within`` names the columns of one search when the table holds several.
     """
     keys = [*(within or []), key]
-    first_page = df.filter(F.col(page) == 1)
+    first_page = df.filter(F.col(page) <= 1)
     later = dedupe_first(df.filter(F.col(page) > 1), keys, order)
     seen = first_page.select(*keys).distinct()
     return first_page.unionByName(later.join(seen, keys, "left_anti"))

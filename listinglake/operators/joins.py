@@ -7,7 +7,7 @@ by measured size and splits skewed partitions at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listinglake.functions import ids
@@ -23,6 +23,23 @@ def combine_left(base: DataFrame, sides: list[DataFrame], key: str) -> DataFrame
     return base
 
 
+def join_unique(
+    rows: DataFrame, unique: DataFrame, key: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """Join rows whose keys may repeat a lot with a side that has each key once.
+
+    The unique side is the result of a grouping on the key, and run-time skew
+    handling does not reach through that.  So the rows of a key are spread over
+    salted slices and the unique side, meant to be much the smaller, is repeated
+    once per slice.
+    """
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    copies = unique.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    )
+    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def left_or_empty(base: DataFrame, sides: dict[str, DataFrame], key: str) -> DataFrame:
     """Left-join list-valued sides; a missing or unknown list becomes empty."""
     joined = combine_left(base, list(sides.values()), key)
@@ -88,35 +105,30 @@ def resolve_identifiers(
     Suffixes are reduced to their first URL before the join.
     """
     asked = requests.withColumn("_key", ids.sunrealty_key(F.col(identifier)))
+    keys = asked.select("_key").distinct()
     by_id = F.col("_key").rlike(r"^\d+$")
     by_url = F.col("_key").startswith("http")
     entries = index.select("listing_id", "url", *ORDER_COLUMNS)
 
-    def first_per(rows: DataFrame) -> DataFrame:
-        return dedupe_first(rows, ["_key"]).drop(*ORDER_COLUMNS)
-
-    ids_ = asked.filter(by_id).join(
-        first_per(entries.withColumn("_key", F.col("listing_id").cast("string"))), "_key"
-    )
-    links = asked.filter(by_url).join(
-        first_per(entries.withColumn("_key", F.col("url"))), "_key"
-    )
-    codes = asked.filter(~by_id & ~by_url & (F.col("_key") != ""))
-    lengths = [r[0] for r in codes.select(F.length("_key")).distinct().collect()]
-    if not lengths:
-        return ids_.unionByName(links).drop("_key")
-    low = F.lower("url")
-    suffixes = entries.withColumn(
-        "_key",
-        F.explode(
-            F.filter(
-                F.transform(
-                    F.array(*map(F.lit, sorted(lengths))),
-                    lambda n: F.when(F.length(low) >= n, F.right(low, n)),
-                ),
-                lambda s: s.isNotNull(),
-            )
-        ),
-    )
-    ends = codes.join(first_per(suffixes), "_key")
-    return ids_.unionByName(links).unionByName(ends).drop("_key")
+    def first_hit(of: Column, offered: DataFrame) -> DataFrame:
+        first = dedupe_first(offered, ["_key"]).drop(*ORDER_COLUMNS)
+        return keys.filter(of).join(first, "_key")
+
+    hits = first_hit(
+        by_id, entries.withColumn("_key", F.col("listing_id").cast("string"))
+    ).unionByName(first_hit(by_url, entries.withColumn("_key", F.col("url"))))
+    is_code = ~by_id & ~by_url & (F.col("_key") != "")
+    lengths = [
+        r[0] for r in keys.filter(is_code).select(F.length("_key")).distinct().collect()
+    ]
+    if lengths:
+        low = F.lower("url")
+        tails = F.transform(
+            F.array(*map(F.lit, sorted(lengths))),
+            lambda n: F.when(F.length(low) >= n, F.right(low, n)),
+        )
+        offered = entries.withColumn(
+            "_key", F.explode(F.filter(tails, lambda t: t.isNotNull()))
+        )
+        hits = hits.unionByName(first_hit(is_code, offered))
+    return join_unique(asked, hits, "_key").drop("_key")

@@ -15,7 +15,7 @@ from listinglake import fixed_values as fv
 from listinglake.functions.dates import us_date
 from listinglake.functions.numbers import dollar_amount
 from listinglake.operators.filters import filter_budget, filter_min_bedrooms
-from listinglake.operators.joins import merge_details
+from listinglake.operators.joins import join_unique, merge_details
 from listinglake.operators.rates import first_week
 from listinglake.operators.summary import town_funnel
 from listinglake.operators.topk import sort_by_rate
@@ -47,7 +47,8 @@ def _finish(rows: DataFrame, max_rate: float) -> BudgetResult:
 
 def _with_week(homes: DataFrame, rates: DataFrame, week: Column, columns: list) -> DataFrame:
     """Homes with the first entry of the target week; homes without one keep nulls."""
-    return homes.join(first_week(rates, week).select("listing_id", *columns), "listing_id", "left")
+    first = first_week(rates, week).select("listing_id", *columns)
+    return join_unique(homes, first, "listing_id", "left")
 
 
 def week_budget_display_rate(

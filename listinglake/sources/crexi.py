@@ -11,8 +11,8 @@ from listinglake.functions.nulls import text_or_empty
 from listinglake.operators.joins import left_or_empty
 from listinglake.schemas import ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, latest, payload_table, pick, status_drift,
-    status_to_rows,
+    REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table, pick,
+    status_drift, status_to_rows,
 )
 
 # ``state`` is an object with a code, or plain text; read it as text.
@@ -77,24 +77,24 @@ def listings(payloads: DataFrame) -> DataFrame:
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
-    """Asset payloads joined with the gallery and broker lists of the same asset."""
+    """Newest asset payloads joined with the gallery and broker lists of the asset."""
 
     def side(kind: str, schema: str, value) -> DataFrame:
         entries = F.from_json("body", f"ARRAY<STRUCT<{schema}>>")
-        return (
-            latest(pick(responses, fv.CREXI, kind), ["entity_id"])
-            .select(
-                "entity_id",
-                status_to_rows(
-                    kind, arrays.keep_present(F.transform(entries, value))
-                ).alias(kind),
+        rows = arrays.keep_present(F.transform(entries, value))
+        return latest(
+            pick(responses, fv.CREXI, kind).select(
+                "entity_id", *fetch_order(), status_to_rows(kind, rows).alias(kind)
             )
         )
 
-    assets = pick(responses, fv.CREXI, "details").select(
-        *REQUEST_COLUMNS,
-        F.from_json("body", DETAILS).alias("data"),
-        F.trim("body").startswith("{").alias("is_object"),
+    assets = latest(
+        pick(responses, fv.CREXI, "details").select(
+            *REQUEST_COLUMNS,
+            *fetch_order(),
+            F.from_json("body", DETAILS).alias("data"),
+            F.trim("body").startswith("{").alias("is_object"),
+        )
     )
     joined = left_or_empty(
         assets,

@@ -61,19 +61,28 @@ def pick(responses: DataFrame, source: str, kind: str) -> DataFrame:
     return responses.filter((F.col("source") == source) & (F.col("kind") == kind))
 
 
-def latest(responses: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest response per key.
+FETCH_COLUMNS = ["fetched_at", "body_hash"]
 
-    The rank-1 filter lets Spark cut every key to one row per task before the
-    shuffle, so a key that was fetched very often stays cheap.
+
+def fetch_order() -> list[Column]:
+    """Columns that order the fetches of one response; taken before the body goes."""
+    return [F.col("fetched_at"), F.xxhash64("body").alias("body_hash")]
+
+
+def latest(rows: DataFrame, key: str = "entity_id") -> DataFrame:
+    """Newest response per key, for rows that carry ``fetch_order()``.
+
+    Meant for parsed rows, which are narrower than bodies.  The rank-1 filter lets
+    Spark cut every key to one row per task before the shuffle, so a key that was
+    fetched very often stays cheap, and joins on the key see it once.
     """
-    newest = W.partitionBy(*keys).orderBy(
-        F.col("fetched_at").desc_nulls_last(), F.col("body")
+    newest = W.partitionBy(key).orderBy(
+        F.col("fetched_at").desc_nulls_last(), F.col("body_hash")
     )
     return (
-        responses.withColumn("_rn", F.row_number().over(newest))
+        rows.withColumn("_rn", F.row_number().over(newest))
         .filter(F.col("_rn") == 1)
-        .drop("_rn")
+        .drop("_rn", *FETCH_COLUMNS)
     )
 
 

@@ -96,15 +96,19 @@ def section_items(nodes: Column, section: Column) -> Column:
             & F.get(pieces, F.lit(0))["text"].rlike("(?i)Amenities")
         )
 
+    last = F.lit(2**31 - 1)
+
     def items(level: Column) -> Column:
-        stop = F.coalesce(find(level, lambda n: is_tag(n, "h3"))["i"], F.lit(2**31 - 1))
-        blocks = F.filter(
-            level,
-            lambda n: is_tag(n, "div") & has_class(n, "item-list") & (n["i"] < stop),
-        )
+        def up_to(stop: Column) -> Column:
+            return F.filter(
+                level,
+                lambda n: is_tag(n, "div") & has_class(n, "item-list") & (n["i"] < stop),
+            )
+
+        next_heading = find(level, lambda n: is_tag(n, "h3"))["i"]
         return F.flatten(
             F.transform(
-                blocks,
+                arrays.let(F.coalesce(next_heading, last), up_to),
                 lambda b: texts_of(
                     nodes, find_all(inside(nodes, b), lambda n: is_tag(n, "li"))
                 ),
@@ -112,13 +116,23 @@ def section_items(nodes: Column, section: Column) -> Column:
         )
 
     def following(heading: Column) -> Column:
-        later = F.filter(inside(nodes, section), lambda n: n["i"] >= heading["end"])
-        outside = find(later, lambda n: n["depth"] < heading["depth"])["i"]
-        return F.filter(
-            later,
-            lambda n: (n["depth"] == heading["depth"])
-            & (n["tag"] != TEXT)
-            & (n["i"] < F.coalesce(outside, F.lit(2**31 - 1))),
+        """Elements behind the heading that share its parent."""
+
+        def same_level(later: Column) -> Column:
+            outside = find(later, lambda n: n["depth"] < heading["depth"])["i"]
+            return arrays.let(
+                F.coalesce(outside, last),
+                lambda stop: F.filter(
+                    later,
+                    lambda n: (n["depth"] == heading["depth"])
+                    & (n["tag"] != TEXT)
+                    & (n["i"] < stop),
+                ),
+            )
+
+        return arrays.let(
+            F.filter(inside(nodes, section), lambda n: n["i"] >= heading["end"]),
+            same_level,
         )
 
     found = arrays.let(

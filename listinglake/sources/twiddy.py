@@ -11,7 +11,7 @@ from listinglake.functions.nulls import equals_ci, first_or, present, text_or_em
 from listinglake.operators.joins import combine_left
 from listinglake.schemas import ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, latest, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table, pick, status_drift,
 )
 
 SEARCH = """results ARRAY<STRUCT<
@@ -68,16 +68,22 @@ def listings(payloads: DataFrame) -> DataFrame:
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
-    def side(kind: str, schema: str) -> DataFrame:
-        return latest(pick(responses, fv.TWIDDY, kind), ["entity_id"]).select(
-            "entity_id", F.from_json("body", schema).alias(kind)
+    """Newest info payloads joined with amenities and calendar of the same home."""
+
+    def newest(kind: str, schema: str, columns: list[str]) -> DataFrame:
+        return latest(
+            pick(responses, fv.TWIDDY, kind).select(
+                *columns, *fetch_order(), F.from_json("body", schema).alias(kind)
+            )
         )
 
-    info = pick(responses, fv.TWIDDY, "info").select(
-        *REQUEST_COLUMNS, F.from_json("body", INFO).alias("info")
-    )
     joined = combine_left(
-        info, [side("amenities", AMENITIES), side("calendar", CALENDAR)], "entity_id"
+        newest("info", INFO, REQUEST_COLUMNS),
+        [
+            newest("amenities", AMENITIES, ["entity_id"]),
+            newest("calendar", CALENDAR, ["entity_id"]),
+        ],
+        "entity_id",
     )
     return payload_table(
         joined,

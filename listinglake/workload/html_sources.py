@@ -210,7 +210,7 @@ def surforsound_search_responses(spark, sf):
         )
     )
     return responses(
-        keyed(spark, sf, "part"), fv.SURFORSOUND, "search", body, page=key % 5 + 1,
+        keyed(spark, sf, "part"), fv.SURFORSOUND, "search", body, page=key + 1,
         params={"villages": _pick(_VILLAGES, key % 7)},
         check_in=F.when(key % 2 == 0, F.lit("2026-08-15")),
         entity_id=text(key),
@@ -225,7 +225,7 @@ sos AS (
     {_pick_sql(_VILLAGES, "k % 7")} AS town, CASE WHEN id % 5 <> 0 THEN label END AS location,
     CASE WHEN id % 10 <> 5 THEN CAST(id % 9000 + 100 AS DOUBLE) END AS weekly_rate,
     CASE WHEN k % 2 = 0 THEN '2026-08-15' ELSE '' END AS check_in,
-    CAST(k % 5 + 1 AS INTEGER) AS page, pos
+    CAST(k + 1 AS INTEGER) AS page, pos
   FROM homes WHERE k % 23 <> 0 AND id % 13 <> 0
 )"""
 
@@ -239,18 +239,17 @@ def normalize_surforsound_search(spark, sf):
     "search_surforsound",
     f"""WITH {HOMES}, {_SOS} SELECT * EXCLUDE (page, pos) FROM sos
     WHERE town = 'avon' AND check_in = '2026-08-15' AND coalesce(bedrooms, 0) >= 4
-    ORDER BY page, pos, listing_id""",
+    ORDER BY page, pos LIMIT 50""",
 )
 def search_surforsound(spark, sf):
-    # Ids do not repeat here, so every row of the village comes back.
     rows = search_tables(surforsound_search_responses(spark, sf), fv.SURFORSOUND).rows
-    return plans.search_surforsound(rows, "Avon", 4, 1_000_000, "2026-08-15").rows
+    return plans.search_surforsound(rows, "Avon", 4, 50, "2026-08-15").rows
 
 
 @query(
     "landing_gaps",
     f"""WITH pages_ AS (
-      SELECT {_pick_sql(_VILLAGES, "k % 7")} AS villages, CAST(k % 5 + 1 AS INTEGER) AS page,
+      SELECT {_pick_sql(_VILLAGES, "k % 7")} AS villages, CAST(k + 1 AS INTEGER) AS page,
         CASE WHEN k % 3 <> 0 AND k % 23 <> 0 THEN CAST(k % 60 AS INTEGER) END AS found
       FROM (SELECT p_partkey AS k FROM part))
     SELECT villages, max(found) AS total_found,

@@ -145,7 +145,7 @@ DATE_ORDER = ["check_in", *OFFER_ORDER]
     SELECT {OFFER_COLUMNS}, first_check_in FROM best JOIN seen USING (listing_id)""",
 )
 def cheapest(spark, sf):
-    best = cheapest_offer(offers(spark, sf), DATE_ORDER)
+    best = cheapest_offer(offer_columns(offers(spark, sf)), DATE_ORDER)
     return best.select(
         *OFFER_COLUMNS.split(", "), F.col("first_seen.check_in").alias("first_check_in")
     )
@@ -158,7 +158,8 @@ def cheapest(spark, sf):
 )
 def cheapest_stays(spark, sf):
     """Flagship: first copy per date, nightly budget, cheapest date, bedrooms."""
-    rows = dedupe.dedupe_first(offers(spark, sf), ["check_in", "listing_id"], OFFER_ORDER)
+    rows = offer_columns(offers(spark, sf))
+    rows = dedupe.dedupe_first(rows, ["check_in", "listing_id"], OFFER_ORDER)
     rows = filters.filter_nightly_price(rows, high=2500)
     rows = cheapest_offer(rows, DATE_ORDER)
     return offer_columns(filters.filter_min_bedrooms(rows, 2))
@@ -188,7 +189,7 @@ def search_area(spark, sf):
     ORDER BY (total_price IS NULL), total_price, first_seen""",
 )
 def sort_nulls_last(spark, sf):
-    best = cheapest_offer(offers(spark, sf), DATE_ORDER)
+    best = cheapest_offer(offer_columns(offers(spark, sf)), DATE_ORDER)
     return topk.sort_by_price(best).select("listing_id", "total_price", "check_in")
 
 
