@@ -1,9 +1,9 @@
 """First-wins de-duplication.
 
 ``order`` must identify a row within its key; otherwise "first" is not defined.
-Both operators reduce every key to one row per task before shuffling (Spark
-plans a partial group limit for a rank-1 filter), so a key that holds a large
-share of all rows does not end up in one task.
+Both operators reduce every key to one row per task before shuffling (a partial
+group limit for the rank-1 filter, a partial aggregate for the other), so a key
+that holds a large share of all rows does not end up in one task.
 """
 
 from __future__ import annotations
@@ -36,10 +36,13 @@ def dedupe_later_pages(
 ) -> DataFrame:
     """Page 1 stays whole, repeats included; later pages only add unseen ids.
 
-    ``within`` names the columns of one search when the table holds several.
+    ``within`` names the columns of one search when the table holds several, and
+    ``order`` has to start with the page.
     """
     keys = [*(within or []), key]
-    first_page = df.filter(F.col(page) <= 1)
-    later = dedupe_first(df.filter(F.col(page) > 1), keys, order)
-    seen = first_page.select(*keys).distinct()
-    return first_page.unionByName(later.join(seen, keys, "left_anti"))
+    first_seen = df.groupBy(*keys).agg(
+        F.min(page).alias("_page"),
+        F.min_by(F.struct(*df.columns), F.struct(*(order or ORDER_COLUMNS))).alias("_row"),
+    )
+    later = first_seen.filter(F.col("_page") > 1).select("_row.*")
+    return df.filter(F.col(page) <= 1).unionByName(later)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listinglake.functions import ids
+from listinglake.functions.text import strip
 from listinglake.operators.dedupe import dedupe_first
 from listinglake.schemas import ORDER_COLUMNS
 from listinglake.sources.dims import place_key, towns
@@ -33,7 +34,10 @@ def join_unique(
     salted slices and the unique side, meant to be much the smaller, is repeated
     once per slice.
     """
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    hashable = [
+        f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()
+    ]
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
     copies = unique.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
@@ -65,7 +69,7 @@ def lookup_town(df: DataFrame, source: str, slug: str = "town") -> DataFrame:
         .filter(F.col("source") == source)
         .select(F.col("slug").alias("_slug"), "external_id", "display_name")
     )
-    asked = F.lower(F.trim(F.col(slug)))
+    asked = F.lower(strip(F.col(slug)))
     return df.join(F.broadcast(dim), asked == F.col("_slug")).drop("_slug")
 
 

@@ -18,7 +18,7 @@ from listinglake.operators.filters import filter_budget, filter_min_bedrooms
 from listinglake.operators.joins import join_unique, merge_details
 from listinglake.operators.rates import first_week
 from listinglake.operators.summary import town_funnel
-from listinglake.operators.topk import sort_by_rate
+from listinglake.operators.topk import cap_per_group, sort_by_rate
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,18 @@ class BudgetResult:
 
 
 def _large_homes(
-    listings: DataFrame, towns: list[str] | None, min_bedrooms: int
+    listings: DataFrame,
+    towns: list[str] | None,
+    min_bedrooms: int,
+    max_per_town: int | None,
 ) -> DataFrame:
-    """Union of the per-town searches, as one scan."""
+    """Union of the per-town searches, as one scan; a search may have a cap."""
     if towns:
         listings = listings.filter(F.col("town").isin(towns))
-    return filter_min_bedrooms(listings, min_bedrooms)
+    homes = filter_min_bedrooms(listings, min_bedrooms)
+    if max_per_town is None:
+        return homes
+    return cap_per_group(homes, ["town"], max_per_town)
 
 
 def _finish(rows: DataFrame, max_rate: float) -> BudgetResult:
@@ -59,13 +65,14 @@ def week_budget_display_rate(
     towns: list[str] | None = None,
     min_bedrooms: int = fv.BUDGET_MIN_BEDROOMS,
     max_rate: float = fv.BUDGET_MAX_RATE,
+    max_per_town: int | None = None,
 ) -> BudgetResult:
     """Rates are display texts ("$4,690.00"); a null one means booked.
 
     ``target`` is an ISO date, the rate rows carry ``M/d/yyyy``.
     """
     homes = merge_details(
-        _large_homes(listings, towns, min_bedrooms), details, ["sleeps"]
+        _large_homes(listings, towns, min_bedrooms, max_per_town), details, ["sleeps"]
     )
     week = us_date(F.col("arrival_date")) == F.lit(target).cast("date")
     rows = _with_week(
@@ -89,6 +96,7 @@ def week_budget_open_flag(
     towns: list[str] | None = None,
     min_bedrooms: int = fv.BUDGET_MIN_BEDROOMS,
     max_rate: float = fv.BUDGET_MAX_RATE,
+    max_per_town: int | None = None,
 ) -> BudgetResult:
     """Rates are numbers with an availability flag.
 
@@ -96,7 +104,7 @@ def week_budget_open_flag(
     entry does not count.
     """
     homes = merge_details(
-        _large_homes(listings, towns, min_bedrooms),
+        _large_homes(listings, towns, min_bedrooms, max_per_town),
         details,
         ["bathrooms_full", "bathrooms_half"],
     )
@@ -118,10 +126,11 @@ def week_budget_listing_rate(
     towns: list[str] | None = None,
     min_bedrooms: int = fv.BUDGET_MIN_BEDROOMS,
     max_rate: float = fv.BUDGET_MAX_RATE,
+    max_per_town: int | None = None,
 ) -> BudgetResult:
     """The listing row already carries the rate of its check-in week."""
     homes = _large_homes(
-        listings.filter(F.col("check_in") == target), towns, min_bedrooms
+        listings.filter(F.col("check_in") == target), towns, min_bedrooms, max_per_town
     )
     rows = homes.withColumn("village", F.col("town")).withColumnRenamed(
         "weekly_rate", "rate"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
+from listinglake.functions.text import strip
 
 
 def towns(spark: SparkSession) -> DataFrame:
@@ -25,7 +26,7 @@ def check_town(source: str, town: str) -> tuple[str, str]:
 
 
 def place_key(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    return F.lower(strip(c))
 
 
 def places(geocoder: DataFrame) -> DataFrame:

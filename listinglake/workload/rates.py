@@ -42,7 +42,7 @@ weeks AS (
 )
 def week_rate_join(spark, sf):
     first = rate_ops.first_week(
-        rates(spark, sf), F.col("arrive") == TARGET, order=RATE_ORDER
+        rates(spark, sf, TARGET), F.col("arrive") == TARGET, order=RATE_ORDER
     )
     return part_listings(spark, sf).join(first, "listing_id").select(
         "listing_id", "name", "town", "bedrooms", "weekly_rate", "is_available", "book_type"
@@ -56,7 +56,7 @@ def week_rate_join(spark, sf):
 )
 def available_week(spark, sf):
     return rate_ops.available_week(
-        rates(spark, sf), TARGET, order=RATE_ORDER
+        rates(spark, sf, TARGET), TARGET, order=RATE_ORDER
     ).select("listing_id", "weekly_rate", "book_type")
 
 
@@ -93,7 +93,7 @@ _FUNNEL = """
 
 
 def _display_budget(spark, sf):
-    weeks = _with_pos(rates(spark, sf)).drop("weekly_rate").withColumnRenamed(
+    weeks = _with_pos(rates(spark, sf, TARGET)).drop("weekly_rate").withColumnRenamed(
         "rate_display", "weekly_rate"
     )
     return budget.week_budget_display_rate(
@@ -122,7 +122,7 @@ def funnel(spark, sf):
 
 
 def _flag_budget(spark, sf):
-    weeks = _with_pos(rates(spark, sf)).withColumn("week_content", F.col("rate_display"))
+    weeks = _with_pos(rates(spark, sf, TARGET)).withColumn("week_content", F.col("rate_display"))
     return budget.week_budget_open_flag(
         part_listings(spark, sf), part_details(spark, sf), weeks, TARGET, max_rate=50000
     )

@@ -159,7 +159,7 @@ def _week_rows(spark, sf):
     )
     details = part_details(spark, sf)
     weeks = (
-        rates(spark, sf)
+        rates(spark, sf, TARGET)
         .withColumn("pos", F.struct(*RATE_ORDER))
         .drop("weekly_rate")
         .withColumnRenamed("rate_display", "weekly_rate")

@@ -118,8 +118,15 @@ first_offers AS (
 RATE_ORDER = ["l_linenumber", "l_orderkey", "l_suppkey", "price"]
 
 
-def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rates(spark: SparkSession, sf_dir: str, week: str | None = None) -> DataFrame:
+    """Rates of all weeks, or of one; the week then reaches the scan as a range."""
     line = table(spark, sf_dir, "lineitem")
+    if week:
+        start = F.lit(week).cast("timestamp")
+        end = F.lit(week).cast("date") + F.expr("INTERVAL 1 DAY")
+        line = line.filter(
+            (F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end.cast("timestamp"))
+        )
     price = F.col("l_extendedprice")
     day = F.col("l_shipdate").cast("date")
     return line.select(

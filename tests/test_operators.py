@@ -237,6 +237,28 @@ def test_resolve_identifier(spark, asked, want):
     assert ids(joins.resolve_identifiers(many, index)) == ([want] if want else [])
 
 
+def test_join_unique_with_a_hot_key(spark):
+    """A third of the rows share one key; every row finds its partner exactly once."""
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
+        "id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    side = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    left = joins.join_unique(rows, side, "k", "left").collect()
+    key = lambda i: 0 if i % 3 == 0 else i % 50
+    assert sorted((r.id, r.k, r.v) for r in left) == [
+        (i, key(i), key(i) * 10 if key(i) < 40 else None) for i in range(900)]
+    assert joins.join_unique(rows, side, "k").count() == sum(key(i) < 40 for i in range(900))
+
+
+def test_per_town_cap(spark):
+    homes = spark.createDataFrame(
+        [(str(i), "duck" if i < 6 else "avon", 9, "d", 100.0 * i, 1, i) for i in range(8)],
+        "listing_id string, town string, bedrooms int, check_in string, weekly_rate double, "
+        "page int, pos int")
+    got = budget.week_budget_listing_rate(homes, "d", max_per_town=2)
+    assert ids(got.in_budget) == ["0", "1", "6", "7"]
+
+
 # ---- rates, budgets ----------------------------------------------------------------------
 
 
