@@ -134,7 +134,12 @@ def explode_items(payloads: DataFrame) -> DataFrame:
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:
-    """Responses that lost the expected shape, with the reason."""
-    return payloads.filter(F.col("drift").isNotNull()).select(
-        "source", "kind", "entity_id", "page", "http_status", "drift"
-    )
+    """Responses that lost the expected shape, with the reason.
+
+    The explode keeps the filter from moving below the parse, where it would repeat
+    the parse inside its condition.
+    """
+    return payloads.select(
+        "source", "kind", "entity_id", "page", "http_status",
+        F.explode_outer(F.array("drift")).alias("drift"),
+    ).filter(F.col("drift").isNotNull())
