@@ -136,6 +136,13 @@ HEALTH_SPEC = [
     (TWIDDY, ["listing_id", "name", "bedrooms"], ["listing_id", "name", "bedrooms"]),
 ]
 
+# ---- fixed values: health summaries ----------------------------------------
+HEALTH_EMPTY = "search returned 0 results — could be drift OR genuinely empty"
+HEALTH_SEARCH_MISSING = "search result missing required fields: "
+HEALTH_DETAILS_MISSING = "details missing required fields: "
+HEALTH_OK = ("search + details OK (", " results, all required fields populated)")
+HEALTH_COUNT = ("search returned ", " results")
+
 # ---- fixed values: budget and report rules --------------------------------
 BUDGET_MIN_BEDROOMS = 7
 BUDGET_MAX_RATE = 11000
