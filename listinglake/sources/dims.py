@@ -51,3 +51,13 @@ def places(geocoder: DataFrame) -> DataFrame:
         corner(3).alias("ne_lng"),
         F.coalesce("hit.display_name", "query").alias("display_name"),
     )
+
+
+def find_place(places_: DataFrame, city: str) -> dict:
+    """Bounding box of one city text; a city without one is refused."""
+    if not city or not city.strip():
+        raise ValueError("Provide either city or bbox")
+    rows = places_.filter(F.col("query_key") == city.strip().lower()).limit(1).collect()
+    if not rows:
+        raise ValueError(f"No geocoding result for {city!r}")
+    return rows[0].asDict()

@@ -9,8 +9,9 @@ from listinglake import fixed_values as fv
 from listinglake.operators import dedupe, filters, joins, rates, summary, topk, union
 from listinglake.operators.offers import cheapest_offer, first_search_area
 from listinglake.plans import budget, health, report, search
+from listinglake.plans.details import find_details
 from listinglake.schemas import to_record
-from listinglake.sources.dims import check_town, places, towns
+from listinglake.sources.dims import check_town, find_place, places, towns
 
 
 def ids(df):
@@ -219,6 +220,37 @@ def test_lookup_town_and_place(spark):
     assert found == {" ASHEVILLE, NC": "A", "x": None}
 
 
+def test_find_place(spark):
+    geo = spark.createDataFrame(
+        [("Asheville", '[{"boundingbox": ["35.5","35.7","-82.7","-82.4"]}]')], "query string, body string")
+    dim = places(geo)
+    assert find_place(dim, " ASHEVILLE ")["ne_lng"] == -82.4
+    with pytest.raises(ValueError, match="No geocoding result"):
+        find_place(dim, "Nowhere")
+    with pytest.raises(ValueError, match="Provide either"):
+        find_place(dim, " ")
+
+
+def test_find_details(spark):
+    rows = spark.createDataFrame(
+        [("5", "https://h/outer-banks/a/swb-36"), ("54", "https://h/outer-banks/b/110-d")],
+        "listing_id string, url string")
+    asked = {
+        fv.STAYS: "https://h/rooms/5?x=1", fv.CAROLINADESIGNS: "/p/5-name/", fv.CHURCHREALTY: "/property/5/",
+        fv.CREXI: 5, fv.REDFIN: "/NC/home/5", fv.SURFORSOUND: "/property/5", fv.TWIDDY: " 5 "}
+    for source, identifier in asked.items():
+        assert ids(find_details(rows, source, identifier)) == ["5"], source
+    for source in (fv.STAYS, fv.CREXI, fv.REDFIN, fv.SURFORSOUND, fv.TWIDDY):
+        with pytest.raises(ValueError, match="Cannot extract listing ID"):
+            find_details(rows, source, "not an id")
+    index = rows.withColumn("page", F.lit(1)).withColumn("pos", F.lit(0))
+    assert ids(find_details(rows, fv.SUNREALTY, "110-D", index)) == ["54"]
+    with pytest.raises(ValueError, match="index"):
+        find_details(rows, fv.SUNREALTY, "110-D")
+    homes = rows.withColumn("url", F.concat(F.lit(fv.TWIDDY_BASE + "/outer-banks/x"), "listing_id", F.lit("/")))
+    assert ids(find_details(homes, fv.TWIDDY, "/outer-banks/x54")) == ["54"]
+
+
 INDEX = [
     ("655", "https://h/outer-banks/a/SWB-36", 1, 0), ("7", "https://h/outer-banks/b/xswb-36", 1, 1),
     ("9", "https://h/outer-banks/b/110-d", 2, 0),
