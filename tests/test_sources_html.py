@@ -1,6 +1,7 @@
 """Page -> record, for the sources that answer in HTML."""
 
 import datetime as dt
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
@@ -75,6 +76,81 @@ def test_markup_text(spark):
     assert got == " Hello  big  &lt;world&gt; \n x &amp; y"
 
 
+class _Tree(HTMLParser):
+    """Independent check: nested lists from the standard parser."""
+
+    VOID = {"br", "img", "meta", "hr", "input", "link"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = ("", [])
+        self.path = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = (tag, [])
+        self.path[-1][1].append(node)
+        if tag not in self.VOID:
+            self.path.append(node)
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.path) - 1, 0, -1):
+            if self.path[i][0] == tag:
+                del self.path[i:]
+                return
+
+    def handle_comment(self, data):
+        self.path[-1][1].append(None)
+
+    def handle_data(self, data):
+        if self.path[-1][0] in ("script", "style"):
+            return
+        items = self.path[-1][1]
+        if items and isinstance(items[-1], str):
+            items[-1] += data
+        else:
+            items.append(data)
+
+    def rows(self):
+        out = []
+
+        def walk(items, depth):
+            for x in items:
+                if x is None or (isinstance(x, str) and not x.strip()):
+                    continue
+                at = len(out)
+                out.append(None)
+                if isinstance(x, str):
+                    out[at] = ("#text", at + 1, depth, x)
+                else:
+                    walk(x[1], depth + 1)
+                    out[at] = (x[0], len(out), depth, None)
+
+        walk(self.root[1], 0)
+        return out
+
+
+def test_nodes_match_the_standard_parser_on_whole_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(
+        "page_id", "html", html_nodes(F.col("html"), []).alias("n")
+    )
+    odd = [
+        "a < b <p>x</p> <P Class=a>y<br/>z", "<a href=it's>q</a><b title='>'>w</b>",
+        "<!-- <p> --><p>1<!-- c -->2</p>", "<script>if (a<b) '</p>'</script><i/>t</div>", "<p", "&lt;p&gt; &amp",
+    ]
+    extra = spark.createDataFrame(list(enumerate(odd)), "page_id long, html string").select(
+        "page_id", "html", html_nodes(F.col("html"), []).alias("n")
+    )
+    checked = 0
+    for row in pages.union(extra).collect():
+        tree = _Tree()
+        tree.feed(row["html"])
+        tree.close()
+        got = [(x["tag"], x["end"], x["depth"], x["text"]) for x in row["n"]]
+        assert got == tree.rows(), row["html"][:200]
+        checked += 1
+    assert checked > len(odd)
+
+
 # ---- churchrealty -------------------------------------------------------------
 
 
