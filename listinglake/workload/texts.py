@@ -16,8 +16,9 @@ _WS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(160)"
 
 
 def _decode(c: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        c = f"replace({c}, '{entity}', '{char}')"
+    """The references that occur in the pages; HTML reads them without ``;`` too."""
+    for name, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        c = f"regexp_replace({c}, '&{name};?', '{char}', 'g')"
     return c
 
 
