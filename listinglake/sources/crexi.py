@@ -84,7 +84,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
         rows = arrays.keep_present(F.transform(entries, value))
         return latest(
             pick(responses, fv.CREXI, kind).select(
-                "entity_id", *fetch_order(), status_to_rows(kind, rows).alias(kind)
+                "entity_id", *fetch_order(kind), status_to_rows(kind, rows).alias(kind)
             )
         )
 

@@ -61,12 +61,21 @@ def pick(responses: DataFrame, source: str, kind: str) -> DataFrame:
     return responses.filter((F.col("source") == source) & (F.col("kind") == kind))
 
 
-FETCH_COLUMNS = ["fetched_at", "body_hash"]
+FETCH_COLUMNS = ["usable", "fetched_at", "body_hash"]
 
 
-def fetch_order() -> list[Column]:
-    """Columns that order the fetches of one response; taken before the body goes."""
-    return [F.col("fetched_at"), F.xxhash64("body").alias("body_hash")]
+def fetch_order(kind: str | None = None) -> list[Column]:
+    """Columns that order the fetches of one response; taken before the body goes.
+
+    A usable response comes before a failed one, however new that is.  For side
+    lists some bad statuses are an answer as well.
+    """
+    answers = F.col("http_status").isin(fv.EMPTY_STATUSES.get(kind, []))
+    return [
+        (ok_status() | F.coalesce(answers, F.lit(False))).alias("usable"),
+        F.col("fetched_at"),
+        F.xxhash64("body").alias("body_hash"),
+    ]
 
 
 def latest(rows: DataFrame, key: str = "entity_id") -> DataFrame:
@@ -77,7 +86,7 @@ def latest(rows: DataFrame, key: str = "entity_id") -> DataFrame:
     fetched very often stays cheap, and joins on the key see it once.
     """
     newest = W.partitionBy(key).orderBy(
-        F.col("fetched_at").desc_nulls_last(), F.col("body_hash")
+        F.col("usable").desc(), F.col("fetched_at").desc_nulls_last(), F.col("body_hash")
     )
     return (
         rows.withColumn("_rn", F.row_number().over(newest))

@@ -319,6 +319,25 @@ def test_crexi_details_with_side_lists(landed):
     assert drift(t) == ["asset is not an object"]
 
 
+def test_failed_refetch_does_not_hide_a_good_response(landed):
+    may, june = dt.datetime(2026, 5, 1), dt.datetime(2026, 6, 1)
+    gallery = json.dumps([{"imageUrl": "https://1"}])
+    rows = [
+        (fv.CREXI, "details", '{"name": "old"}', {"entity_id": "1", "fetched_at": may}),
+        (fv.CREXI, "details", "x", {"entity_id": "1", "fetched_at": june, "http_status": 500}),
+        (fv.CREXI, "gallery", gallery, {"entity_id": "1", "fetched_at": may}),
+        (fv.CREXI, "gallery", "x", {"entity_id": "1", "fetched_at": june, "http_status": 503}),
+        (fv.CREXI, "details", '{"name": "a"}', {"entity_id": "2"}),
+        (fv.CREXI, "gallery", gallery, {"entity_id": "2", "fetched_at": may}),
+        (fv.CREXI, "gallery", "x", {"entity_id": "2", "fetched_at": june, "http_status": 404}),
+        (fv.CREXI, "details", "x", {"entity_id": "3", "http_status": 500}),
+    ]
+    t = detail_tables(landed(*rows), fv.CREXI)
+    got = {r.listing_id: (r.name, r.image_urls) for r in t.rows.collect()}
+    assert got == {"1": ("old", ["https://1"]), "2": ("a", [])}
+    assert drift(t) == ["HTTP status 500"]
+
+
 def test_sunrealty_search(landed):
     doc = {
         "item_id": "655", "is_eid": "9", "ss_name": "Blue Whale", "ss_url": "https://h/swb-36",
