@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from listinglake.llm import substring_dedup
+from listinglake.llm import ngram_join, substring_dedup
 from listinglake.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     }
 
