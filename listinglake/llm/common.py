@@ -84,6 +84,31 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return nodes.union(edges.select("b", "b").distinct())
 
 
+class Recent:
+    """What a worker remembers of the values it has computed, in two generations.
+
+    A full generation becomes the old one, and an older one is forgotten, so memory is
+    bounded and values in frequent use stay.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def hold(self, keys: set, make: Callable[[list], dict]) -> dict:
+        """The values of all ``keys``; ``make`` computes those that are not known."""
+        young, old = self.young, self.old
+        out = {k: young[k] for k in keys if k in young}
+        rest = [k for k in keys if k not in out]
+        again = {k: old[k] for k in rest if k in old}
+        again |= make([k for k in rest if k not in again])
+        if len(young) + len(again) > self.limit:
+            self.old, self.young = young, {}
+        self.young |= again
+        return out | again
+
+
 # ---- fixed-size bit tables ------------------------------------------------------
 
 

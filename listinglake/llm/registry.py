@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from listinglake.llm import ngram_join, substring_dedup
+from listinglake.llm import ngram_join, piece_codec, substring_dedup, token_counts
 from listinglake.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_counts": token_counts.op1_token_counts,
+        "op5_sentencepiece": piece_codec.op5_sentencepiece,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     }
