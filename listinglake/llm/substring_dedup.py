@@ -161,6 +161,8 @@ def repeated_spans(
         .where("source < last")
         .drop("last")
     )
+    # Written, so that both sides of the join are dealt for it and a hot key can be split.
+    source = settle(source, "sources")
     return (
         found.join(source, ["h1", "h2"])
         .where("id > source")
