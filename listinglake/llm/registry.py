@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from listinglake.llm import ngram_join, piece_codec, substring_dedup, token_counts
+from listinglake.llm import (
+    decontaminate, ngram_join, piece_codec, substring_dedup, token_counts, url_rules,
+)
 from listinglake.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
+        "op3_url_filters": url_rules.op3_url_filters,
         "op5_sentencepiece": piece_codec.op5_sentencepiece,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op7_decontamination": decontaminate.op7_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_url_filters": url_rules.OP3_SQL,
+        "op7_decontamination": decontaminate.OP7_SQL,
+    }
