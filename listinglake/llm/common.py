@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from listinglake.session import checkpoint_dir
 
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def more(schema: StructType, ddl: str) -> StructType:
+    """``schema`` and further columns."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

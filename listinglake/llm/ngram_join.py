@@ -40,7 +40,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import components, mark_table, marked, settle, table
+from listinglake.llm.common import (
+    components, mark_table, marked, more, settle, table,
+)
 from listinglake.llm.wordhash import mix, pieces, shingle_sets
 
 SHINGLE = 5
@@ -271,7 +273,7 @@ def _measure(pairs: DataFrame, docs: DataFrame, points: DataFrame, k: int) -> Da
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
     both = both.select("a", "b", *rest, "set_a", "set_b")
-    schema = both.select("a", "b", *rest).schema.add("common", "long")
+    schema = more(both.select("a", "b", *rest).schema, "common long")
     return both.mapInArrow(count, schema)
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from listinglake.llm.common import Recent, table
+from listinglake.llm.common import Recent, more, table
 from listinglake.llm.wordhash import pieces
 
 SPACE = "▁"
@@ -129,13 +129,11 @@ def encode_decode(
     docs: DataFrame, path: str, text_col: str = "text", with_ids: bool = True
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` (if asked for), ``ids_sha256`` and ``decoded_text``."""
-    own = {"n_tokens": "long", "ids_sha256": "string", "decoded_text": "string"}
-    if with_ids:
-        own["ids"] = "array<int>"
+    own = ["n_tokens", "ids_sha256", "decoded_text"] + ["ids"] * with_ids
     base = docs.drop(*own)
-    schema = base.schema
-    for name, kind in own.items():
-        schema = schema.add(name, kind)
+    keep = base.columns
+    columns = "n_tokens long, ids_sha256 string, decoded_text string"
+    schema = more(base.schema, columns + ", ids array<int>" * with_ids)
 
     def run(batches):
         tool = codec(path)
@@ -150,8 +148,8 @@ def encode_decode(
                 if with_ids:
                     columns.append(pa.array(coded, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in base.columns] + columns,
-                    names=[*base.columns, *own],
+                    [part.column(c) for c in keep] + columns,
+                    names=[*keep, *own],
                 )
 
     return base.mapInArrow(run, schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import mark_table, marked, settle, table
+from listinglake.llm.common import mark_table, marked, more, settle, table
 from listinglake.llm.wordhash import (
     pieces, span_hashes, window_hashes, word_hashes, words_of,
 )
@@ -226,9 +226,9 @@ def remove_repeats(
                 names=[*keep, *own],
             )
 
-    schema = joined.select(*keep).schema
-    for name, kind in zip(own, ("long", "long", "string")):
-        schema = schema.add(name, kind)
+    schema = more(
+        joined.select(*keep).schema, "n_words long, n_removed long, kept_text string"
+    )
     return joined.mapInArrow(cut, schema)
 
 

@@ -34,9 +34,8 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from listinglake.llm.common import Recent, table
+from listinglake.llm.common import Recent, more, table
 from listinglake.llm.wordhash import pieces
 
 LIMIT = 2048
@@ -267,11 +266,10 @@ def count_tokens(
     The maps of a text are composed where its chunks were read: a row's text is in one
     task anyway, so the scan needs no shuffle.
     """
-    own = {"n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"}
+    own = ["n_bytes", "n_tokens", "over_limit"]
     base = docs.drop(*own)
-    schema = base.schema
-    for name, kind in own.items():
-        schema = schema.add(name, kind)
+    keep = base.columns
+    schema = more(base.schema, "n_bytes long, n_tokens long, over_limit boolean")
 
     def count(batches):
         tool = counter(path)
@@ -288,13 +286,13 @@ def count_tokens(
                         ]
                     tokens.append(tool.close(level[0]) if level else 0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in base.columns]
+                    [part.column(c) for c in keep]
                     + [
                         pa.array([len(t.encode()) for t in texts], pa.int64()),
                         pa.array(tokens, pa.int64()),
                         pa.array([n > limit for n in tokens], pa.bool_()),
                     ],
-                    names=[*base.columns, *own],
+                    names=[*keep, *own],
                 )
 
     return base.mapInArrow(count, schema)
