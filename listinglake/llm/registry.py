@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from listinglake.llm import (
-    decontaminate, ngram_join, piece_codec, substring_dedup, token_counts, url_rules,
+    decontaminate, license_scan, ngram_join, piece_codec, shard_packing, substring_dedup,
+    token_counts, url_rules,
 )
 from listinglake.llm.common import Query
 
@@ -16,6 +17,8 @@ def queries() -> dict[str, Query]:
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op7_decontamination": decontaminate.op7_decontamination,
+        "op8_sharding": shard_packing.op8_sharding,
+        "op10_license_scan": license_scan.op10_license_scan,
     }
 
 
@@ -23,4 +26,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_filters": url_rules.OP3_SQL,
         "op7_decontamination": decontaminate.OP7_SQL,
+        "op10_license_scan": license_scan.OP10_SQL,
     }
