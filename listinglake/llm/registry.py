@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from listinglake.llm import (
     decontaminate, license_scan, ngram_join, piece_codec, shard_packing, substring_dedup,
-    token_counts, url_rules,
+    token_counts, toxicity, url_rules,
 )
 from listinglake.llm.common import Query
 
@@ -13,6 +13,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
         "op3_url_filters": url_rules.op3_url_filters,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_sentencepiece": piece_codec.op5_sentencepiece,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
