@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from listinglake.llm import (
-    decontaminate, license_scan, ngram_join, piece_codec, shard_packing, substring_dedup,
-    token_counts, toxicity, url_rules,
+    decontaminate, embedding_dedup, license_scan, ngram_join, piece_codec, shard_packing,
+    substring_dedup, token_counts, toxicity, url_rules,
 )
 from listinglake.llm.common import Query
 
@@ -12,13 +12,14 @@ from listinglake.llm.common import Query
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
+        "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_url_filters": url_rules.op3_url_filters,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_sentencepiece": piece_codec.op5_sentencepiece,
-        "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op7_decontamination": decontaminate.op7_decontamination,
         "op8_sharding": shard_packing.op8_sharding,
+        "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op10_license_scan": license_scan.op10_license_scan,
     }
 
