@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from listinglake.llm import (
     decontaminate, embedding_dedup, license_scan, ngram_join, piece_codec, shard_packing,
     substring_dedup, token_counts, toxicity, url_rules,
@@ -11,6 +12,7 @@ from listinglake.llm.common import Query
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_token_counts": token_counts.op1_token_counts,
         "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_url_filters": url_rules.op3_url_filters,
@@ -25,8 +27,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
         "op3_url_filters": url_rules.OP3_SQL,
         "op7_decontamination": decontaminate.OP7_SQL,
         "op10_license_scan": license_scan.OP10_SQL,
     }
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
