@@ -50,7 +50,7 @@ SHINGLE = 5
 PERCENT = 75
 LEVELS = 2
 
-COUNT_BITS = 20  # the counting table: 2**20 counters, 8 MB
+COUNT_BITS = 22  # the counting table: 2**22 counters of 4 bytes, 16 MB
 COUNT_SLICES = 64
 # Regions expected to hold more rows than this are dealt to several tasks.
 REGION_ROWS = 1 << 16
@@ -76,13 +76,13 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
     width = (1 << COUNT_BITS) // COUNT_SLICES
 
     def profile(batches):
-        counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        counts = np.zeros(1 << COUNT_BITS, dtype=np.uint32)
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = shingle_sets(part.column("text"), k)
                 if sets:
-                    at = _counter_of(np.concatenate(sets))
-                    counts += np.bincount(at, minlength=len(counts))
+                    at, times = np.unique(_counter_of(np.concatenate(sets)), return_counts=True)
+                    counts[at] += times.astype(np.uint32)
                 keys = [_key(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -111,15 +111,21 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two counts; one that would run over stays at the greatest value."""
+    total = a + b
+    return np.where(total < a, np.uint32(0xFFFFFFFF), total)
+
+
 def _shingle_counts(profile: DataFrame) -> np.ndarray:
-    """The counting tables of all tasks, added up slice by slice; 8 MB reach the driver."""
+    """The counting tables of all tasks, added up slice by slice; 16 MB reach the driver."""
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(counts), dtype=np.int64)
-                total[i] = total[i] + part if i in total else part
+                part = np.frombuffer(zlib.decompress(counts), dtype=np.uint32)
+                total[i] = _add(total[i], part) if i in total else part
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(total), pa.int32()),
@@ -129,9 +135,9 @@ def _shingle_counts(profile: DataFrame) -> np.ndarray:
         )
 
     parts = profile.where("slice is not null").select("slice", "counts")
-    out = np.zeros((COUNT_SLICES, (1 << COUNT_BITS) // COUNT_SLICES), dtype=np.int64)
+    out = np.zeros((COUNT_SLICES, (1 << COUNT_BITS) // COUNT_SLICES), dtype=np.uint32)
     for row in parts.repartition("slice").mapInArrow(add, "slice int, counts binary").collect():
-        out[row["slice"]] += np.frombuffer(row["counts"], dtype=np.int64)
+        out[row["slice"]] = np.frombuffer(row["counts"], dtype=np.uint32)
     return out.reshape(-1)
 
 
@@ -158,7 +164,7 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                     if len(seen) >= 200_000:  # only saves work: equal rows go below
                         seen.clear()
                     seen.add(key)
-                    rarity = counts[_counter_of(shingles)]
+                    rarity = counts[_counter_of(shingles)].astype(np.int64)
                     reach = n * (100 - percent) // 100 + 1
                     first = np.lexsort((shingles, rarity))[:reach]
                     slices = rarity[first] // REGION_ROWS + 1
@@ -281,15 +287,47 @@ def _linked(percent: int) -> Column:
     return F.expr(f"100 * common >= {percent} * (na + nb - common)")
 
 
-def _possible(percent: int) -> Column:
-    """Sizes and ranks in a common region still allow a link."""
-    most = "1L + least(na - ra - 1, nb - rb - 1)"
-    return F.expr(
+def _possible(percent: int, first: bool) -> str:
+    """SQL: sizes and ranks in a common region still allow a link.
+
+    ``first``: if the region's pivot is the first common shingle; else at most all those
+    before the lower rank are common too.
+    """
+    most = "1L + least(na - ra - 1, nb - rb - 1)" + ("" if first else " + least(ra, rb)")
+    return (
         f"100 * least(na, nb) >= {percent} * greatest(na, nb) "
-        f"and (100 + {percent}) * ({most}) >= {percent} * (cast(na as long) + nb)"
+        f"and {100 + percent} * ({most}) >= {percent} * (cast(na as long) + nb)"
+    )
+
+
+def _candidates(met: DataFrame, percent: int, share: float) -> DataFrame:
+    """(a, b, na, nb, met) of pairs that share enough regions; ``met`` has a row for each.
+
+    ``share`` is the part of the regions that ``met`` has.
+    """
+    return (
+        met.where(_possible(percent, first=False))
+        .groupBy("a", "b", "na", "nb")
+        .agg(
+            F.count(F.lit(1)).alias("met"),
+            F.bool_or(F.expr(_possible(percent, first=True))).alias("possible"),
+        )
+        .where(f"possible and met >= {share} * {_least_met(percent)}")
     )
 
 
+def _least_met(percent: int) -> str:
+    """SQL: the regions that two linked points share at least.
+
+    Of their common shingles, at least ``least`` many, the j-th is behind at most j - 1
+    common ones and n - least others of its set, and in a region if that is at most the
+    window; so all are up to the one that fills the window of the larger set.
+    """
+    least = f"ceil({percent} * (cast(na as long) + nb) / {100 + percent} - 1e-9)"
+    window = f"greatest(na - floor(na * {100 - percent} / 100), nb - floor(nb * {100 - percent} / 100))"
+    return f"greatest(1 + {least} - {window}, 1)"
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -312,27 +350,35 @@ def jaccard_components(
     placed = regions.select("key").distinct()
 
     eps = (100 - percent) / 100
-    links = None
-    tried = None  # (key, pivot document, distance) of the points measured so far
-    home = regions.select("key").distinct().withColumn("home", F.col("key"))
+    links = tried = None
+    home = placed.withColumn("home", F.col("key"))
     for level in range(levels):
-        # Regions with texts that are not connected yet; their pivot is the smallest key
-        # of the part outside the last pivot's ball.
+        # Per region, the most central text of each part: few rarer shingles before the
+        # region's.  The pivot is the most central of all, then that of a part outside.
         here = regions.join(home, "key")
-        centre = here.groupBy("pivot").agg(
-            (F.min if level % 2 == 0 else F.max)(F.struct("home", "key", "n", "rank")).alias("p"),
-            F.min("home").alias("low"), F.max("home").alias("high"),
-        ).where("low != high")
+        central = F.min(F.struct(F.expr("rank / n").alias("off"), "key", "n", "rank"))
+        parts = here.groupBy("pivot", "home").agg(central.alias("p"))
+        pick = F.min if level % 2 == 0 else F.max
+        centre = (
+            parts.groupBy("pivot")
+            .agg(
+                pick(F.struct("p", "home")).alias("c"),
+                F.min("home").alias("low"), F.max("home").alias("high"),
+            )
+            .where("low != high")
+            .select("pivot", "c.p", F.col("c.home").alias("p_home"))
+        )
         near = (
             here.join(centre, "pivot")
-            .where("key != p.key and home != p.home")
+            .where("home != p_home")
             .select(
                 F.col("key").alias("a"), F.col("p.key").alias("b"), F.col("n").alias("na"),
                 F.col("p.n").alias("nb"), F.col("rank").alias("ra"), F.col("p.rank").alias("rb"),
             )
-            .where(_possible(percent))
-            .groupBy("a", "b", "na", "nb")
-            .agg(F.count(F.lit(1)).alias("met"))
+        )
+        # Those worth measuring now; whatever is passed over is met at the boundary.
+        near = (
+            _candidates(near, percent, 0.5)
             .groupBy("a", "na")
             .agg(F.max_by(F.struct("b", "nb"), F.struct("met", "b")).alias("p"))
             .select("a", "p.b", "na", "p.nb")
@@ -347,9 +393,6 @@ def jaccard_components(
         links = new if links is None else links.union(new)
         home = _homes(placed, links)
 
-    last = tried.groupBy("key").agg(
-        F.map_from_entries(F.collect_set(F.struct("centre", "distance"))).alias("seen")
-    )
     here = regions.join(home, "key")
     mixed = (
         here.groupBy("pivot")
@@ -357,25 +400,30 @@ def jaccard_components(
         .where("low != high")
         .select("pivot")
     )
+    last = tried.groupBy("key").agg(
+        F.map_from_entries(F.collect_set(F.struct("centre", "distance"))).alias("seen")
+    )
     here = settle(here.join(mixed, "pivot", "left_semi").join(last, "key", "left"), "boundary")
     x, y = here.alias("x"), here.alias("y")
     apart = (
-        x.join(y, F.expr("x.pivot = y.pivot and x.key < y.key and x.home != y.home"))
+        x.join(
+            y,
+            F.expr(
+                "x.pivot = y.pivot and x.key < y.key and x.home != y.home"
+                # measured against each other already
+                " and not coalesce(map_contains_key(x.seen, y.key), false)"
+                " and not coalesce(map_contains_key(y.seen, x.key), false)"
+            ),
+        )
         .selectExpr(
             "x.key as a", "y.key as b", "x.n as na", "y.n as nb", "x.rank as ra",
             "y.rank as rb", "x.seen as sa", "y.seen as sb",
         )
-        .where(_possible(percent))
-        .where(
-            # measured against each other already
-            "not coalesce(map_contains_key(sa, b), false) "
-            "and not coalesce(map_contains_key(sb, a), false) "
-            # triangle inequality over a common pivot
-            f"and not coalesce(exists(map_keys(sa), c -> abs(sa[c] - sb[c]) > {eps} + 1e-9), false)"
+        .where(  # triangle inequality over a common pivot
+            f"not coalesce(exists(map_keys(sa), c -> abs(sa[c] - sb[c]) > {eps} + 1e-9), false)"
         )
-        .select("a", "b", "na", "nb")
-        .distinct()
     )
+    apart = _candidates(apart, percent, 1).select("a", "b", "na", "nb")
     closing = _measure(apart, rows, points, shingle).where(_linked(percent)).select("a", "b")
     closing = settle(closing, "closing")
     home = _homes(placed, links.union(closing))
