@@ -28,8 +28,10 @@ WINDOW = 10
 # 400,000 windows of about 100 bytes are 40 MB.
 BROADCAST_WINDOWS = 400_000
 
-# Bytes that separate words: all of ASCII but digits and letters.
+# What separates words once A-Z are lower case: all of ASCII but digits and a-z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same in a text as it stands.
+RAW = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 def words(text: Column) -> Column:
@@ -172,10 +174,9 @@ def remove_hits(
         .select(F.col("id").alias("_id"), F.col("print").alias("_print"), _hit_words().alias("_at"))
     )
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_print"))
-    word = SEPARATORS.replace("[", "[^", 1)
     text = F.col(text_col)
-    lead = F.regexp_extract(text, r"\A" + SEPARATORS.replace("+", "*"), 0)
-    parts = F.regexp_extract_all(text, F.lit(word + SEPARATORS.replace("+", "*")), F.lit(0))
+    lead = F.regexp_extract(text, rf"\A[{RAW}]*", 0)
+    parts = F.regexp_extract_all(text, F.lit(f"[^{RAW}]+[{RAW}]*"), F.lit(0))
     kept = F.filter(parts, lambda _, i: ~F.array_contains("_at", i))
     cut = F.concat(lead, F.array_join(kept, ""))
     return docs.join(hit, on, "left").select(
