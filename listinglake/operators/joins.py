@@ -14,6 +14,7 @@ from listinglake.functions import ids
 from listinglake.functions.text import strip
 from listinglake.operators.dedupe import dedupe_first
 from listinglake.schemas import ORDER_COLUMNS
+from listinglake.session import settled
 from listinglake.sources.dims import place_key, towns
 
 
@@ -25,23 +26,15 @@ def combine_left(base: DataFrame, sides: list[DataFrame], key: str) -> DataFrame
 
 
 def join_unique(
-    rows: DataFrame, unique: DataFrame, key: str, how: str = "inner", salts: int = 8
+    rows: DataFrame, unique: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
     """Join rows whose keys may repeat a lot with a side that has each key once.
 
     The unique side is the result of a grouping on the key, and run-time skew
-    handling does not reach through that.  So the rows of a key are spread over
-    salted slices and the unique side, meant to be much the smaller, is repeated
-    once per slice.
+    handling does not reach through that.  So it is written first: then both sides are
+    exchanged for the join, and a hot key's rows are split, equal ones too.
     """
-    hashable = [
-        f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()
-    ]
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    copies = unique.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+    return rows.join(settled(unique, "unique"), key, how)
 
 
 def left_or_empty(base: DataFrame, sides: dict[str, DataFrame], key: str) -> DataFrame:
@@ -52,11 +45,20 @@ def left_or_empty(base: DataFrame, sides: dict[str, DataFrame], key: str) -> Dat
 
 
 def merge_details(
-    listings: DataFrame, details: DataFrame, columns: list[str], key: str = "listing_id"
+    listings: DataFrame,
+    details: DataFrame,
+    columns: list[str],
+    key: str = "listing_id",
+    how: str = "inner",
 ) -> DataFrame:
-    """Listing columns plus the named detail columns; the detail wins on a clash."""
+    """Listing columns plus the named detail columns; the detail wins on a clash.
+
+    Of several detail rows for a key the first counts, so listings never multiply.
+    """
     kept = [c for c in listings.columns if c not in columns]
-    return listings.select(*kept).join(details.select(key, *columns), key)
+    order = [c for c in ORDER_COLUMNS if c in details.columns and c not in columns]
+    first = dedupe_first(details.select(key, *columns, *order), [key], order or columns)
+    return listings.select(*kept).join(first.select(key, *columns), key, how)
 
 
 def lookup_town(df: DataFrame, source: str, slug: str = "town") -> DataFrame:
@@ -103,10 +105,10 @@ def resolve_identifiers(
 ) -> DataFrame:
     """``resolve_identifier`` for a whole table of requests, as equi-joins.
 
-    A code can end anywhere in a URL, so the URLs are offered under their suffixes
-    of exactly the lengths that occur among the codes.  There are at most as many
-    lengths as characters in the longest code, which is what is collected here.
-    Suffixes are reduced to their first URL before the join.
+    A code matches the end of a URL.  Codes are grouped by the greatest power of two
+    within their length and joined on that many last characters, so a URL is offered
+    once per power of two, however many lengths the codes have; the rest of the code is
+    compared then.
     """
     asked = requests.withColumn("_key", ids.sunrealty_key(F.col(identifier)))
     keys = asked.select("_key").distinct()
@@ -122,17 +124,22 @@ def resolve_identifiers(
         by_id, entries.withColumn("_key", F.col("listing_id").cast("string"))
     ).unionByName(first_hit(by_url, entries.withColumn("_key", F.col("url"))))
     is_code = ~by_id & ~by_url & (F.col("_key") != "")
-    lengths = [
-        r[0] for r in keys.filter(is_code).select(F.length("_key")).distinct().collect()
-    ]
-    if lengths:
-        low = F.lower("url")
-        tails = F.transform(
-            F.array(*map(F.lit, sorted(lengths))),
-            lambda n: F.when(F.length(low) >= n, F.right(low, n)),
-        )
-        offered = entries.withColumn(
-            "_key", F.explode(F.filter(tails, lambda t: t.isNotNull()))
-        )
-        hits = hits.unionByName(first_hit(is_code, offered))
+    low = F.lower("url")
+    codes = keys.filter(is_code).withColumn(
+        "_n", F.expr("shiftleft(1, length(bin(length(_key))) - 1)")
+    )
+    powers = F.expr(
+        "transform(sequence(0, length(bin(length(url))) - 1), e -> shiftleft(1, e))"
+    )
+    offered = (
+        entries.filter(F.length("url") > 0)
+        .withColumn("_n", F.explode(powers))
+        .withColumn("_tail", F.right(low, F.col("_n")))
+    )
+    matched = offered.join(
+        codes.withColumn("_tail", F.expr("right(_key, _n)")), ["_n", "_tail"]
+    ).filter(F.endswith(low, F.col("_key")))
+    first = F.min(F.struct(*ORDER_COLUMNS, "listing_id", "url")).alias("_first")
+    matched = matched.groupBy("_key").agg(first)
+    hits = hits.unionByName(matched.select("_key", "_first.listing_id", "_first.url"))
     return join_unique(asked, hits, "_key").drop("_key")

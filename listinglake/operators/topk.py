@@ -8,10 +8,7 @@ from pyspark.sql import Window as W
 
 from listinglake.operators.offers import FIRST_SEEN
 from listinglake.schemas import ORDER_COLUMNS
-
-# Up to this size Spark itself limits each group before the shuffle.
-PLANNED_GROUP_LIMIT = 1000
-
+from listinglake.session import settled
 
 def _check_cap(n: int) -> None:
     if n < 0:
@@ -43,10 +40,9 @@ def cap_per_group(
 ) -> DataFrame:
     """First ``n`` rows of every group.
 
-    Small caps are cut per task before the shuffle.  Above Spark's own limit for
-    that, groups are first cut inside salted slices, which keeps the result exact
-    (a row in the first ``n`` of its group is in the first ``n`` of its slice)
-    while no task ever sorts a whole hot group.
+    Groups are first cut inside salted slices, which keeps the result exact (a row in
+    the first ``n`` of its group is in the first ``n`` of its slice) while no task ever
+    sorts a whole hot group.
     """
     _check_cap(n)
     order = order or ORDER_COLUMNS
@@ -55,10 +51,8 @@ def cap_per_group(
         position = F.row_number().over(W.partitionBy(*by).orderBy(*order))
         return rows.withColumn("_rn", position).filter(F.col("_rn") <= n).drop("_rn")
 
-    if n > PLANNED_GROUP_LIMIT:
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-        df = cut(df, [*keys, "_salt"]).drop("_salt")
-    return cut(df, keys)
+    df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    return cut(cut(df, [*keys, "_salt"]).drop("_salt"), keys)
 
 
 def sort_by_rate(
@@ -71,7 +65,7 @@ def top_and_honorable(
     df: DataFrame,
     top_n: int,
     honorable_n: int,
-    min_reviews: int = 5,
+    min_reviews: int,
     price: str = "total_price",
     ties: str = "listing_id",
 ) -> tuple[DataFrame, DataFrame]:
@@ -84,13 +78,26 @@ def top_and_honorable(
 
 
 def with_rank(
-    df: DataFrame, order: list[str], n: int, rank: str = "Rank"
+    df: DataFrame, order: list[str], n: int | None = None, rank: str = "Rank"
 ) -> DataFrame:
-    """The first ``n`` rows in ``order``, numbered from 1.
+    """All rows numbered from 1 in ``order``, or the first ``n`` of them.
 
-    A report table: the top-n comes first, so the global window only ever sees
-    those ``n`` rows.
+    Rows are dealt to tasks by ranges of the order and written, so that the ranges
+    stay as they are; each is numbered by itself, behind the rows of the ranges before
+    it.  Only the table of range sizes, a row for each task, is ordered as a whole.
     """
-    return cap(df, n, order).withColumn(
-        rank, F.row_number().over(W.orderBy(*order))
+    if n is not None:
+        return cap(df, n, order).withColumn(rank, F.row_number().over(W.orderBy(*order)))
+    dealt = settled(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranked"
+    )
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_n"))
+    within = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return (
+        dealt.withColumn("_at", within)
+        .join(F.broadcast(offsets), "_range")
+        .withColumn(rank, (F.col("_n") + F.col("_at")).cast("int"))
+        .drop("_range", "_n", "_at")
     )

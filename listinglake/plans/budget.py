@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from listinglake import fixed_values as fv
 from listinglake.functions.dates import us_date
 from listinglake.functions.numbers import dollar_amount
+from listinglake.functions.text import strip
 from listinglake.operators.filters import filter_budget, filter_min_bedrooms
 from listinglake.operators.joins import join_unique, merge_details
 from listinglake.operators.rates import first_week
@@ -27,6 +28,17 @@ class BudgetResult:
     funnel: DataFrame
 
 
+def _town_names(towns: list[str]) -> list[str]:
+    """Both spellings of each town, as listings hold its slug or its display name."""
+    names = set()
+    for asked in (t.strip().lower() for t in towns):
+        names.add(asked)
+        for _, slug, _, display in fv.TOWNS:
+            if asked in (slug, display.lower()):
+                names |= {slug, display.lower()}
+    return sorted(names)
+
+
 def _large_homes(
     listings: DataFrame,
     towns: list[str] | None,
@@ -35,7 +47,7 @@ def _large_homes(
 ) -> DataFrame:
     """Union of the per-town searches, as one scan; a search may have a cap."""
     if towns:
-        listings = listings.filter(F.col("town").isin(towns))
+        listings = listings.filter(F.lower(strip(F.col("town"))).isin(_town_names(towns)))
     homes = filter_min_bedrooms(listings, min_bedrooms)
     if max_per_town is None:
         return homes
@@ -72,7 +84,8 @@ def week_budget_display_rate(
     ``target`` is an ISO date, the rate rows carry ``M/d/yyyy``.
     """
     homes = merge_details(
-        _large_homes(listings, towns, min_bedrooms, max_per_town), details, ["sleeps"]
+        _large_homes(listings, towns, min_bedrooms, max_per_town), details, ["sleeps"],
+        how="left",
     )
     week = us_date(F.col("arrival_date")) == F.lit(target).cast("date")
     rows = _with_week(
@@ -107,6 +120,7 @@ def week_budget_open_flag(
         _large_homes(listings, towns, min_bedrooms, max_per_town),
         details,
         ["bathrooms_full", "bathrooms_half"],
+        how="left",
     )
     rows = _with_week(
         homes,

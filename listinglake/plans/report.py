@@ -29,10 +29,11 @@ def _sheet(df: DataFrame, headers: list[str], values: dict[str, Column | str]) -
 def stays_report(
     offers: DataFrame,
     order: list[str],
+    *,
+    top_n: int,
+    honorable_n: int,
+    min_reviews: int,
     check_ins: list[str] | None = None,
-    min_reviews: int = 5,
-    top_n: int = 12,
-    honorable_n: int = 4,
     town: str = "town",
 ) -> dict[str, DataFrame]:
     """Top picks (ranked) and honorable mentions of the cheapest offers."""
@@ -70,7 +71,7 @@ _DIRECT = {
 }
 
 
-def carolinadesigns_report(in_budget: DataFrame, n: int = fv.DEFAULT_CAP) -> DataFrame:
+def carolinadesigns_report(in_budget: DataFrame, n: int | None = None) -> DataFrame:
     return _sheet(
         with_rank(in_budget, ["rate", "listing_id"], n),
         fv.CAROLINADESIGNS_REPORT,
@@ -84,7 +85,7 @@ def carolinadesigns_report(in_budget: DataFrame, n: int = fv.DEFAULT_CAP) -> Dat
     )
 
 
-def twiddy_report(in_budget: DataFrame, n: int = fv.DEFAULT_CAP) -> DataFrame:
+def twiddy_report(in_budget: DataFrame, n: int | None = None) -> DataFrame:
     return _sheet(
         with_rank(in_budget, ["rate", "listing_id"], n),
         fv.TWIDDY_REPORT,
@@ -99,7 +100,7 @@ def twiddy_report(in_budget: DataFrame, n: int = fv.DEFAULT_CAP) -> DataFrame:
     )
 
 
-def surforsound_report(in_budget: DataFrame, n: int = fv.DEFAULT_CAP) -> DataFrame:
+def surforsound_report(in_budget: DataFrame, n: int | None = None) -> DataFrame:
     return _sheet(
         with_rank(in_budget, ["rate", "listing_id"], n),
         fv.SURFORSOUND_REPORT,

@@ -167,7 +167,8 @@ def search_crexi(
     """Rows landed for ``query``; type and price are filtered here."""
     if not query:
         raise ValueError("query is required")
-    rows = filters.filter_contains_ci(listings, "property_type", property_type)
+    rows = listings.filter(F.col("query") == query)
+    rows = filters.filter_contains_ci(rows, "property_type", property_type)
     rows = filters.filter_price_range(rows, min_price, max_price)
     return _result(cap(rows, max_results), "crexi_listing", query, "search_query")
 
@@ -182,7 +183,8 @@ def search_redfin(
     max_results: int = fv.DEFAULT_CAP,
 ) -> SearchResult:
     """Rows landed for one ZIP page."""
-    rows = filters.filter_beds_range(listings, min_beds, max_beds)
+    rows = listings.filter(F.col("zip_code") == zip_code)
+    rows = filters.filter_beds_range(rows, min_beds, max_beds)
     rows = filters.filter_price_range(rows, min_price, max_price)
     return _result(cap(rows, max_results), "redfin_listing", f"ZIP {zip_code}")
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Cluster sizing (executors, memory, cores) stays
 # with whoever submits the job.
@@ -51,3 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="listinglake-")
     return _local_scratch[app]
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read back.
+
+    A join on the result exchanges both sides itself, so run-time skew handling can
+    split a hot key, which it can't behind a grouping.  Files stay until the folder
+    is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/listinglake/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -64,6 +64,7 @@ def listings(payloads: DataFrame) -> DataFrame:
     place = first_location(item["locations"])
     rows = explode_items(payloads).select(
         *ORDER_COLUMNS,
+        F.col("params")["query"].alias("query"),
         item["id"].alias("listing_id"),
         urls.from_slug(fv.CREXI_BASE, item["urlSlug"], item["id"]).alias("url"),
         text_or_empty(item["name"]).alias("name"),
@@ -73,7 +74,7 @@ def listings(payloads: DataFrame) -> DataFrame:
         item["squareFootage"].alias("building_sqft"),
         item["thumbnailUrl"].alias("image_url"),
     )
-    return to_record(rows, "crexi_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "crexi_listing", keep=[*ORDER_COLUMNS, "query"])
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:

@@ -43,13 +43,20 @@ def places(geocoder: DataFrame) -> DataFrame:
     def corner(i: int) -> Column:
         return F.get(F.col("hit.boundingbox"), F.lit(i)).try_cast("double")
 
-    return first.filter(F.col("hit").isNotNull()).select(
+    boxes = first.filter(F.col("hit").isNotNull()).select(
         place_key(F.col("query")).alias("query_key"),
         corner(0).alias("sw_lat"),
         corner(2).alias("sw_lng"),
         corner(1).alias("ne_lat"),
         corner(3).alias("ne_lng"),
         F.coalesce("hit.display_name", "query").alias("display_name"),
+        "query",
+    )
+    # Queries that differ in case or blanks are one key; the first spelling counts.
+    names = ["sw_lat", "sw_lng", "ne_lat", "ne_lng", "display_name"]
+    box = F.min(F.struct("query", *names)).alias("box")
+    return boxes.groupBy("query_key").agg(box).select(
+        "query_key", *[F.col(f"box.{c}").alias(c) for c in names]
     )
 
 

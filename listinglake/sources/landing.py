@@ -17,6 +17,7 @@ from listinglake import schemas
 
 REQUEST_COLUMNS = [
     "source", "kind", "entity_id", "params", "check_in", "nights", "page", "http_status",
+    "fetch",
 ]
 
 
@@ -58,7 +59,9 @@ def read_pages(spark: SparkSession, path: str, source: str, kind: str) -> DataFr
 
 
 def pick(responses: DataFrame, source: str, kind: str) -> DataFrame:
-    return responses.filter((F.col("source") == source) & (F.col("kind") == kind))
+    """Responses of one kind, with what orders the fetches of one request."""
+    df = responses.filter((F.col("source") == source) & (F.col("kind") == kind))
+    return df.withColumn("fetch", F.struct(*fetch_order(kind)))
 
 
 FETCH_COLUMNS = ["usable", "fetched_at", "body_hash"]
@@ -124,13 +127,36 @@ def status_to_rows(kind: str, rows: Column) -> Column:
 
 def payload_table(df: DataFrame, drift: Column, items: Column) -> DataFrame:
     """Parsed payloads; a drifted response keeps its row but has no items."""
-    return df.select(
-        *REQUEST_COLUMNS,
-        drift.alias("drift"),
-        F.when(drift.isNull(), items).alias("items"),
+    return newest_fetch(
+        df.select(
+            *REQUEST_COLUMNS,
+            drift.alias("drift"),
+            F.when(drift.isNull(), items).alias("items"),
+        )
     )
 
 
+def newest_fetch(payloads: DataFrame) -> DataFrame:
+    """One row per request: its newest usable response, else its newest one.
+
+    A request is an entity or a set of parameters, with its dates and page.  The rank-1
+    filter cuts every request to one row per task before the shuffle.  A stream has
+    no end to compare fetches over; there every response is passed on.
+    """
+    if payloads.isStreaming:
+        return payloads
+    asked = F.to_json(F.array_sort(F.map_entries("params")))
+    newest = W.partitionBy(
+        "source", "kind", "entity_id", asked, "check_in", "nights", "page"
+    ).orderBy(
+        F.col("fetch.usable").desc(),
+        F.col("fetch.fetched_at").desc_nulls_last(),
+        F.col("fetch.body_hash"),
+    )
+    rank = payloads.withColumn("_rn", F.row_number().over(newest))
+    return rank.filter(F.col("_rn") == 1).drop("_rn")
+
+
 def explode_items(payloads: DataFrame) -> DataFrame:
     """One row per raw record of the usable responses, with its position.
 

@@ -72,6 +72,7 @@ def listings(payloads: DataFrame) -> DataFrame:
 
     rows = explode_items(payloads).select(
         *ORDER_COLUMNS,
+        F.col("params")["zip_code"].alias("zip_code"),
         ids.home_id(item["url"], item["propertyId"], item["listingId"]).alias("listing_id"),
         F.when(
             present(item["url"]).isNotNull(), F.concat(F.lit(fv.REDFIN_BASE), item["url"])
@@ -92,7 +93,7 @@ def listings(payloads: DataFrame) -> DataFrame:
             item["dataSourceId"], item["mlsId"]["value"], item["photoFormat"]
         ).alias("image_url"),
     ).filter(F.col("listing_id").isNotNull())
-    return to_record(rows, "redfin_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "redfin_listing", keep=[*ORDER_COLUMNS, "zip_code"])
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:

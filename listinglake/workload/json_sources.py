@@ -429,7 +429,8 @@ def crexi_search_responses(spark, sf):
     body = F.when(key % 23 == 0, '{"totalCount": 0}').otherwise(
         cat('{"data": ', F.to_json(home_list(result)), ', "totalCount": 3}')
     )
-    return responses(keyed(spark, sf, "orders"), fv.CREXI, "search", body, page=key)
+    asked = {"query": F.when(key % 2 == 0, "church").otherwise("depot")}
+    return responses(keyed(spark, sf, "orders"), fv.CREXI, "search", body, params=asked, page=key)
 
 
 _CREXI = f"""
@@ -444,11 +445,28 @@ crexi AS (
     CASE WHEN id % 4 <> 0 THEN {AMOUNT} END AS price,
     CASE WHEN id % 6 <> 0 THEN 'Retail, ' || kind_text ELSE '' END AS property_type,
     CASE WHEN id % 5 <> 0 THEN CAST(id % 7000 AS INTEGER) END AS building_sqft,
-    'https://t/' || id AS image_url, CAST(k AS INTEGER) AS page, pos
+    'https://t/' || id AS image_url, CAST(k AS INTEGER) AS page, pos,
+    CASE WHEN k % 2 = 0 THEN 'church' ELSE 'depot' END AS query
   FROM homes WHERE k % 23 <> 0
 )"""
 
 
+def refetched(landed, body):
+    """Every response landed twice more: an older one with ``body``, and a newer failure."""
+    at = F.lit("2024-05-01").cast("timestamp")
+    older = landed.withColumns({"fetched_at": at, "body": F.lit(body)})
+    newer = landed.withColumn("fetched_at", at + F.expr("interval 2 days"))
+    failed = newer.withColumn("http_status", F.lit(503))
+    good = landed.withColumn("fetched_at", at + F.expr("interval 1 day"))
+    return older.unionByName(good).unionByName(failed)
+
+
+@query("normalize_crexi_refetched", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")
+def normalize_crexi_refetched(spark, sf):
+    landed = crexi_search_responses(spark, sf)
+    return search_tables(refetched(landed, '{"data": [{"id": "old"}]}'), fv.CREXI).rows
+
+
 @query("normalize_crexi_search", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")
 def normalize_crexi_search(spark, sf):
     return search_tables(crexi_search_responses(spark, sf), fv.CREXI).rows
@@ -456,8 +474,8 @@ def normalize_crexi_search(spark, sf):
 
 @query(
     "search_crexi",
-    f"""WITH {HOMES}, {_CREXI} SELECT * EXCLUDE (page, pos) FROM crexi
-    WHERE lower(property_type) LIKE '%retail, f%' AND price >= 500 AND price <= 5000
+    f"""WITH {HOMES}, {_CREXI} SELECT * EXCLUDE (page, pos, query) FROM crexi
+    WHERE query = 'church' AND lower(property_type) LIKE '%retail, f%' AND price >= 500 AND price <= 5000
     ORDER BY page, pos LIMIT 50""",
 )
 def search_crexi(spark, sf):
@@ -559,7 +577,8 @@ def redfin_search_responses(spark, sf):
     payload = cat('{"payload": {"homes": ', F.to_json(home_list(home)), "}}")
     good = _cache_page({"/z" + fv.REDFIN_SEARCH_KEY + "al=1": payload})
     body = F.when(key % 31 == 0, F.substring(good, 1, 200)).otherwise(good)
-    return responses(keyed(spark, sf, "orders"), fv.REDFIN, "search", body, page=key)
+    asked = {"zip_code": F.when(key % 3 == 0, "28704").otherwise("90210")}
+    return responses(keyed(spark, sf, "orders"), fv.REDFIN, "search", body, params=asked, page=key)
 
 
 _REDFIN = f"""
@@ -576,11 +595,16 @@ redfin AS (
     CAST(1900 + id % 120 AS INTEGER) AS year_built,
     CASE WHEN id % 4 <> 0 THEN 'https://ssl.cdn-redfin.com/photo/' || (id % 200) || '/bigphoto/'
       || right(CAST(id + 1000 AS VARCHAR), 3) || '/' || (id + 1000) || '_0.webp' END AS image_url,
-    CAST(k AS INTEGER) AS page, pos
+    CAST(k AS INTEGER) AS page, pos, CASE WHEN k % 3 = 0 THEN '28704' ELSE '90210' END AS zip_code
   FROM homes WHERE k % 31 <> 0 AND (id % 26 <> 0 OR id % 5 = 0)
 )"""
 
 
+@query("normalize_redfin_refetched", f"WITH {HOMES}, {_REDFIN} SELECT * FROM redfin")
+def normalize_redfin_refetched(spark, sf):
+    return search_tables(refetched(redfin_search_responses(spark, sf), "old"), fv.REDFIN).rows
+
+
 @query("normalize_redfin_search", f"WITH {HOMES}, {_REDFIN} SELECT * FROM redfin")
 def normalize_redfin_search(spark, sf):
     return search_tables(redfin_search_responses(spark, sf), fv.REDFIN).rows
@@ -588,8 +612,8 @@ def normalize_redfin_search(spark, sf):
 
 @query(
     "search_redfin",
-    f"""WITH {HOMES}, {_REDFIN} SELECT * EXCLUDE (page, pos) FROM redfin
-    WHERE bedrooms >= 3 AND bedrooms <= 6 AND price >= 500 AND price <= 5000
+    f"""WITH {HOMES}, {_REDFIN} SELECT * EXCLUDE (page, pos, zip_code) FROM redfin
+    WHERE zip_code = '28704' AND bedrooms >= 3 AND bedrooms <= 6 AND price >= 500 AND price <= 5000
     ORDER BY page, pos LIMIT 60""",
 )
 def search_redfin(spark, sf):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
 from listinglake.operators import summary
+from listinglake.operators.topk import with_rank
 from listinglake.plans import budget, health, report
 from listinglake.plans.normalize import search_tables
 from listinglake.workload.json_sources import carolinadesigns_search_responses
@@ -122,7 +123,7 @@ _STAYS_COLUMNS = """name AS "Listing", town AS "Town", total_price AS "7-Night T
 def _stays_report(spark, sf):
     rows = offers(spark, sf).withColumn("beds", F.lit(None).cast("int"))
     order = ["check_in", "page", "l_orderkey", "l_suppkey", "total", "nights"]
-    return report.stays_report(rows, order, min_reviews=20)
+    return report.stays_report(rows, order, top_n=12, honorable_n=4, min_reviews=20)
 
 
 @query(
@@ -144,6 +145,17 @@ def report_honorable(spark, sf):
     return _stays_report(spark, sf)["honorable_mentions"]
 
 
+@query(
+    "rank_offers",
+    f"""WITH {OFFERS} SELECT CAST(row_number() OVER (ORDER BY total, l_orderkey, page, l_suppkey,
+      nights) AS INTEGER) AS "Rank", total, l_orderkey, page, l_suppkey FROM offers""",
+)
+def rank_offers(spark, sf):
+    order = ["total", "l_orderkey", "page", "l_suppkey", "nights"]
+    ranked = with_rank(offers(spark, sf), order)
+    return ranked.select("Rank", "total", "l_orderkey", "page", "l_suppkey")
+
+
 def _week_rows(spark, sf):
     """In-budget homes of the target week, with every report column."""
     size = F.col("p_size")
@@ -165,7 +177,7 @@ def _week_rows(spark, sf):
         .withColumnRenamed("rate_display", "weekly_rate")
     )
     found = budget.week_budget_display_rate(
-        part_listings(spark, sf), details, weeks, TARGET, max_rate=90000
+        part_listings(spark, sf), details, weeks, TARGET, min_bedrooms=0, max_rate=900000
     ).in_budget
     return found.join(extra, "listing_id").join(details.drop("sleeps"), "listing_id")
 
@@ -180,7 +192,7 @@ found AS (
   SELECT l.*, weekly_rate AS rate, p_brand, p_type, p_size,
     CAST(row_number() OVER (ORDER BY weekly_rate, listing_id) AS INTEGER) AS rank
   FROM listings l JOIN week USING (listing_id) JOIN part ON listing_id = CAST(p_partkey AS VARCHAR)
-  WHERE coalesce(bedrooms, 0) >= 7 AND weekly_rate <= 90000
+  WHERE weekly_rate <= 900000
 )"""
 _DIRECT = """rank AS "Rank", name AS "Listing", town AS "Town", rate AS "7-Night Total",
   bedrooms AS "BR", bathrooms_full AS "Full Baths", bathrooms_half AS "Half Baths", '' AS "Why" """
@@ -191,7 +203,7 @@ _PETS = """CASE WHEN p_size % 5 = 0 THEN '' WHEN p_size % 2 = 0 THEN 'Yes' ELSE
 @query(
     "report_carolinadesigns",
     f"""WITH {RATES}, {PART_LISTINGS}, {_WEEK_ROWS} SELECT {_DIRECT}, {_PETS}, sleeps AS "Sleeps",
-      p_brand AS "Subdivision", p_type AS "Beach Proximity", url AS "URL" FROM found WHERE rank <= 50""",
+      p_brand AS "Subdivision", p_type AS "Beach Proximity", url AS "URL" FROM found""",
 )
 def report_carolinadesigns(spark, sf):
     return report.carolinadesigns_report(_week_rows(spark, sf))
@@ -201,7 +213,7 @@ def report_carolinadesigns(spark, sf):
     "report_twiddy",
     f"""WITH {RATES}, {PART_LISTINGS}, {_WEEK_ROWS} SELECT {_DIRECT}, {_PETS}, sleeps AS "Sleeps",
       CASE WHEN p_size % 4 = 0 THEN 'Yes' ELSE 'No' END AS "Oceanfront", p_brand AS "Neighborhood",
-      p_type AS "Beach Proximity", url AS "URL" FROM found WHERE rank <= 50""",
+      p_type AS "Beach Proximity", url AS "URL" FROM found""",
 )
 def report_twiddy(spark, sf):
     return report.twiddy_report(_week_rows(spark, sf))
@@ -211,7 +223,7 @@ def report_twiddy(spark, sf):
     "report_surforsound",
     f"""WITH {RATES}, {PART_LISTINGS}, {_WEEK_ROWS} SELECT {_DIRECT}, p_type AS "Location",
       'https://www.surforsound.com/hatteras-vacation-rental/property/' || listing_id AS "URL"
-    FROM found WHERE rank <= 50""",
+    FROM found""",
 )
 def report_surforsound(spark, sf):
     return report.surforsound_report(_week_rows(spark, sf))

@@ -1,4 +1,5 @@
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -33,12 +34,15 @@ def landed(spark):
 
     def make(*rows):
         full = []
+        seen = Counter()
         for source, kind, body, *rest in rows:
             extra = rest[0] if rest else {}
+            asked = (source, kind, extra.get("entity_id"), str(extra.get("params")))
+            seen[asked] += 1  # another page of the request, unless the test says otherwise
             full.append(
                 (
                     source, kind, extra.get("entity_id"), extra.get("params"),
-                    extra.get("check_in"), extra.get("nights"), extra.get("page", 1),
+                    extra.get("check_in"), extra.get("nights"), extra.get("page", seen[asked]),
                     extra.get("http_status", 200), extra.get("fetched_at"), body,
                 )
             )

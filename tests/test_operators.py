@@ -176,7 +176,7 @@ def test_cap_per_group_is_exact(spark, n):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
         F.lit(1).alias("page"), F.col("id").alias("pos"))
-    got = topk.cap_per_group(df, ["g"], n, salts=8).groupBy("g").agg(
+    got = topk.cap_per_group(df, ["g"], n).groupBy("g").agg(
         F.count("*").alias("c"), F.max("pos").alias("last")).collect()
     rows = {}
     for i in range(5000):
@@ -362,7 +362,7 @@ def listing_rows(spark, rows):
 def test_health_report_rules(spark):
     good = listing_rows(spark, [("2", "", None, "", 1, 1), ("1", "n", 0.0, "t", 1, 0)])
     bad = listing_rows(spark, [("1", "", 0.0, "t", 1, 0), ("2", "n", 1.0, "t", 1, 1)])
-    none = spark.createDataFrame([], "source string, kind string, entity_id string, drift string")
+    none = spark.createDataFrame([], "source string, kind string, entity_id string, page int, drift string")
 
     def status(listings, details, quarantined=none):
         r = health.health_report({fv.STAYS: listings}, {fv.STAYS: details}, quarantined).collect()
@@ -376,9 +376,12 @@ def test_health_report_rules(spark):
     assert status(good, good.limit(0))[:2] == ("FAIL", "details failed: no detail row")
     untitled = good.withColumn("title", F.lit(""))
     assert status(good, untitled)[:2] == ("FAIL", "details missing required fields: ['title']")
-    failed = spark.createDataFrame([(fv.STAYS, "search", None, "no state")], none.schema)
+    failed = spark.createDataFrame([(fv.STAYS, "search", None, 0, "no state"), (fv.STAYS, "search", None, 7, "later")], none.schema)
     assert status(good, good, failed)[:2] == ("FAIL", "search failed: no state")
-    broken = spark.createDataFrame([(fv.STAYS, "details", "1", "no block")], none.schema)
+    later = spark.createDataFrame([(fv.STAYS, "search", None, 7, "bad page")], none.schema)
+    assert status(good, good, later)[0] == "PASS"
+    assert status(good, good, later)[2] == ["search returned 2 results", "1 responses drifted"]
+    broken = spark.createDataFrame([(fv.STAYS, "details", "1", 1, "no block")], none.schema)
     assert status(good, good.limit(0), broken)[:2] == ("FAIL", "details failed: no block")
     assert status(good, good, broken)[0] == "PASS"
     tally = summary.status_tally(
@@ -451,7 +454,9 @@ def test_report_columns(spark):
         [("1", "n", "duck", 7, 2.0, 4.5, 30, 7, 9000.0, "2026-08-15", "u", 9, 1)],
         "listing_id string, name string, town string, bedrooms int, bathrooms double, rating double,"
         "review_count int, nights int, total_price double, check_in string, url string, beds int, pos int")
-    tables = report.stays_report(rows, ["pos"], ["2026-08-15"])
+    tables = report.stays_report(
+        rows, ["pos"], top_n=12, honorable_n=4, min_reviews=5, check_ins=["2026-08-15"]
+    )
     assert tables["top_picks"].columns == fv.STAYS_REPORT
     assert tables["top_picks"].collect()[0]["7-Night Total"] == 9000.0
     assert tables["honorable_mentions"].count() == 0
