@@ -52,6 +52,13 @@ def float_with_commas(c: Column) -> Column:
     return _no_commas(group(c, fv.COMMA_DECIMAL)).try_cast("double")
 
 
+def whole(c: Column, kind: str = "int") -> Column:
+    """A whole number that stands as 7, 7.0, "7" or "7.0"; anything else is null."""
+    text = strip(c.cast("string"))
+    value = text.try_cast("double")
+    return F.coalesce(text.try_cast(kind), F.when(value == F.floor(value), value).try_cast(kind))
+
+
 def leading_int(c: Column) -> Column:
     return group(c.cast("string"), r"^(\d+)").try_cast("int")
 

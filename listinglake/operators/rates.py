@@ -27,7 +27,7 @@ def first_week(
     return dedupe_first(rates.filter(week), [key], order or ["pos"])
 
 
-def week_of_list(weeks: Column, date_field: str, target: str) -> Column:
+def week_of_list(weeks: Column, date_field: str, target: str | Column) -> Column:
     """First entry of a list column whose date is the target, null if none."""
     return F.get(F.filter(weeks, lambda w: w[date_field] == target), F.lit(0))
 

@@ -39,7 +39,7 @@ def _town_names(towns: list[str]) -> list[str]:
     return sorted(names)
 
 
-def _large_homes(
+def large_homes(
     listings: DataFrame,
     towns: list[str] | None,
     min_bedrooms: int,
@@ -84,7 +84,7 @@ def week_budget_display_rate(
     ``target`` is an ISO date, the rate rows carry ``M/d/yyyy``.
     """
     homes = merge_details(
-        _large_homes(listings, towns, min_bedrooms, max_per_town), details, ["sleeps"],
+        large_homes(listings, towns, min_bedrooms, max_per_town), details, ["sleeps"],
         how="left",
     )
     week = us_date(F.col("arrival_date")) == F.lit(target).cast("date")
@@ -117,7 +117,7 @@ def week_budget_open_flag(
     entry does not count.
     """
     homes = merge_details(
-        _large_homes(listings, towns, min_bedrooms, max_per_town),
+        large_homes(listings, towns, min_bedrooms, max_per_town),
         details,
         ["bathrooms_full", "bathrooms_half"],
         how="left",
@@ -143,7 +143,7 @@ def week_budget_listing_rate(
     max_per_town: int | None = None,
 ) -> BudgetResult:
     """The listing row already carries the rate of its check-in week."""
-    homes = _large_homes(
+    homes = large_homes(
         listings.filter(F.col("check_in") == target), towns, min_bedrooms, max_per_town
     )
     rows = homes.withColumn("village", F.col("town")).withColumnRenamed(

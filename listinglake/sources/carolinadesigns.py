@@ -16,7 +16,7 @@ from listinglake.sources.landing import (
 )
 
 SEARCH = """Title STRING, Results ARRAY<STRUCT<
-    Propid: STRING, Propname: STRING, Bedrooms: INT, Baths: STRING, PropURL: STRING,
+    Propid: STRING, Propname: STRING, Bedrooms: STRING, Baths: STRING, PropURL: STRING,
     DisplayLocation: STRING, DisplaySub: STRING, ImageURL: STRING,
     PetFriendly: BOOLEAN, PrivatePool: BOOLEAN>>"""
 
@@ -26,7 +26,7 @@ DETAILS = """Propid STRING, Propname STRING, Area STRING, NumBedrooms STRING,
     PicsLarge ARRAY<STRUCT<ImgUrl: STRING>>,
     Weeks1CurrAvail ARRAY<STRUCT<
         ArrivalDate: STRING, Rate: STRING, CostPerNight: STRING, BookType: STRING>>,
-    MinPrice INT, MaxPrice INT, CanonicalUrl STRING"""
+    MinPrice STRING, MaxPrice STRING, CanonicalUrl STRING"""
 
 DETAIL_PAGE = fv.CAROLINADESIGNS_BASE + "/property-detail-page"
 
@@ -57,7 +57,7 @@ def listings(payloads: DataFrame) -> DataFrame:
                 urls.from_id(DETAIL_PAGE, F.col("listing_id")),
             ).alias("url"),
             text_or_empty(item["Propname"]).alias("name"),
-            item["Bedrooms"].alias("bedrooms"),
+            numbers.whole(item["Bedrooms"]).alias("bedrooms"),
             baths["full"].alias("bathrooms_full"),
             baths["half"].alias("bathrooms_half"),
             F.col("params")["town"].alias("town"),
@@ -125,7 +125,7 @@ def details(payloads: DataFrame) -> DataFrame:
                 " nightly_rate: string, book_type: string>>"
             ),
         ).alias("weekly_rates"),
-        item["MinPrice"].alias("min_price"),
-        item["MaxPrice"].alias("max_price"),
+        numbers.whole(item["MinPrice"]).alias("min_price"),
+        numbers.whole(item["MaxPrice"]).alias("max_price"),
     )
     return to_record(rows, "carolinadesigns_details", keep=ORDER_COLUMNS)

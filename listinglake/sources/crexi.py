@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
-from listinglake.functions import arrays, ids, nulls, text, urls
+from listinglake.functions import arrays, ids, nulls, numbers, text, urls
 from listinglake.functions.nulls import text_or_empty
 from listinglake.operators.joins import left_or_empty
 from listinglake.schemas import ORDER_COLUMNS, to_record
@@ -20,11 +20,11 @@ LOCATIONS = "ARRAY<STRUCT<address: STRING, city: STRING, state: STRING, zip: STR
 
 SEARCH = f"""data ARRAY<STRUCT<
     id: STRING, name: STRING, thumbnailUrl: STRING, urlSlug: STRING,
-    askingPrice: DOUBLE, squareFootage: INT, types: ARRAY<STRING>,
+    askingPrice: STRING, squareFootage: STRING, types: ARRAY<STRING>,
     locations: {LOCATIONS}>>"""
 
 DETAILS = f"""urlSlug STRING, name STRING, marketingDescription STRING,
-    description STRING, types ARRAY<STRING>, askingPrice DOUBLE,
+    description STRING, types ARRAY<STRING>, askingPrice STRING,
     details MAP<STRING, STRING>,
     summaryDetails ARRAY<STRUCT<key: STRING, value: STRING>>,
     locations {LOCATIONS}"""
@@ -69,9 +69,9 @@ def listings(payloads: DataFrame) -> DataFrame:
         urls.from_slug(fv.CREXI_BASE, item["urlSlug"], item["id"]).alias("url"),
         text_or_empty(item["name"]).alias("name"),
         *[place[c].alias(c) for c in ("address", "city", "state", "zip")],
-        item["askingPrice"].alias("price"),
+        item["askingPrice"].try_cast("double").alias("price"),
         text.join_list(item["types"]).alias("property_type"),
-        item["squareFootage"].alias("building_sqft"),
+        numbers.whole(item["squareFootage"]).alias("building_sqft"),
         item["thumbnailUrl"].alias("image_url"),
     )
     return to_record(rows, "crexi_listing", keep=[*ORDER_COLUMNS, "query"])

@@ -31,14 +31,14 @@ SEARCH_RESULTS = """
 # One struct covers every section kind; a section fills only its own fields.
 SECTION = """STRUCT<
     title: STRING, subtitle: STRING, lat: DOUBLE, lng: DOUBLE, about: STRING,
-    htmlDescription: STRUCT<htmlText: STRING>, maxGuestCapacity: INT,
+    htmlDescription: STRUCT<htmlText: STRING>, maxGuestCapacity: STRING,
     arrangementDetails: ARRAY<STRUCT<title: STRING, subtitle: STRING>>,
     seeAllAmenitiesGroups: ARRAY<STRUCT<
         amenities: ARRAY<STRUCT<title: STRING, available: BOOLEAN>>>>,
     cardData: STRUCT<name: STRING, isSuperhost: BOOLEAN, isVerified: BOOLEAN,
         stats: ARRAY<STRUCT<type: STRING, value: STRING>>>,
     ratings: ARRAY<STRUCT<label: STRING, localizedRating: STRING>>,
-    overallRating: DOUBLE, overallCount: INT, isGuestFavorite: BOOLEAN,
+    overallRating: DOUBLE, overallCount: STRING, isGuestFavorite: BOOLEAN,
     houseRules: ARRAY<STRUCT<title: STRING>>, cancellationPolicyForDisplay: STRING,
     highlights: ARRAY<STRUCT<title: STRING, subtitle: STRING>>,
     previewImages: ARRAY<STRUCT<baseUrl: STRING>>>"""
@@ -197,7 +197,7 @@ def details(payloads: DataFrame) -> DataFrame:
         text.strip_html(
             section("DESCRIPTION_DEFAULT")["htmlDescription"]["htmlText"]
         ).alias("description"),
-        section("BOOK_IT_SIDEBAR")["maxGuestCapacity"].alias("max_guests"),
+        numbers.whole(section("BOOK_IT_SIDEBAR")["maxGuestCapacity"]).alias("max_guests"),
         arrays.or_empty(
             F.transform(
                 F.filter(
@@ -216,7 +216,7 @@ def details(payloads: DataFrame) -> DataFrame:
         section("MEET_YOUR_HOST")["about"].alias("host_about"),
         arrays.last_where(counts, lambda n: n.isNotNull()).alias("host_review_count"),
         section("REVIEWS_DEFAULT")["overallRating"].alias("overall_rating"),
-        section("REVIEWS_DEFAULT")["overallCount"].alias("review_count"),
+        numbers.whole(section("REVIEWS_DEFAULT")["overallCount"]).alias("review_count"),
         arrays.pairs_to_map(F.coalesce(ratings, no_pairs)).alias("rating_breakdown"),
         truthy(section("REVIEWS_DEFAULT")["isGuestFavorite"]).alias("is_guest_favorite"),
         titles(F.filter(amenities, lambda a: truthy(a["available"]))).alias("amenities"),

@@ -22,8 +22,8 @@ from listinglake.sources.landing import (
 
 SEARCH = """response STRUCT<docs: ARRAY<STRUCT<
     item_id: STRING, is_eid: STRING, ss_name: STRING, ss_url: STRING,
-    `is_nid$field_beds`: INT, `fs_rc_core_lodging_product$baths`: DOUBLE,
-    `is_rc_core_lodging_product$occ_total`: INT,
+    `is_nid$field_beds`: STRING, `fs_rc_core_lodging_product$baths`: DOUBLE,
+    `is_rc_core_lodging_product$occ_total`: STRING,
     `sm_nid$rc_core_term_town$name`: ARRAY<STRING>,
     `sm_nid$rc_core_term_community$name`: ARRAY<STRING>,
     `sm_nid$rc_core_term_distance_to_beach$name`: ARRAY<STRING>,
@@ -61,10 +61,10 @@ def listings(payloads: DataFrame) -> DataFrame:
             "listing_id",
             text_or_empty(item["ss_url"]).alias("url"),
             text_or_empty(item["ss_name"]).alias("name"),
-            item["is_nid$field_beds"].alias("bedrooms"),
+            numbers.whole(item["is_nid$field_beds"]).alias("bedrooms"),
             baths["full"].alias("bathrooms_full"),
             baths["half"].alias("bathrooms_half"),
-            item["is_rc_core_lodging_product$occ_total"].alias("sleeps"),
+            numbers.whole(item["is_rc_core_lodging_product$occ_total"]).alias("sleeps"),
             first_or(item["sm_nid$rc_core_term_town$name"], F.lit("")).alias("town"),
             first_or(item["sm_nid$rc_core_term_community$name"], nothing).alias("community"),
             first_or(item["sm_nid$rc_core_term_distance_to_beach$name"], nothing).alias(

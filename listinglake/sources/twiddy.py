@@ -15,18 +15,18 @@ from listinglake.sources.landing import (
 )
 
 SEARCH = """results ARRAY<STRUCT<
-    propertyId: BIGINT, propertyName: STRING, propertyUrl: STRING, town: STRING,
+    propertyId: STRING, propertyName: STRING, propertyUrl: STRING, town: STRING,
     bedrooms: STRING, distanceToBeach: STRING, images: ARRAY<STRING>,
     amenityItems: ARRAY<STRUCT<description: STRING>>>>"""
 
-INFO = """propertyID BIGINT, name STRING, city STRING, fullUrl STRING,
+INFO = """propertyID STRING, name STRING, city STRING, fullUrl STRING,
     neighborhood STRING, description STRING, exteriorImage STRING"""
 
 AMENITIES = """sectionModel STRUCT<featuredAmenities: ARRAY<STRUCT<displayLabel: STRING>>>,
-    bathroomsSummary STRING, bedrooms INT, sleepsCount INT"""
+    bathroomsSummary STRING, bedrooms STRING, sleepsCount STRING"""
 
 CALENDAR = """availabilityYears ARRAY<STRUCT<months: ARRAY<STRUCT<weeks: ARRAY<STRUCT<
-    arrive: STRING, depart: STRING, weekContent: STRING, weeklyRate: DOUBLE,
+    arrive: STRING, depart: STRING, weekContent: STRING, weeklyRate: STRING,
     isAvailable: BOOLEAN>>>>>>"""
 
 
@@ -45,10 +45,10 @@ def listings(payloads: DataFrame) -> DataFrame:
     item = F.col("item")
     rows = (
         explode_items(payloads)
-        .filter(F.coalesce(item["propertyId"], F.lit(0)) != 0)
+        .filter(F.coalesce(numbers.whole(item["propertyId"], "bigint"), F.lit(0)) != 0)
         .select(
             *ORDER_COLUMNS,
-            item["propertyId"].alias("listing_id"),
+            numbers.whole(item["propertyId"], "bigint").alias("listing_id"),
             urls.absolute_path(text_or_empty(item["propertyUrl"]), fv.TWIDDY_BASE).alias("url"),
             text_or_empty(item["propertyName"]).alias("name"),
             numbers.beds_text(item["bedrooms"]).alias("bedrooms"),
@@ -87,7 +87,9 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
     return payload_table(
         joined,
-        status_drift((F.col("info.propertyID").isNull(), "missing propertyID")),
+        status_drift(
+            (numbers.whole(F.col("info.propertyID"), "bigint").isNull(), "missing propertyID")
+        ),
         F.array(F.struct("info", "amenities", "calendar")),
     )
 
@@ -113,22 +115,25 @@ def details(payloads: DataFrame) -> DataFrame:
         lambda w: F.struct(
             dates.day_of_timestamp_text(w["arrive"]).alias("arrive"),
             dates.day_of_timestamp_text(w["depart"]).alias("depart"),
-            w["weeklyRate"].alias("weekly_rate"),
+            w["weeklyRate"].try_cast("double").alias("weekly_rate"),
             truthy(w["isAvailable"]).alias("is_available"),
             text.strip_html(w["weekContent"]).alias("week_content"),
         ),
     )
     rows = explode_items(payloads).select(
         *ORDER_COLUMNS,
-        ids.twiddy_id(F.col("entity_id")).alias("listing_id"),
+        # A response landed under its URL has the id only inside.
+        F.coalesce(
+            ids.twiddy_id(F.col("entity_id")), numbers.whole(info["propertyID"], "bigint")
+        ).alias("listing_id"),
         urls.absolute_path(text_or_empty(info["fullUrl"]), fv.TWIDDY_BASE).alias("url"),
         text_or_empty(info["name"]).alias("name"),
         text.town_slug(text_or_empty(info["city"])).alias("town"),
         info["neighborhood"].alias("neighborhood"),
-        extra["bedrooms"].alias("bedrooms"),
+        numbers.whole(extra["bedrooms"]).alias("bedrooms"),
         baths["full"].alias("bathrooms_full"),
         baths["half"].alias("bathrooms_half"),
-        extra["sleepsCount"].alias("sleeps"),
+        numbers.whole(extra["sleepsCount"]).alias("sleeps"),
         text_or_empty(info["description"]).alias("description"),
         arrays.keep_present(
             F.transform(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from listinglake import fixed_values as fv
 from listinglake.operators import dedupe, filters, topk
 from listinglake.operators.offers import cheapest_offer, first_search_area
 from listinglake.operators.summary import result_summary
 from listinglake.operators.union import union_all, union_sources
 from listinglake.plans import search
+from listinglake.plans.budget import large_homes
 from listinglake.workload.tables import (
     FIRST_OFFERS, OFFER_COLUMNS, OFFER_ORDER, OFFERS, offer_columns, offers, query,
 )
@@ -70,7 +72,11 @@ def listing_type_alias(spark, sf):
 
 @query("filter_town", _ALL + "town = 'nation-7'")
 def town_equals(spark, sf):
-    return offer_columns(offers(spark, sf).filter(F.col("town").isin("nation-7")))
+    """The town stands under its display name in some rows, under its slug in others."""
+    town, odd = F.col("town"), F.col("l_orderkey") % 2 == 1
+    named = F.when(town == "nation-7", F.when(odd, "Duck").otherwise("duck")).otherwise(town)
+    found = filters.filter_town(offers(spark, sf).withColumn("town", named), fv.TWIDDY, " DUCK ")
+    return offer_columns(found.withColumn("town", F.lit("nation-7")))
 
 
 @query("filter_budget", _ALL + "total_price <= 11000")
@@ -333,14 +339,13 @@ def summary_of_town(spark, sf):
 )
 def union_towns(spark, sf):
     towns = ["nation-1", "nation-5", "nation-9"]
-    rows = offers(spark, sf).filter(F.col("town").isin(towns))
-    return offer_columns(filters.filter_min_bedrooms(rows, 7))
+    return offer_columns(large_homes(offers(spark, sf), towns, 7, None))
 
 
 @query("union_pages", f"WITH {OFFERS} SELECT {OFFER_COLUMNS} FROM offers")
 def union_pages(spark, sf):
     rows = offers(spark, sf)
-    return offer_columns(union_all([rows.filter(F.col("page") == p) for p in range(1, 8)]))
+    return offer_columns(union_all([rows.filter("page <= 3"), rows.filter("page > 3")]))
 
 
 @query("union_dates", _ALL + f"check_in IN {_DATES}")

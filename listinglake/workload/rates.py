@@ -66,9 +66,8 @@ def available_week(spark, sf):
       weekly_rate, is_available FROM weeks""",
 )
 def first_weeks(spark, sf):
-    from listinglake.operators.dedupe import dedupe_first
-
-    return dedupe_first(rates(spark, sf), ["listing_id", "arrive"], RATE_ORDER).select(
+    each = rates(spark, sf).withColumn("key", F.concat_ws("@", "listing_id", "arrive"))
+    return rate_ops.first_week(each, F.col("arrive").isNotNull(), "key", RATE_ORDER).select(
         "listing_id", "arrive", "weekly_rate", "is_available"
     )
 
@@ -482,7 +481,7 @@ def week_of_list(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", month.alias("month"), weeks.alias("weeks")
     )
-    hit = arrays.first_where(F.col("weeks"), lambda w: w["arrive"] == F.col("month"))
+    hit = rate_ops.week_of_list(F.col("weeks"), "arrive", F.col("month"))
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "month", hit["rate"].alias("rate")
     )

@@ -157,7 +157,7 @@ def rank_offers(spark, sf):
 
 
 def _week_rows(spark, sf):
-    """In-budget homes of the target week, with every report column."""
+    """In-budget homes, with every report column; all rates count for the target week."""
     size = F.col("p_size")
     extra = table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("listing_id"),
@@ -171,7 +171,8 @@ def _week_rows(spark, sf):
     )
     details = part_details(spark, sf)
     weeks = (
-        rates(spark, sf, TARGET)
+        rates(spark, sf)
+        .withColumn("arrival_date", F.date_format(F.lit(TARGET).cast("date"), "M/d/yyyy"))
         .withColumn("pos", F.struct(*RATE_ORDER))
         .drop("weekly_rate")
         .withColumnRenamed("rate_display", "weekly_rate")
@@ -184,7 +185,7 @@ def _week_rows(spark, sf):
 
 _WEEK_ROWS = f"""
 week AS (
-  SELECT * FROM rates WHERE arrive = DATE '{TARGET}'
+  SELECT * FROM rates
   QUALIFY row_number() OVER (PARTITION BY listing_id
     ORDER BY l_linenumber, l_orderkey, l_suppkey, price) = 1
 ),

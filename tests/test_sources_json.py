@@ -8,6 +8,7 @@ import pytest
 
 from listinglake import fixed_values as fv
 from listinglake.plans.normalize import child_tables, detail_tables, search_tables
+from listinglake.sources import twiddy
 
 
 def only(df):
@@ -509,3 +510,35 @@ def test_quarantine_and_rows_never_overlap(landed, source):
     t = search_tables(landed((source, "search", "not a page"), (source, "other", "x")), source)
     assert t.rows.count() == 0
     assert t.quarantine.count() == 1
+
+
+# ---- how numbers and repeated fetches are read -----------------------------------------------
+
+
+@pytest.mark.parametrize("written, read", [("12", 12), ("12.0", 12), ('"12"', 12), ('" 12.0 "', 12),
+                                           ("12.5", None), ('"a lot"', None), ("null", None)])
+def test_whole_numbers_in_any_spelling(landed, written, read):
+    body = '{"results": [{"propertyId": %s, "propertyName": "n"}]}' % written
+    payloads = twiddy.search_payloads(landed((fv.TWIDDY, "search", body)))
+    assert [r.listing_id for r in twiddy.listings(payloads).collect()] == [read] * (read is not None)
+
+
+def test_a_detail_landed_under_its_url_has_the_id_of_the_page(landed):
+    body = '{"propertyID": "31", "name": "n", "fullUrl": "/outer-banks/x/"}'
+    responses = landed((fv.TWIDDY, "info", body, {"entity_id": "https://h/outer-banks/x/"}))
+    assert twiddy.details(twiddy.detail_payloads(responses)).collect()[0].listing_id == 31
+
+
+def test_the_newest_usable_fetch_of_a_request_counts(landed):
+    def fetch(name, day, status=200, **asked):
+        body = '{"results": [{"propertyId": 5, "propertyName": "%s"}]}' % name
+        at = dt.datetime(2024, 5, day)
+        return (fv.TWIDDY, "search", body, {"fetched_at": at, "http_status": status, "page": 1, **asked})
+
+    responses = landed(
+        fetch("old", 1), fetch("new", 3), fetch("between", 2), fetch("failed", 4, 503),
+        fetch("other page", 1, page=2), fetch("other town", 1, params={"town": "duck"}),
+    )
+    payloads = twiddy.search_payloads(responses)
+    names = sorted(r["name"] for r in twiddy.listings(payloads).collect())
+    assert names == ["new", "other page", "other town"]
