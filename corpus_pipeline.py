@@ -51,7 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.where("doc_id is not null")
     rows = rows.join(kept.select(F.col("_id").alias("doc_id")), "doc_id", "left_semi")
     # A document that stands there twice is a copy of itself.
-    rows = rows.dropDuplicates(["doc_id"])
+    rows = rows.dropDuplicates(["doc_id", "text"])
     return rows.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
