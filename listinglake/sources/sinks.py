@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -20,7 +21,20 @@ def write_report(
         writer.format(fmt).save(f"{path}/{name}")
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Normalised rows, laid out so that source (and town) filters prune folders."""
+def write_silver(
+    df: DataFrame, path: str, source: str | None = None, mode: str = "append", slices: int = 8
+) -> None:
+    """Normalised rows, laid out so that source (and town) filters prune folders.
+
+    Rows are first dealt by folder and a slice of the listings, so that a folder gets a
+    few files and a large folder is still written by several tasks.
+    """
+    if source is not None:
+        df = df.withColumn("source", F.lit(source))
     keys = [c for c in ("source", "town") if c in df.columns]
+    if keys:
+        dealt = [F.col(c) for c in keys]
+        if "listing_id" in df.columns:
+            dealt.append(F.pmod(F.xxhash64("listing_id"), F.lit(slices)))
+        df = df.repartition(*dealt)
     df.write.mode(mode).partitionBy(*keys).parquet(path)

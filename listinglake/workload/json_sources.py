@@ -6,12 +6,17 @@ the SQL states the expected records straight from the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
 from listinglake.plans import search as plans
 from listinglake.plans.normalize import child_tables, detail_tables, search_tables
+from listinglake.session import checkpoint_dir
+from listinglake.sources.landing import read_responses
+from listinglake.sources.sinks import write_json, write_silver
 from listinglake.workload.tables import home_list, homes_sql, joined, keyed, query, responses
 
 HOMES = homes_sql("orders")
@@ -600,6 +605,48 @@ redfin AS (
 )"""
 
 
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark)}/listinglake/{name}-{uuid.uuid4().hex}"
+
+
+@query("landing_round_trip", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")
+def landing_round_trip(spark, sf):
+    """Responses of two sources landed by source and kind; one is read back."""
+    path = _folder(spark, "landing")
+    landed = crexi_search_responses(spark, sf).unionByName(redfin_search_responses(spark, sf))
+    landed.write.partitionBy("source", "kind").parquet(path)
+    return search_tables(read_responses(spark, path, fv.CREXI, "search"), fv.CREXI).rows
+
+
+@query("json_round_trip", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")
+def json_round_trip(spark, sf):
+    path, rows = _folder(spark, "json"), search_tables(crexi_search_responses(spark, sf), fv.CREXI).rows
+    write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+@query("silver_round_trip", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")
+def silver_round_trip(spark, sf):
+    """Rows of two sources written by source; the filter prunes to one folder."""
+    path = _folder(spark, "silver")
+    rows = search_tables(crexi_search_responses(spark, sf), fv.CREXI).rows
+    write_silver(rows, path, fv.CREXI)
+    write_silver(rows.limit(100), path, "other")
+    return spark.read.parquet(path).filter(F.col("source") == fv.CREXI).drop("source")
+
+
+@query(
+    "search_label",
+    f"""WITH {HOMES}, {_CREXI} SELECT 'church' AS search_query,
+      CAST(least(50, count(*)) AS INTEGER) AS total_returned FROM crexi
+    WHERE query = 'church' AND lower(property_type) LIKE '%retail, f%' AND price >= 500
+      AND price <= 5000""",
+)
+def search_label(spark, sf):
+    rows = search_tables(crexi_search_responses(spark, sf), fv.CREXI).rows
+    return plans.search_crexi(rows, "church", "Retail, F", 500, 5000).summary
+
+
 @query("normalize_redfin_refetched", f"WITH {HOMES}, {_REDFIN} SELECT * FROM redfin")
 def normalize_redfin_refetched(spark, sf):
     return search_tables(refetched(redfin_search_responses(spark, sf), "old"), fv.REDFIN).rows
