@@ -80,11 +80,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         after = small.union(low.select("a", F.col("m").alias("b"))).distinct()
         after = settle(after, name)
         # Done when each node hangs on one root and no root hangs on another.
-        roots = after.select(F.col("b").alias("a")).distinct()
-        open_ = after.groupBy("a").count().where("count > 1").select("a").limit(1)
-        chained = after.join(roots, "a", "left_semi").select("a").limit(1)
+        ends = after.selectExpr("a", "1 as up", "0 as down").union(
+            after.selectExpr("b as a", "0 as up", "1 as down")
+        )
+        ends = ends.groupBy("a").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
         edges = after
-        if not open_.union(chained).take(1):
+        if not ends.where("up > 1 or (up > 0 and down > 0)").take(1):
             break
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(edges.select("b", "b").distinct())

@@ -17,8 +17,8 @@ space is cut in two steps.
    linked to it and need no more comparing with each other, as only connected groups are
    asked for.  The texts outside the ball form the next level's region, with a new pivot.
 3. Boundary.  Texts of a region that are still apart are compared directly, unless their
-   sizes, their places in the order, or the triangle inequality over a common pivot
-   (``|d(x, p) - d(y, p)| > EPS``) rule out a link.
+   sizes, their places in the order, or what both share with a common pivot (the triangle
+   inequality, made narrower) rule out a link.
 
 Equal sets are one point of the space from the start.  Rarity comes from a counting table
 of fixed size over all texts; it decides only the order, never a result, so its
@@ -249,28 +249,31 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return settle(made.drop("id"), "sets")
 
 
-def _measure(pairs: DataFrame, docs: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """``pairs`` (a, b, ...) with ``common``, the size of the intersection.
-
-    The sets are made anew, for the points of the pairs only: writing those of all
-    documents would take more disk than the texts do.
-    """
-    pairs = settle(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(docs, points.join(ends, "key", "left_semi"), k)
+def _common(left: list[bytes], right: list[bytes], kind) -> list[int]:
+    """Sizes of the intersections of sorted arrays, as multisets."""
+    out = []
+    for x, y in zip(left, right):
+        x, y = np.frombuffer(x, kind), np.frombuffer(y, kind)
+        both = np.sort(np.concatenate([x, y]), kind="stable")
+        if kind == np.uint64:  # sets: a value in both stands there twice
+            out.append(int((both[1:] == both[:-1]).sum()))
+        else:
+            values, times = np.unique(x, return_counts=True)
+            at = np.searchsorted(y, values)
+            there = np.searchsorted(y, values, side="right") - at
+            out.append(int(np.minimum(times, there).sum()))
+    return out
+
+
+def _with_common(pairs: DataFrame, sets: DataFrame, kind) -> DataFrame:
+    """``pairs`` with ``common``, counted over the arrays in ``sets`` (key, set)."""
     rest = [c for c in pairs.columns if c not in ("a", "b")]
 
     def count(batches):
         for batch in batches:
-            left = batch.column("set_a").to_pylist()
-            right = batch.column("set_b").to_pylist()
-            common = [
-                len(x) + len(y) - len(np.union1d(x, y))
-                for x, y in (
-                    (np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                    for x, y in zip(left, right)
-                )
-            ]
+            common = _common(
+                batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), kind
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ["a", "b", *rest]] + [pa.array(common, pa.int64())],
                 names=["a", "b", *rest, "common"],
@@ -279,15 +282,46 @@ def _measure(pairs: DataFrame, docs: DataFrame, points: DataFrame, k: int) -> Da
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
     both = both.select("a", "b", *rest, "set_a", "set_b")
-    schema = more(both.select("a", "b", *rest).schema, "common long")
-    return both.mapInArrow(count, schema)
+    return both.mapInArrow(count, more(both.select("a", "b", *rest).schema, "common long"))
+
+
+def _measure(
+    pairs: DataFrame, docs: DataFrame, points: DataFrame, k: int, percent: int | None = None
+) -> DataFrame:
+    """``pairs`` (a, b, na, nb) with ``common``, the size of the intersection.
+
+    The sets are made anew, for the points of the pairs only: writing those of all
+    documents would take more disk than the texts do.  With ``percent``, pairs that cannot
+    be linked are left out first, by 16 bits of every shingle: equal shingles have equal
+    bits, so these have in common at least as much as the sets.
+    """
+    pairs = settle(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = _sets(docs, points.join(ends, "key", "left_semi"), k)
+    if percent is not None:
+
+        def shorten(batches):
+            for batch in batches:
+                short = [
+                    np.sort((np.frombuffer(s, np.uint64) >> np.uint64(48)).astype(np.uint16))
+                    for s in batch.column("set").to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key"), pa.array([s.tobytes() for s in short], pa.binary())],
+                    names=["key", "set"],
+                )
+
+        short = sets.select("key", "set").mapInArrow(shorten, "key long, set binary")
+        pairs = _with_common(pairs, short, np.uint16).where(_linked(percent)).drop("common")
+        pairs = settle(pairs, "likely")
+    return _with_common(pairs, sets, np.uint64)
 
 
 def _linked(percent: int) -> Column:
     return F.expr(f"100 * common >= {percent} * (na + nb - common)")
 
 
-def _possible(percent: int, first: bool) -> str:
+def _possible(percent: int, first: bool = True) -> str:
     """SQL: sizes and ranks in a common region still allow a link.
 
     ``first``: if the region's pivot is the first common shingle; else at most all those
@@ -300,20 +334,15 @@ def _possible(percent: int, first: bool) -> str:
     )
 
 
-def _candidates(met: DataFrame, percent: int, share: float) -> DataFrame:
-    """(a, b, na, nb, met) of pairs that share enough regions; ``met`` has a row for each.
+def _too_far(percent: int) -> str:
+    """SQL: what two points share with a measured centre ``c`` rules out a link.
 
-    ``share`` is the part of the regions that ``met`` has.
+    They have in common at most the lesser of their parts inside the centre and the
+    lesser of those outside.  This is the window of the triangle inequality, made
+    narrower by the sizes; against the centre itself it is the exact test.
     """
-    return (
-        met.where(_possible(percent, first=False))
-        .groupBy("a", "b", "na", "nb")
-        .agg(
-            F.count(F.lit(1)).alias("met"),
-            F.bool_or(F.expr(_possible(percent, first=True))).alias("possible"),
-        )
-        .where(f"possible and met >= {share} * {_least_met(percent)}")
-    )
+    most = "least(sa[c], sb[c]) + least(na - sa[c], nb - sb[c])"
+    return f"{100 + percent} * ({most}) < {percent} * (cast(na as long) + nb)"
 
 
 def _least_met(percent: int) -> str:
@@ -349,7 +378,6 @@ def jaccard_components(
     regions = settle(_regions(rows, _shingle_counts(profile), shingle, percent), "regions")
     placed = regions.select("key").distinct()
 
-    eps = (100 - percent) / 100
     links = tried = None
     home = placed.withColumn("home", F.col("key"))
     for level in range(levels):
@@ -378,16 +406,20 @@ def jaccard_components(
         )
         # Those worth measuring now; whatever is passed over is met at the boundary.
         near = (
-            _candidates(near, percent, 0.5)
+            near.where(_possible(percent, first=False))
+            .groupBy("a", "b", "na", "nb")
+            .agg(
+                F.count(F.lit(1)).alias("met"),
+                F.bool_or(F.expr(_possible(percent))).alias("possible"),
+            )
+            .where(f"possible and 2 * met >= {_least_met(percent)}")
             .groupBy("a", "na")
             .agg(F.max_by(F.struct("b", "nb"), F.struct("met", "b")).alias("p"))
             .select("a", "p.b", "na", "p.nb")
         )
         found = settle(_measure(near, rows, points, shingle), "measured")
-        step = found.select(
-            F.col("a").alias("key"), F.col("b").alias("centre"),
-            F.expr("1 - common / (na + nb - common)").alias("distance"),
-        )
+        step = found.select(F.col("a").alias("key"), F.col("b").alias("centre"), "common")
+        step = step.union(found.selectExpr("b", "b", "cast(nb as long)"))
         tried = step if tried is None else tried.union(step)
         new = found.where(_linked(percent)).select("a", "b")
         links = new if links is None else links.union(new)
@@ -401,7 +433,7 @@ def jaccard_components(
         .select("pivot")
     )
     last = tried.groupBy("key").agg(
-        F.map_from_entries(F.collect_set(F.struct("centre", "distance"))).alias("seen")
+        F.map_from_entries(F.collect_set(F.struct("centre", "common"))).alias("seen")
     )
     here = settle(here.join(mixed, "pivot", "left_semi").join(last, "key", "left"), "boundary")
     x, y = here.alias("x"), here.alias("y")
@@ -410,26 +442,25 @@ def jaccard_components(
             y,
             F.expr(
                 "x.pivot = y.pivot and x.key < y.key and x.home != y.home"
-                # measured against each other already
-                " and not coalesce(map_contains_key(x.seen, y.key), false)"
-                " and not coalesce(map_contains_key(y.seen, x.key), false)"
             ),
         )
         .selectExpr(
             "x.key as a", "y.key as b", "x.n as na", "y.n as nb", "x.rank as ra",
             "y.rank as rb", "x.seen as sa", "y.seen as sb",
         )
-        .where(  # triangle inequality over a common pivot
-            f"not coalesce(exists(map_keys(sa), c -> abs(sa[c] - sb[c]) > {eps} + 1e-9), false)"
-        )
+        .where(_possible(percent))  # the cheaper test first
+        .where(f"not coalesce(exists(map_keys(sa), c -> {_too_far(percent)}), false)")
     )
-    apart = _candidates(apart, percent, 1).select("a", "b", "na", "nb")
-    closing = _measure(apart, rows, points, shingle).where(_linked(percent)).select("a", "b")
+    apart = apart.select("a", "b", "na", "nb").distinct()
+    closing = _measure(apart, rows, points, shingle, percent)
+    closing = closing.where(_linked(percent)).select("a", "b")
     closing = settle(closing, "closing")
-    home = _homes(placed, links.union(closing))
+    found = components(links.union(closing)).select(
+        F.col("node").alias("key"), F.col("component").alias("home")
+    )
 
     # The smallest id of each component, over all documents of all of its points.
-    point = points.join(home, "key", "left").select(
+    point = points.join(found, "key", "left").select(
         "key", "id", F.coalesce("home", "key").alias("home")
     )
     least = point.groupBy("home").agg(F.min("id").alias("component_id"))
