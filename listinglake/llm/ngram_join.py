@@ -54,6 +54,7 @@ COUNT_BITS = 22  # the counting table: 2**22 counters of 4 bytes, 16 MB
 COUNT_SLICES = 64
 # Regions expected to hold more rows than this are dealt to several tasks.
 REGION_ROWS = 1 << 16
+RANK_BITS = 26  # 67 million shingles a text
 
 
 def _counter_of(values: np.ndarray) -> np.ndarray:
@@ -153,7 +154,7 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
         counts = order.value
         for batch in batches:
             for part in pieces(batch, "text"):
-                out = [[], [], [], [], []]
+                out = [[], [], []]
                 for shingles in shingle_sets(part.column("text"), k):
                     n = len(shingles)
                     if not n:
@@ -168,33 +169,32 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                     reach = n * (100 - percent) // 100 + 1
                     first = np.lexsort((shingles, rarity))[:reach]
                     slices = rarity[first] // REGION_ROWS + 1
+                    at = ((key % slices) % (1 << 11)) << (2 * RANK_BITS)
                     out[0].append(shingles[first].view(np.int64))
-                    out[1].append((key % slices).astype(np.int32))
+                    out[1].append(at + (n << RANK_BITS) + np.arange(len(first)))
                     out[2].append(np.full(len(first), key, dtype=np.int64))
-                    out[3].append(np.full(len(first), n, dtype=np.int32))
-                    out[4].append(np.arange(len(first), dtype=np.int32))
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in out],
-                        names=["pivot", "slice", "key", "n", "rank"],
+                        names=["pivot", "at", "key"],
                     )
 
     def shared(batches):
         """Rows whose pivot has another point; the rows come sorted by pivot and key."""
-        names = ["pivot", "slice", "key", "n", "rank"]
+        names = ["pivot", "at", "key"]
         held = None  # the last row, and whether the row before it has the same pivot
         before = False
         for batch in batches:
             cols = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            pivot, piece, key = cols[:3]
+            pivot, _, key = cols
             if not len(pivot):
                 continue
             fresh = np.ones(len(pivot), dtype=bool)
             fresh[1:] = (pivot[1:] != pivot[:-1]) | (key[1:] != key[:-1])
             cols = [c[fresh] for c in cols]
-            pivot, piece, _ = cols[:3]
+            pivot = cols[0]
             same = pivot[1:] == pivot[:-1]
             near = np.zeros(len(pivot), dtype=bool)
             near[0] = before
@@ -213,14 +213,21 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     def counts_hot(pivot: np.ndarray) -> np.ndarray:
         return order.value[_counter_of(pivot.view(np.uint64))] >= REGION_ROWS
 
-    schema = "pivot long, slice int, key long, n int, rank int"
+    # Slice, size and rank travel in one number: these rows are the most of the shuffle.
+    schema = "pivot long, at long, key long"
+    ones = (1 << RANK_BITS) - 1
     return (
         docs.select("text")
         .mapInArrow(place, schema)
-        .repartition("pivot", "slice")
+        .repartition("pivot", F.shiftright("at", 2 * RANK_BITS))
         .sortWithinPartitions("pivot", "key")
         .mapInArrow(shared, schema)
-        .drop("slice")
+        .select(
+            "pivot",
+            "key",
+            F.shiftright("at", RANK_BITS).bitwiseAND(F.lit(ones)).cast("int").alias("n"),
+            F.col("at").bitwiseAND(F.lit(ones)).cast("int").alias("rank"),
+        )
     )
 
 
