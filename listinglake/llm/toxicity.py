@@ -110,6 +110,7 @@ class Index:
             starts = np.searchsorted(at, np.arange(self.blocks + 1) * block)
             self.lists.append((at, values, starts))
         self.prior = 0.0
+        self.single: dict[int, tuple] = {}  # answers to queries of one term
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def unit(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -157,8 +158,15 @@ class Index:
             return 0.0, np.zeros(0, dtype=np.int64), np.zeros(0)
         if not counts:
             return self.prior, np.zeros(0, dtype=np.int64), np.zeros(0)
+        # Texts of one term have one direction, so they share the answer.
+        term = next(iter(counts)) if len(counts) == 1 else None
+        if term in self.single:
+            return self.single[term]
         at, cosine = self.nearest(*self.unit(counts))
-        return float(np.interp(self.vote(at, cosine), *self.curve)), at, cosine
+        answer = float(np.interp(self.vote(at, cosine), *self.curve)), at, cosine
+        if term is not None:
+            self.single[term] = answer
+        return answer
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray):
