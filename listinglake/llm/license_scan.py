@@ -1,10 +1,22 @@
 """License scans: passages compared with licence templates by Dice over word bigrams.
 
-A document's passages are its lines, its paragraphs and the whole text.  Passage and
-template are normalised to lower-case words; their distinct pairs of neighbouring words are
-compared by Dice, 2 * common / (size + size), and a passage matches from THRESHOLD on.
-
-Two bounds keep the comparisons few, and neither can lose a match:
+A document's passages are its lines, its paragraphs, the whole text, and windows of words
+anywhere in it.  Passage and template are normalised to lower-case words; their distinct
+pairs of neighbouring words are compared by Dice, 2 * common / (size + size), and a passage
+matches from THRESHOLD on.
+
+Windows find licences that fill no line or paragraph: in comment blocks, inside a longer
+line, or followed by code or prose.  A pair at a window's end that the template lacks only
+lowers Dice, and a further pair of the template never does, so the best window begins and
+ends with a whole run of template pairs.  At most (2/t - 2) * n pairs between its runs may
+be foreign to a template of n pairs; here a foreign pair counts as often as it stands there.
+All windows that keep to this are compared.  Of a template's windows that overlap the best
+one counts, and none counts whose words stand in a line, paragraph or text that matches at
+least as well, or in a window that matches better.  The passage of a window is its words
+with spaces between.
+
+Two bounds keep the comparisons of lines, paragraphs and texts few, and neither can lose a
+match:
 
 * A passage with many words that no template has cannot match.  Each such word but one
   spoils a bigram, and at most (2/t - 2) * common bigrams may be spoiled.
@@ -23,6 +35,7 @@ without id are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -140,14 +153,158 @@ def passages(text: Column) -> Column:
     )
 
 
-def bigrams(word_list: Column) -> Column:
-    """Distinct pairs of neighbours, written with a space between."""
-    pairs = F.zip_with(
+def pairs(word_list: Column) -> Column:
+    """Pairs of neighbours, written with a space between."""
+    return F.zip_with(
         F.slice(word_list, 1, F.greatest(F.size(word_list) - 1, F.lit(0))),
         F.slice(word_list, 2, F.greatest(F.size(word_list) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    return F.array_distinct(pairs)
+
+
+def bigrams(word_list: Column) -> Column:
+    return F.array_distinct(pairs(word_list))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with ``value`` computed once a row also if lambdas refer to it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+WINDOW = "struct<dice:double,common:int,start:int,stop:int>"
+
+
+def _runs(hits: Column) -> Column:
+    """Runs of hits side by side: foreign pairs before the run, first and last hit."""
+
+    def cut(foreign: Column) -> Column:
+        first = F.filter(
+            F.transform(
+                foreign, lambda g, k: F.when((k == 0) | (F.get(foreign, k - 1) != g), k)
+            ),
+            lambda k: k.isNotNull(),
+        )
+        return let(
+            first,
+            lambda starts: F.transform(
+                starts,
+                lambda k, r: F.struct(
+                    F.get(foreign, k).alias("foreign"),
+                    k.alias("first"),
+                    (F.coalesce(F.get(starts, r + 1), F.size(foreign)) - 1).alias("last"),
+                ),
+            ),
+        )
+
+    return let(F.transform(hits, lambda h, k: h["place"] - k), cut)
+
+
+def _windows_of(hits: Column, every: Column, threshold: float) -> Column:
+    """Matching windows of the row's template (theirs, n, least, spare), as array of WINDOW.
+
+    hits: (place, pair) of the template's pairs among ``every`` pair of the text.
+    """
+
+    def from_run(a: Column, r: Column, runs: Column, pair: Column) -> Column:
+        def common(b: Column) -> Column:
+            part = F.slice(pair, a["first"] + 1, b["last"] - a["first"] + 1)
+            return F.size(F.array_distinct(part))
+
+        def measure(b: Column) -> Column:
+            start, stop = a["foreign"] + a["first"], b["foreign"] + b["last"]
+            ours = F.size(F.array_distinct(F.slice(every, start + 1, stop - start + 1)))
+            return F.struct(
+                (F.lit(2.0) * common(b) / (ours + F.col("n"))).alias("dice"),
+                common(b).alias("common"),
+                start.alias("start"),
+                stop.alias("stop"),
+            )
+
+        near = F.filter(
+            F.slice(runs, r + 1, F.col("spare") + 1),
+            lambda b: b["foreign"] - a["foreign"] <= F.col("spare"),
+        )
+        return let(
+            near,
+            lambda ends: F.when(
+                common(F.element_at(ends, -1)) >= F.col("least"),
+                F.array_max(F.transform(ends, measure)),
+            ),
+        )
+
+    def add(kept: Column, w: Column) -> Column:
+        last = F.try_element_at(kept, F.lit(-1))
+        return (
+            F.when(last.isNull() | (w["start"] > last["stop"]), F.concat(kept, F.array(w)))
+            .when(
+                w["dice"] > last["dice"],
+                F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(w)),
+            )
+            .otherwise(kept)
+        )
+
+    found = let(
+        F.transform(hits, lambda h: h["pair"]),
+        lambda pair: let(
+            _runs(hits),
+            lambda runs: F.transform(runs, lambda a, r: from_run(a, r, runs, pair)),
+        ),
+    )
+    return F.aggregate(
+        F.filter(found, lambda w: w["dice"] >= threshold),
+        F.expr(f"cast(array() as array<{WINDOW}>)"),
+        add,
+    )
+
+
+def windows(docs: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+    """Matching windows of ``docs`` (id, print, text): (id, print, license, dice, common, text)."""
+    known = templates.select(
+        "license",
+        "theirs",
+        "n",
+        F.expr(f"cast(ceil({threshold} * n / {2 - threshold} - 1e-9) as int)").alias("least"),
+        F.expr(f"cast(floor({2 / threshold - 2} * n + 1e-9) as int)").alias("spare"),
+    )
+    # The pairs of the given templates: as bounded as the parameter is.
+    some = sorted({b for r in templates.select("theirs").collect() for b in r["theirs"]})
+    hits = let(
+        F.transform(
+            pairs(words(F.col("text"))),
+            lambda b, p: F.struct(p.alias("place"), b.alias("pair")),
+        ),
+        lambda every: F.filter(every, lambda h: h["pair"].isin(some)),
+    )
+    # A document meets a template only if it holds as many of its pairs as a match needs.
+    held = docs.select("id", "print", "text", hits.alias("hits")).where(F.size("hits") > 0)
+    held = held.withColumn("ours", F.array_distinct("hits.pair"))
+    met = held.join(
+        F.broadcast(known), F.size(F.array_intersect("ours", "theirs")) >= F.col("least")
+    )
+    own = F.filter("hits", lambda h: F.array_contains("theirs", h["pair"]))
+    found = let(
+        words(F.col("text")),
+        lambda w: let(
+            pairs(w),
+            lambda every: let(
+                own,
+                lambda h: F.transform(
+                    _windows_of(h, every, threshold),
+                    lambda x: F.struct(
+                        x["dice"].alias("dice"),
+                        x["common"].alias("common"),
+                        F.array_join(
+                            F.slice(w, x["start"] + 1, x["stop"] - x["start"] + 2), " "
+                        ).alias("text"),
+                    ),
+                ),
+            ),
+        ),
+    )
+    # Like the other passages, each once.
+    return met.select(
+        "id", "print", "license", F.explode(F.array_distinct(found)).alias("w")
+    ).select("id", "print", "license", "w.dice", "w.common", "w.text")
 
 
 def scan(
@@ -174,12 +331,12 @@ def scan(
         f"sequence(cast(ceil({threshold} * n / {2 - threshold} - 1e-9) as int), "
         f"cast(floor({2 - threshold} * n / {threshold} + 1e-9) as int))"
     )
-    known = (
+    made = (
         made.select("license", bigrams(F.col("words")).alias("theirs"))
         .withColumn("n", F.size("theirs"))
         .where("n > 0")
-        .select("license", "theirs", F.explode(sizes).alias("size"))
     )
+    known = made.select("license", "theirs", F.explode(sizes).alias("size"))
 
     def may_match(word_list: Column) -> Column:
         known_words = F.filter(word_list, lambda w: w.isin(vocabulary))
@@ -219,16 +376,44 @@ def scan(
         .withColumn("match", F.coalesce(F.col("dice") >= threshold, F.lit(False)))
         .where("match or text is null")
     )
+    printed = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("print"), F.col(text_col).alias("text")
+    )
+    compared = compared.withColumn("window", F.lit(False)).unionByName(
+        windows(printed, made, threshold).withColumns(
+            {"match": F.lit(True), "window": F.lit(True)}
+        ),
+        allowMissingColumns=True,
+    )
     best = F.struct(
         (-F.col("dice")).alias("dice"), (-F.col("common")).alias("common"), "license", "text"
     )
+    # A window counts if its words stand in no passage that matches as well, or better for
+    # another window.
+    held = F.struct(
+        "dice",
+        "window",
+        F.concat(F.lit(" "), F.array_join(words(F.col("text")), " "), F.lit(" ")).alias("words"),
+    )
+
+    def counts(w: Column) -> Column:
+        return ~F.exists(
+            "held",
+            lambda o: F.when(o["window"], o["dice"] > w["dice"]).otherwise(o["dice"] >= w["dice"])
+            & F.contains(o["words"], w["words"]),
+        )
+
     return (
         compared.groupBy("id", "print")
         .agg(
             F.count_if(F.col("text").isNull()).alias("times"),
-            F.count_if("match").alias("n_matches"),
+            F.collect_list(F.when(F.col("match"), held)).alias("held"),
             F.min(F.when(F.col("match"), best)).alias("best"),
         )
+        .withColumn(
+            "n_matches",
+            F.size(F.filter("held", lambda w: ~w["window"] | counts(w))).cast("long"),
+        )
         .select(
             F.explode(F.expr("array_repeat(struct(id), cast(times as int))")).alias("row"),
             "n_matches", "best",

@@ -1,6 +1,7 @@
 """URL rules, benchmark windows and licence passages; their queries also run against SQL."""
 
 import os
+import random
 import re
 
 import pytest
@@ -137,3 +138,50 @@ def test_licences(spark):
         (7, "Apache-2.0"), (8, None), (None, "CC-BY-SA-4.0"), (9, None),
     ])
     assert license_scan.scan(frame(spark, rows).limit(0)).count() == 0
+
+
+BSD = """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:"""
+GPL = license_scan._GNU.format(kind="", version="3")
+
+
+def commented(lead, text, width=9):
+    parts = text.split()
+    lines = [" ".join(parts[i : i + width]) for i in range(0, len(parts), width)]
+    return "\n".join(f"{lead} {x}".rstrip() for x in lines)
+
+
+def best_window(text, theirs):
+    """The best Dice of any run of words, by trying all."""
+    found = split(text)
+    out = 0.0
+    for i in range(len(found) - 1):
+        ours = set()
+        for j in range(i + 1, len(found)):
+            ours.add((found[j - 1], found[j]))
+            out = max(out, 2 * len(ours & theirs) / (len(ours) + len(theirs)))
+    return out
+
+
+def test_licences_that_fill_no_line_or_paragraph(spark):
+    other = "int main(void) { return call(one, two); } // of the software and in the work"
+    rows = [
+        (1, f"# Copyright 2020 by them\n#\n{commented('#', BSD)}\n#\n# 1. Keep this notice.\n{other}"),
+        (2, "A page that tells of many things and ends so. Licensed under CC BY 4.0."),
+        (3, f"{prose(random.Random(1), 80)} {GPL}\n{other}\n{other}"),
+        (4, f"/*\n * x\n *\n{commented(' *', GPL)}\n *\n * This program comes without any warranty."
+            f"\n */\n{other}"),
+        (5, "Long before. Released under the MIT License. Long after that."),
+        (6, f"{other} {BSD} {prose(random.Random(2), 60)} Licensed under CC BY-SA 4.0 as said"),
+        (7, "Licensed under a scheme of the software, and the license of the work."),
+        (8, "Released under the MIT License."),
+    ]
+    got = {r["id"]: r for r in license_scan.scan(frame(spark, rows)).collect()}
+    want = {1: "BSD", 2: "CC-BY-4.0", 3: "GPL-3.0", 4: "GPL-3.0", 5: "MIT", 6: "BSD", 7: None, 8: "MIT"}
+    assert {i: r["license"] for i, r in got.items()} == want
+    assert [got[i]["n_matches"] for i in (5, 7, 8)] == [1, 0, 1]
+    assert got[6]["n_matches"] == 2 and got[2]["passage"] == "licensed under cc by 4 0"
+    known = [set(zip(w, w[1:])) for w in (split(t.text) for t in license_scan.TEMPLATES)]
+    for i, text in rows:
+        best = max(best_window(text, theirs) for theirs in known)
+        assert got[i]["dice"] == pytest.approx(best if best >= license_scan.THRESHOLD else 0)
