@@ -8,7 +8,9 @@ and is no piece is written as its UTF-8 bytes.
 A piece never holds the space mark behind another symbol (checked when a model is loaded),
 so no merge crosses the place before a space mark, and a text is encoded word by word.
 Every distinct word of a worker goes through the agenda once; in each Arrow batch the new
-words are also encoded by the sentencepiece library, and a difference stops the job.
+words are also encoded by the sentencepiece library, and a difference stops the job.  Words
+that the library cannot be given alone are checked in their texts: every text that holds
+one is encoded by the library as a whole, and its ids are compared.
 Models whose pieces do cross words are encoded as one stretch each.  Normalising a text and
 decoding ids are the library's.
 
@@ -94,8 +96,8 @@ class Codec:
                 out.append(self.unknown)  # neighbours without a piece are one unknown
         return tuple(out)
 
-    def learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Encode words, and compare with the library in one call."""
+    def learn(self, words: list[str]) -> dict[str, tuple[tuple[int, ...], bool]]:
+        """Ids of words, compared with the library in one call, and if they could be."""
         made = {w: self.agenda(w) for w in words}
         # Only words that the library can be given alone: it puts a space mark in front.
         alone = [w for w in words if w[0] == SPACE]
@@ -104,13 +106,22 @@ class Codec:
         for (w, _), ids in zip(alone, self.model.encode([p for _, p in alone], num_threads=1)):
             if made[w] != tuple(ids):
                 raise ValueError(f"agenda and library differ on {w!r}: {made[w]}, {ids}")
-        return made
+        checked = {w for w, _ in alone}
+        return {w: (ids, w in checked) for w, ids in made.items()}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
         split = [self.word.findall(t) for t in self.normal(texts)]
         known = self.known.hold({w for words in split for w in words}, self.learn)
-        return [[i for w in words for i in known[w]] for words in split]
+        out = [[i for w in words for i in known[w][0]] for words in split]
+        unchecked = {w for w, (_, checked) in known.items() if not checked}
+        if unchecked:
+            at = [k for k, words in enumerate(split) if not unchecked.isdisjoint(words)]
+            whole = self.model.encode([texts[k] for k in at], num_threads=1)
+            for k, ids in zip(at, whole):
+                if out[k] != ids:
+                    raise ValueError(f"agenda and library differ on a text: {out[k]}, {ids}")
+        return out
 
     def digest(self, ids: list[int]) -> str:
         """SHA-256 of the decimal ids joined by commas."""

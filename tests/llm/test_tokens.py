@@ -104,3 +104,18 @@ def test_encoded_table(spark):
         assert r["ids_sha256"] == hashlib.sha256(joined).hexdigest()
     assert got.count() == len(rows)
     assert piece_codec.encode_decode(docs.limit(0), MODEL, with_ids=False).count() == 0
+
+
+def test_words_the_library_cannot_take_alone_are_checked_in_their_texts(tmp_path):
+    many = [t for t in texts(300, 4) if t.strip()]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(["the reality of undecided merges and berries"] * 50), vocab_size=60,
+        model_prefix=str(tmp_path / "tiny"), model_type="bpe", add_dummy_prefix=False,
+        hard_vocab_limit=False, minloglevel=2,
+    )
+    tool = piece_codec.Codec(str(tmp_path / "tiny.model"))
+    assert tool.encode(many) == tool.model.encode(many)
+    tool = piece_codec.Codec(str(tmp_path / "tiny.model"))
+    tool.cost = {p: -c for p, c in tool.cost.items()}
+    with pytest.raises(ValueError, match="differ on a text"):
+        tool.encode(["undecided"])
