@@ -36,7 +36,7 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     The result has no lineage: a lost executor costs the tasks it ran, not the steps
@@ -44,7 +44,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/listinglake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
