@@ -6,6 +6,7 @@ import corpus_pipeline
 from listinglake.llm import (
     decontaminate, embedding_dedup, license_scan, ngram_join, piece_codec, shard_packing,
     spelling_variants, substring_dedup, token_counts, token_files, toxicity, url_rules,
+    whitening,
 )
 from listinglake.llm.common import Query
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op8_sharding": shard_packing.op8_sharding,
         "op9_ngram_jaccard_join": ngram_join.op9_ngram_jaccard_join,
         "op10_license_scan": license_scan.op10_license_scan,
+        "op11_whitening": whitening.op11_whitening,
         "op12_token_files": token_files.op12_token_files,
         "op13_spelling_variants": spelling_variants.op13_spelling_variants,
     }
