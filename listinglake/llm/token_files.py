@@ -35,10 +35,10 @@ import os
 import uuid
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,32 +76,43 @@ class Encoder:
         self.bounds = np.zeros(2, dtype=np.int64)  # piece i is ids[bounds[i]:bounds[i + 1]]
 
     def _learn(self, new: list[str]) -> None:
+        """Encode unknown pieces, all in one text; offsets tell whose ids they are."""
         if not new:
             return
-        found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        found = self.library.encode(" ".join(new), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        owner = np.searchsorted(np.cumsum(lengths + 1), starts, side="right")
+        sizes = np.bincount(owner, minlength=len(new))
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, ids])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
 
-    def encode(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin and the last one's end)."""
         if len(self.number) > self.most or len(self.ids) > KNOWN_IDS:
             self._forget()
-        # These are white space for the tokenizer and part no piece from a combining mark.
-        split = [_lower(t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        flat = [p for parts in split for p in parts]
-        new = [p for p in set(flat) if p not in self.number]
+        # A-Z as the tokenizer would lower them, so that fewer pieces are distinct; not
+        # where a special token may stand, whose capitals count.
+        low = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        # These are white space for the tokenizer, and no mark combines with them.
+        for blank in "\n\t":
+            low = pc.replace_substring(low, blank, " ")
+        split = pc.split_pattern(low, " ")
+        flat = split.flatten().dictionary_encode()
+        pieces_ = flat.dictionary.to_pylist()
+        new = [p for p in pieces_ if p not in self.number]
         self._learn(new)
-        number = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        number = np.fromiter(map(self.number.__getitem__, pieces_), np.int64, len(pieces_))
+        number = number[flat.indices.to_numpy(zero_copy_only=False)]
         begin = self.bounds[number]
         size = self.bounds[number + 1] - begin
         to = np.cumsum(size)
         total = int(to[-1]) if len(to) else 0
         at = np.repeat(begin - (to - size), size) + np.arange(total)
         ids = self.ids[at]
-        last = np.cumsum([len(parts) for parts in split], dtype=np.int64)
+        last = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
         ends = to[last - 1] if len(texts) else np.zeros(0, np.int64)
         if end is not None:
             ids = np.insert(ids, ends, end).astype(np.uint32)
@@ -111,14 +122,6 @@ class Encoder:
         return ids, np.concatenate([[0], ends]).astype(np.int64)
 
 
-def _lower(text: str) -> str:
-    """A-Z as the tokenizer would lower them, so that fewer pieces are distinct.
-
-    Not where a special token may stand, whose capitals count.
-    """
-    return text if "<|" in text else text.encode().lower().decode()
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -142,10 +145,9 @@ def _encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
         counts = np.zeros(max(tool.vocabulary, end + 1), dtype=np.int64)
         for batch in batches:
             for part in pieces(batch, "text"):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                ids, bounds = tool.encode(texts, end)
+                n = part.num_rows
+                ids, bounds = tool.encode(part.column("text").fill_null(""), end)
                 counts += np.bincount(ids, minlength=len(counts))
-                n = len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"), part.column("seq"), binary_of(ids.astype(kind), bounds),

@@ -3,6 +3,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -39,10 +40,10 @@ def test_whole_texts_encode_as_the_library_does(most):
     many = texts(500, 9) + ["A \x1c b\x85c\xa0d e ", "a ́b", "<|ENDOFTEXT|> <|endoftext|>", "x" * 5000]
     for i in range(0, len(many), 60):
         part = many[i : i + 60]
-        ids, bounds = tool.encode(part, 2)
+        ids, bounds = tool.encode(pa.array(part), 2)
         got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
         assert got == [ids_of(t) for t in part]
-    assert tool.encode([], 2)[0].tolist() == []
+    assert tool.encode(pa.array([], "string"), 2)[0].tolist() == []
 
 
 def test_numbers_of_all_lengths_come_back():
