@@ -10,7 +10,7 @@ from listinglake.operators.offers import FIRST_SEEN
 from listinglake.schemas import ORDER_COLUMNS
 from listinglake.session import settled
 
-def _check_cap(n: int) -> None:
+def check_cap(n: int) -> None:
     if n < 0:
         raise ValueError("cap must not be negative")
 
@@ -24,14 +24,14 @@ def sort_by_price(
 
 def cap(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
     """First ``n`` rows in source order; planned as a distributed top-n."""
-    _check_cap(n)
+    check_cap(n)
     return df.orderBy(*(order or ORDER_COLUMNS)).limit(n)
 
 
 def cap_by_price(
     df: DataFrame, n: int, price: str = "total_price", ties: str = FIRST_SEEN
 ) -> DataFrame:
-    _check_cap(n)
+    check_cap(n)
     return sort_by_price(df, price, ties).limit(n)
 
 
@@ -44,7 +44,7 @@ def cap_per_group(
     the first ``n`` of its group is in the first ``n`` of its slice) while no task ever
     sorts a whole hot group.
     """
-    _check_cap(n)
+    check_cap(n)
     order = order or ORDER_COLUMNS
 
     def cut(rows: DataFrame, by: list[str]) -> DataFrame:

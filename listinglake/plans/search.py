@@ -30,20 +30,20 @@ class SearchResult:
     summary: DataFrame
 
 
-def _result(
+def result(
     rows: DataFrame, record: str, area: str, label: str = "search_area"
 ) -> SearchResult:
     return SearchResult(to_record(rows, record), result_summary(rows, area, label))
 
 
-def _in_area(listings: DataFrame, place: dict | None) -> DataFrame:
+def in_area(listings: DataFrame, place: dict | None) -> DataFrame:
     if place is None:
         return listings
     corners = ("sw_lat", "sw_lng", "ne_lat", "ne_lng")
     return filters.filter_bbox(listings, *[place[c] for c in corners])
 
 
-def _stay_candidates(
+def stay_candidates(
     listings: DataFrame,
     place: dict | None,
     min_bedrooms: int,
@@ -56,7 +56,7 @@ def _stay_candidates(
     The repeat is dropped before the price test, so an over-priced first copy
     hides a later one.
     """
-    rows = _in_area(listings, place)
+    rows = in_area(listings, place)
     if min_bedrooms:
         rows = filters.filter_min_bedrooms(rows, min_bedrooms)
     if min_bathrooms:
@@ -82,11 +82,11 @@ def search_stays(
     """Stays for one arrival date, in source order."""
     first, _, count = resolve_stay(check_in, check_out, nights)
     asked = listings.filter((F.col("check_in") == first) & (F.col("nights") == count))
-    rows = _stay_candidates(
+    rows = stay_candidates(
         asked, place, min_bedrooms, min_bathrooms, price_min, price_max
     )
     label = place["display_name"] if place else area
-    return _result(cap(rows, max_results), "stays_listing", label)
+    return result(cap(rows, max_results), "stays_listing", label)
 
 
 def search_stays_on_dates(
@@ -118,7 +118,7 @@ def search_stays_on_dates(
     asked = listings.filter(
         F.col("check_in").isin(dates) & (F.col("nights") == nights)
     )
-    rows = _stay_candidates(
+    rows = stay_candidates(
         asked, place, min_bedrooms, min_bathrooms, price_min, price_max
     )
     per_date = cap_per_group(rows, ["check_in"], max_results).withColumn(
@@ -126,7 +126,7 @@ def search_stays_on_dates(
     )
     merged = cheapest_offer(per_date, [DATE_ORDER, *ORDER_COLUMNS])
     label = place["display_name"] if place else area
-    return _result(cap_by_price(merged, max_results), "stays_listing", label)
+    return result(cap_by_price(merged, max_results), "stays_listing", label)
 
 
 def search_carolinadesigns(
@@ -140,7 +140,7 @@ def search_carolinadesigns(
     rows = filters.filter_town(listings, fv.CAROLINADESIGNS, town)
     rows = filters.filter_min_bedrooms(rows, min_bedrooms)
     area = (title or "").strip() or town.title()
-    return _result(cap(rows, max_results), "carolinadesigns_listing", area)
+    return result(cap(rows, max_results), "carolinadesigns_listing", area)
 
 
 def search_churchrealty(
@@ -153,7 +153,7 @@ def search_churchrealty(
     rows = filters.filter_contains_ci(listings, "city", city)
     rows = filters.filter_contains_ci(rows, "state", state)
     rows = filters.filter_listing_type(rows, listing_type)
-    return _result(cap(rows, max_results), "churchrealty_listing", fv.CHURCHREALTY_AREA)
+    return result(cap(rows, max_results), "churchrealty_listing", fv.CHURCHREALTY_AREA)
 
 
 def search_crexi(
@@ -170,7 +170,7 @@ def search_crexi(
     rows = listings.filter(F.col("query") == query)
     rows = filters.filter_contains_ci(rows, "property_type", property_type)
     rows = filters.filter_price_range(rows, min_price, max_price)
-    return _result(cap(rows, max_results), "crexi_listing", query, "search_query")
+    return result(cap(rows, max_results), "crexi_listing", query, "search_query")
 
 
 def search_redfin(
@@ -186,7 +186,7 @@ def search_redfin(
     rows = listings.filter(F.col("zip_code") == zip_code)
     rows = filters.filter_beds_range(rows, min_beds, max_beds)
     rows = filters.filter_price_range(rows, min_price, max_price)
-    return _result(cap(rows, max_results), "redfin_listing", f"ZIP {zip_code}")
+    return result(cap(rows, max_results), "redfin_listing", f"ZIP {zip_code}")
 
 
 def search_sunrealty(
@@ -200,7 +200,7 @@ def search_sunrealty(
     rows = listings.filter(F.col("town") == display)
     rows = filters.filter_min_bedrooms(rows, min_bedrooms)
     area = display + fv.SUNREALTY_AREA_SUFFIX
-    return _result(cap(rows, max_results), "sunrealty_listing", area)
+    return result(cap(rows, max_results), "sunrealty_listing", area)
 
 
 def search_surforsound(
@@ -220,7 +220,7 @@ def search_surforsound(
     rows = dedupe_first(rows, ["listing_id"]) if strict else dedupe_later_pages(rows)
     rows = filters.filter_min_bedrooms(rows, min_bedrooms)
     area = slug.title() + fv.SURFORSOUND_AREA_SUFFIX
-    return _result(cap(rows, max_results), "surforsound_listing", area)
+    return result(cap(rows, max_results), "surforsound_listing", area)
 
 
 def search_twiddy(
@@ -233,4 +233,4 @@ def search_twiddy(
     rows = filters.filter_town(listings, fv.TWIDDY, town)
     rows = filters.filter_min_bedrooms(rows, min_bedrooms)
     area = display + fv.TWIDDY_AREA_SUFFIX
-    return _result(cap(rows, max_results), "twiddy_listing", area)
+    return result(cap(rows, max_results), "twiddy_listing", area)

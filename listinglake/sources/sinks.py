@@ -21,20 +21,24 @@ def write_report(
         writer.format(fmt).save(f"{path}/{name}")
 
 
-def write_silver(
-    df: DataFrame, path: str, source: str | None = None, mode: str = "append", slices: int = 8
-) -> None:
-    """Normalised rows, laid out so that source (and town) filters prune folders.
+def deal_to_folders(df: DataFrame, folders: list[str]) -> DataFrame:
+    """Rows dealt to writing tasks by folder, each folder to as many as its size asks for.
 
-    Rows are first dealt by folder and a slice of the listings, so that a folder gets a
-    few files and a large folder is still written by several tasks.
+    Run-time re-planning measures the shuffle: small folders share a task, and one that
+    holds most of the rows is split among tasks in proportion to its bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each).  No count is guessed, and a
+    folder gets no more files than it has tasks.
     """
+    return df.hint("rebalance", *folders)
+
+
+def write_silver(
+    df: DataFrame, path: str, source: str | None = None, mode: str = "append"
+) -> None:
+    """Normalised rows, laid out so that source (and town) filters prune folders."""
     if source is not None:
         df = df.withColumn("source", F.lit(source))
     keys = [c for c in ("source", "town") if c in df.columns]
     if keys:
-        dealt = [F.col(c) for c in keys]
-        if "listing_id" in df.columns:
-            dealt.append(F.pmod(F.xxhash64("listing_id"), F.lit(slices)))
-        df = df.repartition(*dealt)
+        df = deal_to_folders(df, keys)
     df.write.mode(mode).partitionBy(*keys).parquet(path)

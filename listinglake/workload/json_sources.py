@@ -744,6 +744,7 @@ def sunrealty_search_responses(spark, sf):
     return responses(
         keyed(spark, sf, "orders"), fv.SUNREALTY, "search", body, page=key,
         check_in=F.when(key % 2 == 0, F.lit("2026-08-15")),
+        params={"town": _pick(_SUN_TOWNS, key % len(_SUN_TOWNS))},
     )
 
 
