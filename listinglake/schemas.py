@@ -121,6 +121,20 @@ RECORDS = {
     "health": "name STRING, status STRING, summary STRING, detail ARRAY<STRING>",
 }
 
+# Lists of a details record as tables, the same for all sources.
+CHILDREN = {
+    "weekly_rates": """
+        source STRING, listing_id STRING, pos INT, arrive DATE, depart DATE, rate DOUBLE,
+        rate_display STRING, nightly_display STRING, reference_rate DOUBLE,
+        is_available BOOLEAN, is_on_special BOOLEAN, book_type STRING, note STRING""",
+    "availability_windows": """
+        source STRING, listing_id STRING, pos INT, start DATE, end DATE,
+        available BOOLEAN""",
+    "amenities": """
+        source STRING, listing_id STRING, pos INT, title STRING, available BOOLEAN""",
+    "images": "source STRING, listing_id STRING, pos INT, url STRING",
+}
+
 ORDER_COLUMNS = ["page", "pos"]
 
 
@@ -128,6 +142,11 @@ def record_schema(record: str) -> StructType:
     return StructType.fromDDL(RECORDS[record])
 
 
+def child_fields(table: str) -> list:
+    """The fields of a child table that come from a list entry."""
+    return StructType.fromDDL(CHILDREN[table]).fields[3:]
+
+
 def to_record(df: DataFrame, record: str, keep: list[str] | None = None) -> DataFrame:
     """Project to the declared field list and types; absent fields become null."""
     have = set(df.columns)
