@@ -51,8 +51,9 @@ END_ID = 2
 BLOCK_IDS = 1 << 20  # a block is closed once it has so many ids
 FILE_BLOCKS = 32  # blocks of a file, at most
 COUNT_SLICES = 16
-KNOWN_PIECES = 700_000  # pieces kept per worker
-KNOWN_IDS = 1 << 22  # and their ids
+KNOWN_PIECES = 1_500_000  # pieces kept per worker
+KNOWN_IDS = 1 << 23  # and their ids
+LONE_MARK = "([A-Za-z0-9])([.,;:!?])([ \n])"
 LONG_PIECE = 64  # characters; longer ones are not kept
 
 # ---- encoding -------------------------------------------------------------------
@@ -96,6 +97,8 @@ class Encoder:
         # A-Z as the tokenizer would lower them, so that fewer pieces are distinct; not
         # where a special token may stand, whose capitals count.
         low = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        # A single mark between a word and a blank is a word of its own for the tokenizer.
+        low = pc.replace_substring_regex(low, LONE_MARK, r"\1 \2\3")
         # These are white space for the tokenizer, and no mark combines with them.
         for blank in "\n\t":
             low = pc.replace_substring(low, blank, " ")

@@ -38,6 +38,7 @@ def key(row):
 def test_whole_texts_encode_as_the_library_does(most):
     tool = tf.Encoder(JSON, most)
     many = texts(500, 9) + ["A \x1c b\x85c\xa0d e ", "a ́b", "<|ENDOFTEXT|> <|endoftext|>", "x" * 5000]
+    many += ["it's, he'll. 'S! a's; b, c. d! e? 1, 2.\n(f, g), h.. i,, é, j. ", "a, \u0301b .c \u0327, d"]
     for i in range(0, len(many), 60):
         part = many[i : i + 60]
         ids, bounds = tool.encode(pa.array(part), 2)
