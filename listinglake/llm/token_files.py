@@ -35,6 +35,7 @@ import os
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 20  # a block is closed once it has so many ids
 FILE_BLOCKS = 32  # blocks of a file, at most
 COUNT_SLICES = 16
+SLICE_BYTES = 4 << 20  # text encoded at once
 KNOWN_PIECES = 1_500_000  # pieces kept per worker
 KNOWN_IDS = 1 << 23  # and their ids
 LONE_MARK = "([A-Za-z0-9])([.,;:!?])([ \n])"
@@ -104,10 +106,12 @@ class Encoder:
             low = pc.replace_substring(low, blank, " ")
         split = pc.split_pattern(low, " ")
         flat = split.flatten().dictionary_encode()
-        pieces_ = flat.dictionary.to_pylist()
-        new = [p for p in pieces_ if p not in self.number]
+        distinct = flat.dictionary.to_pylist()
+        number = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(number < 0)
+        new = [distinct[i] for i in unknown.tolist()]
+        number[unknown] = len(self.number) + np.arange(len(new))
         self._learn(new)
-        number = np.fromiter(map(self.number.__getitem__, pieces_), np.int64, len(pieces_))
         number = number[flat.indices.to_numpy(zero_copy_only=False)]
         begin = self.bounds[number]
         size = self.bounds[number + 1] - begin
@@ -147,7 +151,7 @@ def _encoded(docs: DataFrame, path: str, end: int) -> DataFrame:
         kind = np.uint16 if max(tool.vocabulary, end + 1) <= 1 << 16 else np.uint32
         counts = np.zeros(max(tool.vocabulary, end + 1), dtype=np.int64)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SLICE_BYTES):
                 n = part.num_rows
                 ids, bounds = tool.encode(part.column("text").fill_null(""), end)
                 counts += np.bincount(ids, minlength=len(counts))
@@ -200,30 +204,38 @@ def frequencies(encoded: DataFrame, size: int) -> np.ndarray:
 # ---- the code -------------------------------------------------------------------
 
 # For every control byte, the bytes of its four values.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
+LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of numbers below 2**32."""
     values = np.ascontiguousarray(values, dtype="<u4")
-    code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    code = (values > 0xFF).astype(np.uint8)
+    width = 2
+    if len(values) and values.max() > 0xFFFF:
+        code += (values > 0xFFFF).view(np.uint8)
+        code += (values > 0xFFFFFF).view(np.uint8)
+        width = 4
     four = np.zeros((len(values) + 3) // 4 * 4, dtype=np.uint8)
     four[: len(values)] = code
-    control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    control = four[0::4] | four[1::4] << 2 | four[2::4] << 4 | four[3::4] << 6
+    raw = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return control.tobytes(), raw[np.arange(width, dtype=np.uint8) <= code[:, None]].tobytes()
 
 
 def unpack(control: np.ndarray, data: np.ndarray, n: int) -> tuple[np.ndarray, int]:
     """(the ``n`` numbers, how many data bytes they take)."""
     length = LENGTHS[control].reshape(-1)[:n]
-    end = np.cumsum(length)
-    begin = end - length
-    out = np.zeros(n, dtype=np.uint32)
-    for j in range(int(length.max()) if n else 0):
+    if not n:
+        return np.zeros(0, dtype=np.uint32), 0
+    begin = np.cumsum(length, dtype=np.int64)
+    used = int(begin[-1])
+    begin -= length
+    out = data[begin].astype(np.uint32)
+    for j in range(1, int(length.max())):
         has = np.flatnonzero(length > j)
         out[has] |= data[begin[has] + j].astype(np.uint32) << np.uint32(8 * j)
-    return out, int(end[-1]) if n else 0
+    return out, used
 
 
 def pack_block(part: int, before: int, doc_ids: list, sizes: np.ndarray, ranks: np.ndarray) -> bytes:
