@@ -33,16 +33,30 @@ def dedupe_later_pages(
     order: list[str] | None = None,
     page: str = "page",
     within: list[str] | None = None,
+    slices: int = 64,
 ) -> DataFrame:
     """Page 1 stays whole, repeats included; later pages only add unseen ids.
 
     ``within`` names the columns of one search when the table holds several, and
-    ``order`` has to start with the page.
+    ``order`` has to start with the page, so the first row of a key is one of page 1 if
+    there is any: a row stays if it is on page 1 or the first of its key.
+
+    One pass: rows are ranked inside slices of their key first.  What is neither on page 1
+    nor first there goes.  The rest is ranked by key, except for the repeats of page 1:
+    they stay in any case, and remain in a lane of their slice, so that a hot key is never
+    gathered in one task.
     """
     keys = [*(within or []), key]
-    first_seen = df.groupBy(*keys).agg(
-        F.min(page).alias("_page"),
-        F.min_by(F.struct(*df.columns), F.struct(*(order or ORDER_COLUMNS))).alias("_row"),
+    order = order or ORDER_COLUMNS
+    on_first = F.col(page) <= 1
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
+
+    def ranked(rows: DataFrame, by: str) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*keys, by).orderBy(*order))
+        return rows.withColumn("_rn", rank).filter(on_first | (F.col("_rn") == 1))
+
+    repeat = on_first & (F.col("_rn") > 1)
+    lanes = ranked(sliced, "_slice").withColumn(
+        "_lane", F.when(repeat, F.col("_slice") + 1).otherwise(0)
     )
-    later = first_seen.filter(F.col("_page") > 1).select("_row.*")
-    return df.filter(F.col(page) <= 1).unionByName(later)
+    return ranked(lanes, "_lane").drop("_slice", "_lane", "_rn")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from listinglake.functions import ids
 from listinglake.functions.text import strip
 from listinglake.operators.dedupe import dedupe_first
+from listinglake.operators.suffixes import with_suffixes
 from listinglake.schemas import ORDER_COLUMNS
 from listinglake.session import settled
 from listinglake.sources.dims import place_key, towns
@@ -97,49 +98,51 @@ def resolve_identifier(index: DataFrame, identifier: str) -> DataFrame:
         hit = index.filter(url.endswith(asked))
     else:
         hit = index.filter(F.lower(url).endswith(asked.lower()))
-    return hit.orderBy(*ORDER_COLUMNS).limit(1)
+    order = [c for c in ORDER_COLUMNS if c in index.columns] or ["listing_id", "url"]
+    return hit.orderBy(*order).limit(1)
 
 
 def resolve_identifiers(
-    requests: DataFrame, index: DataFrame, identifier: str = "identifier"
+    requests: DataFrame,
+    index: DataFrame,
+    identifier: str = "identifier",
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """``resolve_identifier`` for a whole table of requests, as equi-joins.
+    """``resolve_identifier`` for a whole table of requests.
 
-    A code matches the end of a URL.  Codes are grouped by the greatest power of two
-    within their length and joined on that many last characters, so a URL is offered
-    once per power of two, however many lengths the codes have; the rest of the code is
-    compared then.
+    Ids and URLs equal the asked text, paths and codes end a URL; ``with_suffixes`` finds
+    all of them.  A mark at the end tells the three kinds apart, one at the front a whole
+    text.  Every entry of the index is three short texts, read once; no entry is copied
+    for the lengths that codes have.
     """
+    order = order or ORDER_COLUMNS
+    names = list(dict.fromkeys([*order, "listing_id", "url"]))
     asked = requests.withColumn("_key", ids.sunrealty_key(F.col(identifier)))
-    keys = asked.select("_key").distinct()
-    by_id = F.col("_key").rlike(r"^\d+$")
-    by_url = F.col("_key").startswith("http")
-    entries = index.select("listing_id", "url", *ORDER_COLUMNS)
-
-    def first_hit(of: Column, offered: DataFrame) -> DataFrame:
-        first = dedupe_first(offered, ["_key"]).drop(*ORDER_COLUMNS)
-        return keys.filter(of).join(first, "_key")
-
-    hits = first_hit(
-        by_id, entries.withColumn("_key", F.col("listing_id").cast("string"))
-    ).unionByName(first_hit(by_url, entries.withColumn("_key", F.col("url"))))
-    is_code = ~by_id & ~by_url & (F.col("_key") != "")
-    low = F.lower("url")
-    codes = keys.filter(is_code).withColumn(
-        "_n", F.expr("shiftleft(1, length(bin(length(_key))) - 1)")
-    )
-    powers = F.expr(
-        "transform(sequence(0, length(bin(length(url))) - 1), e -> shiftleft(1, e))"
+
+    def id_text(c: Column) -> Column:
+        return F.concat(F.lit(" "), c.cast("string"), F.lit("\x03"))
+
+    def as_it_stands(c: Column) -> Column:
+        return F.concat(c, F.lit("\x01"))
+
+    def lowered(c: Column) -> Column:
+        return F.concat(F.lower(c), F.lit("\x02"))
+
+    key = F.col("_key")
+    wanted = (
+        F.when(key.rlike(r"^\d+$"), id_text(key))
+        .when(key.startswith("http"), as_it_stands(F.concat(F.lit("\t"), key)))
+        .when(key.startswith("/outer-banks"), as_it_stands(key))
+        .when(key != "", lowered(key))
     )
-    offered = (
-        entries.filter(F.length("url") > 0)
-        .withColumn("_n", F.explode(powers))
-        .withColumn("_tail", F.right(low, F.col("_n")))
+    asked = asked.withColumn("_wanted", wanted)
+    keys = asked.select(F.col("_wanted").alias("code")).where("code is not null").distinct()
+    url = F.col("url")
+    offers = F.array(
+        id_text(F.col("listing_id")), as_it_stands(F.concat(F.lit("\t"), url)), lowered(url)
     )
-    matched = offered.join(
-        codes.withColumn("_tail", F.expr("right(_key, _n)")), ["_n", "_tail"]
-    ).filter(F.endswith(low, F.col("_key")))
-    first = F.min(F.struct(*ORDER_COLUMNS, "listing_id", "url")).alias("_first")
-    matched = matched.groupBy("_key").agg(first)
-    hits = hits.unionByName(matched.select("_key", "_first.listing_id", "_first.url"))
-    return join_unique(asked, hits, "_key").drop("_key")
+    entries = index.select(*names, F.explode(F.array_compact(offers)).alias("_text"))
+    found = with_suffixes(entries, "_text", keys, into="_wanted")
+    first = F.min(F.struct(*names)).alias("_first")
+    hits = found.groupBy("_wanted").agg(first).select("_wanted", "_first.listing_id", "_first.url")
+    return join_unique(asked, hits, "_wanted").drop("_key", "_wanted")

@@ -136,6 +136,8 @@ CHILDREN = {
 }
 
 ORDER_COLUMNS = ["page", "pos"]
+# What a record takes along while it is made; a response that drifted is a row of these.
+CARRIED = [*ORDER_COLUMNS, "entity_id", "drift"]
 
 
 def record_schema(record: str) -> StructType:

@@ -10,9 +10,9 @@ from listinglake.functions import arrays, numbers, text, urls
 from listinglake.functions.nulls import (
     first_present, null_if_in, present, text_or_empty, truthy,
 )
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 SEARCH = """Title STRING, Results ARRAY<STRUCT<
@@ -42,15 +42,15 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     baths = numbers.baths_slash(item["Baths"])
     rows = (
-        explode_items(payloads)
+        explode_items(payloads, keep)
         .withColumn("listing_id", present(text.strip(item["Propid"])))
-        .filter(F.col("listing_id").isNotNull())
+        .filter(known("listing_id"))
         .select(
-            *ORDER_COLUMNS,
+            *CARRIED,
             "listing_id",
             F.coalesce(
                 present(urls.absolute_unless_http(item["PropURL"], fv.CAROLINADESIGNS_BASE)),
@@ -68,7 +68,7 @@ def listings(payloads: DataFrame) -> DataFrame:
             truthy(item["PrivatePool"]).alias("private_pool"),
         )
     )
-    return to_record(rows, "carolinadesigns_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "carolinadesigns_listing", keep=keep)
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     baths = numbers.baths_labelled(item["Bathroominfo"])
     weeks = F.transform(
@@ -100,8 +100,8 @@ def details(payloads: DataFrame) -> DataFrame:
             lambda s: s["Items"],
         )
     )
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         item["Propid"].alias("listing_id"),
         F.coalesce(
             first_present(item["CanonicalUrl"]),
@@ -128,4 +128,4 @@ def details(payloads: DataFrame) -> DataFrame:
         numbers.whole(item["MinPrice"]).alias("min_price"),
         numbers.whole(item["MaxPrice"]).alias("max_price"),
     )
-    return to_record(rows, "carolinadesigns_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "carolinadesigns_details", keep=keep)

@@ -12,9 +12,9 @@ from listinglake.functions.html import (
     find, find_all, has_class, html_nodes, inside, is_tag, text_of, texts_of,
 )
 from listinglake.functions.nulls import present
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 # Paragraph labels that are known but carry no field.
@@ -95,13 +95,13 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     rows = (
-        explode_items(payloads)
-        .filter(F.col("item.listing_id").isNotNull())
-        .select(*ORDER_COLUMNS, "item.*")
+        explode_items(payloads, keep)
+        .filter(known("item.listing_id"))
+        .select(*CARRIED, "item.*")
     )
-    return to_record(rows, "churchrealty_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "churchrealty_listing", keep=keep)
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def paragraph_fields(nodes: Column, content: Column) -> Column:
     return let(lines, route)
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     nodes, content = F.col("item.nodes"), F.col("item.content")
     wrapped = inside(nodes, F.col("item.wrap"))
     top = _box(wrapped, "property_top_area")
@@ -195,12 +195,12 @@ def details(payloads: DataFrame) -> DataFrame:
     )
     gallery = inside(nodes, _box(nodes, "property_gallery_images"))
     df = (
-        explode_items(payloads)
+        explode_items(payloads, keep)
         .withColumn("listing_id", ids.churchrealty_id(F.col("entity_id")))
         .withColumn("fields", paragraph_fields(nodes, content))
     )
     rows = df.select(
-        *ORDER_COLUMNS,
+        *CARRIED,
         "listing_id",
         urls.from_id(fv.CHURCHREALTY_BASE + "/property", F.col("listing_id"), "/").alias(
             "url"
@@ -223,4 +223,4 @@ def details(payloads: DataFrame) -> DataFrame:
         "fields.agent_name",
         "fields.agent_phone",
     )
-    return to_record(rows, "churchrealty_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "churchrealty_details", keep=keep)

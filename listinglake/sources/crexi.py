@@ -9,7 +9,7 @@ from listinglake import fixed_values as fv
 from listinglake.functions import arrays, ids, nulls, numbers, text, urls
 from listinglake.functions.nulls import text_or_empty
 from listinglake.operators.joins import left_or_empty
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
     REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table, pick,
     status_drift, status_to_rows,
@@ -59,11 +59,11 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     place = first_location(item["locations"])
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         F.col("params")["query"].alias("query"),
         item["id"].alias("listing_id"),
         urls.from_slug(fv.CREXI_BASE, item["urlSlug"], item["id"]).alias("url"),
@@ -74,7 +74,7 @@ def listings(payloads: DataFrame) -> DataFrame:
         numbers.whole(item["squareFootage"]).alias("building_sqft"),
         item["thumbnailUrl"].alias("image_url"),
     )
-    return to_record(rows, "crexi_listing", keep=[*ORDER_COLUMNS, "query"])
+    return to_record(rows, "crexi_listing", keep=[*keep, "query"])
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     asset = F.col("item.data")
     place = first_location(asset["locations"])
     sqft = F.coalesce(
@@ -126,9 +126,9 @@ def details(payloads: DataFrame) -> DataFrame:
             F.lit(","), F.lit(""),
         ).try_cast("int"),
     )
-    df = explode_items(payloads).withColumn("listing_id", ids.crexi_id(F.col("entity_id")))
+    df = explode_items(payloads, keep).withColumn("listing_id", ids.crexi_id(F.col("entity_id")))
     rows = df.select(
-        *ORDER_COLUMNS,
+        *CARRIED,
         "listing_id",
         urls.from_slug(fv.CREXI_BASE, asset["urlSlug"], F.col("listing_id")).alias("url"),
         text_or_empty(asset["name"]).alias("name"),
@@ -145,4 +145,4 @@ def details(payloads: DataFrame) -> DataFrame:
         F.col("item.gallery").alias("image_urls"),
         F.col("item.brokers").alias("broker_names"),
     )
-    return to_record(rows, "crexi_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "crexi_details", keep=keep)

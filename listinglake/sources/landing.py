@@ -157,15 +157,21 @@ def newest_fetch(payloads: DataFrame) -> DataFrame:
     return rank.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def explode_items(payloads: DataFrame) -> DataFrame:
+def explode_items(payloads: DataFrame, keep: list[str] = schemas.ORDER_COLUMNS) -> DataFrame:
     """One row per raw record of the usable responses, with its position.
 
+    With ``drift`` in ``keep``, a drifted response is one row without position and record.
     Empty responses are dropped behind the explode.  A filter in front of it (Spark
     infers one for the inner form) would run the whole parse a second time.
     """
-    return payloads.select(
-        *REQUEST_COLUMNS, F.posexplode_outer("items").alias("pos", "item")
-    ).filter(F.col("pos").isNotNull())
+    drift = F.col("drift") if "drift" in keep else F.lit(None).cast("string").alias("drift")
+    rows = payloads.select(*REQUEST_COLUMNS, drift, F.posexplode_outer("items").alias("pos", "item"))
+    return rows.filter(F.col("pos").isNotNull() | F.col("drift").isNotNull())
+
+
+def known(column: str) -> Column:
+    """Records need the column; drifted responses have none."""
+    return F.col("drift").isNotNull() | F.col(column).isNotNull()
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:

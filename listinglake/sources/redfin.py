@@ -11,9 +11,9 @@ from listinglake.functions.embedded import (
     cache_payload, json_after_marker, ld_json_description,
 )
 from listinglake.functions.nulls import first_present, present, text_or_empty
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 VALUE_TEXT = "STRUCT<value: STRING>"
@@ -64,14 +64,14 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
 
     def whole(c: Column) -> Column:
         return c["value"].try_cast("int")
 
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         F.col("params")["zip_code"].alias("zip_code"),
         ids.home_id(item["url"], item["propertyId"], item["listingId"]).alias("listing_id"),
         F.when(
@@ -92,8 +92,8 @@ def listings(payloads: DataFrame) -> DataFrame:
         urls.home_photo(
             item["dataSourceId"], item["mlsId"]["value"], item["photoFormat"]
         ).alias("image_url"),
-    ).filter(F.col("listing_id").isNotNull())
-    return to_record(rows, "redfin_listing", keep=[*ORDER_COLUMNS, "zip_code"])
+    ).filter(known("listing_id"))
+    return to_record(rows, "redfin_listing", keep=[*keep, "zip_code"])
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def home_page_url(c: Column) -> Column:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     info = F.col("item.home.addressSectionInfo")
     agent = F.get(F.col("item.agents.mainHouseInfo.listingAgents"), F.lit(0))
     photos = F.transform(
@@ -134,8 +134,8 @@ def details(payloads: DataFrame) -> DataFrame:
             p["photoUrls"]["fullScreenPhotoUrl"], p["photoUrls"]["nonFullScreenPhotoUrl"]
         ),
     )
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         home_page_url(F.col("entity_id")).alias("url"),
         text_or_empty(info["streetAddress"]["assembledAddress"]).alias("address"),
         text_or_empty(info["city"]).alias("city"),
@@ -156,5 +156,5 @@ def details(payloads: DataFrame) -> DataFrame:
     return to_record(
         rows.withColumn("listing_id", ids.redfin_id(F.col("url"))),
         "redfin_details",
-        keep=ORDER_COLUMNS,
+        keep=keep,
     )

@@ -9,9 +9,9 @@ from listinglake import fixed_values as fv
 from listinglake.functions import arrays, dates, ids, numbers, text, urls
 from listinglake.functions.embedded import script_json
 from listinglake.functions.nulls import first_or, present, text_or_empty, truthy
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 STATE = "$.niobeClientData[0][1].data"
@@ -73,15 +73,15 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     lines = F.transform(
         item["structuredContent"]["primaryLine"], lambda m: m["body"]
     )
     price_line = item["structuredDisplayPrice"]["primaryLine"]
     place = item["demandStayListing"]["location"]["coordinate"]
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         ids.decode_stay_id(item["demandStayListing"]["id"]).alias("listing_id"),
         text_or_empty(item["subtitle"], item["nameLocalized"]).alias("name"),
         text_or_empty(item["title"]).alias("property_type"),
@@ -105,13 +105,13 @@ def listings(payloads: DataFrame) -> DataFrame:
         ).alias("image_url"),
     )
     priced = (
-        rows.filter(F.col("listing_id").isNotNull())
+        rows.filter(known("listing_id"))
         .withColumn("_price", numbers.price_and_currency(present(F.col("price_display"))))
         .withColumn("total_price", F.col("_price.amount"))
         .withColumn("price_currency", F.col("_price.currency"))
         .withColumn("url", urls.from_id(fv.STAYS_BASE + "/rooms", F.col("listing_id")))
     )
-    return to_record(priced, "stays_listing", keep=ORDER_COLUMNS)
+    return to_record(priced, "stays_listing", keep=keep)
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -134,14 +134,14 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     named = F.filter("item.sections", lambda s: present(s["sectionId"]).isNotNull())
     by_id = arrays.pairs_to_map(
         F.transform(
             named, lambda s: F.struct(s["sectionId"].alias("key"), s["section"].alias("value"))
         )
     )
-    df = explode_items(payloads).withColumns(
+    df = explode_items(payloads, keep).withColumns(
         {"listing_id": ids.stays_id(F.col("entity_id")), "by_id": by_id}
     )
 
@@ -190,7 +190,7 @@ def details(payloads: DataFrame) -> DataFrame:
     )
     hero = F.transform(section("HERO_DEFAULT")["previewImages"], lambda p: p["baseUrl"])
     rows = df.select(
-        *ORDER_COLUMNS,
+        *CARRIED,
         "listing_id",
         urls.from_id(fv.STAYS_BASE + "/rooms", F.col("listing_id")).alias("url"),
         text_or_empty(section("TITLE_DEFAULT")["title"]).alias("title"),
@@ -235,4 +235,4 @@ def details(payloads: DataFrame) -> DataFrame:
         ),
         arrays.ordered_distinct(hero, tour).alias("image_urls"),
     )
-    return to_record(rows, "stays_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "stays_details", keep=keep)

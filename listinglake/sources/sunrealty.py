@@ -15,9 +15,9 @@ from listinglake.functions.html import (
 from listinglake.functions.nulls import (
     first_or, first_present, flag_one, present, text_or_empty,
 )
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 SEARCH = """response STRUCT<docs: ARRAY<STRUCT<
@@ -48,16 +48,16 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     nothing = F.lit(None).cast("string")
     baths = numbers.baths_float(item["fs_rc_core_lodging_product$baths"])
     rows = (
-        explode_items(payloads)
+        explode_items(payloads, keep)
         .withColumn("listing_id", first_present(item["item_id"], item["is_eid"]))
-        .filter(F.col("listing_id").isNotNull())
+        .filter(known("listing_id"))
         .select(
-            *ORDER_COLUMNS,
+            *CARRIED,
             "listing_id",
             text_or_empty(item["ss_url"]).alias("url"),
             text_or_empty(item["ss_name"]).alias("name"),
@@ -79,7 +79,7 @@ def listings(payloads: DataFrame) -> DataFrame:
             F.coalesce(dates.iso(F.col("check_in")), F.lit("")).alias("check_in"),
         )
     )
-    return to_record(rows, "sunrealty_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "sunrealty_listing", keep=keep)
 
 
 def section_items(nodes: Column, section: Column) -> Column:
@@ -174,7 +174,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     nodes = F.col("item.nodes")
 
     def first_div(test) -> Column:
@@ -198,8 +198,8 @@ def details(payloads: DataFrame) -> DataFrame:
             lambda n: F.array(n["src"], n["data_src"]),
         )
     )
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         F.col("item.listing_id").alias("listing_id"),
         F.col("entity_id").alias("url"),
         field_text("field-name-title").alias("name"),
@@ -219,4 +219,4 @@ def details(payloads: DataFrame) -> DataFrame:
         ).alias("image_urls"),
         F.col("item.windows").alias("availability_windows"),
     )
-    return to_record(rows, "sunrealty_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "sunrealty_details", keep=keep)

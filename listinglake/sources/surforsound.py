@@ -13,9 +13,9 @@ from listinglake.functions.html import (
     label_values, markup_text, text_of, texts_of,
 )
 from listinglake.functions.nulls import first_present, truthy
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
 )
 
 CARD_ID = r"/property/(\d+)"
@@ -130,17 +130,17 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     rows = (
-        explode_items(payloads)
-        .filter(F.col("item.listing_id").isNotNull())
+        explode_items(payloads, keep)
+        .filter(known("item.listing_id"))
         .select(
-            *ORDER_COLUMNS,
+            *CARRIED,
             "item.*",
             F.coalesce(dates.iso(F.col("check_in")), F.lit("")).alias("check_in"),
         )
     )
-    return to_record(rows, "surforsound_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "surforsound_listing", keep=keep)
 
 
 def landing_gaps(responses: DataFrame, query_keys: list[str]) -> DataFrame:
@@ -201,7 +201,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     nodes = F.col("item.nodes")
     features = find(
         nodes,
@@ -221,7 +221,7 @@ def details(payloads: DataFrame) -> DataFrame:
     paragraphs = texts_of(nodes, find_all(nodes, lambda n: is_tag(n, "p")))
     pairs = label_values(nodes, features, "sos-letter-spc-1", "fw-bold")
     range_line = arrays.first_where(paragraphs, lambda t: t.rlike(fv.WEEKLY_RANGE))
-    df = explode_items(payloads).withColumns(
+    df = explode_items(payloads, keep).withColumns(
         {
             "listing_id": ids.surforsound_id(F.col("entity_id")),
             "stats": let(pairs, stat_fields),
@@ -229,7 +229,7 @@ def details(payloads: DataFrame) -> DataFrame:
         }
     )
     rows = df.select(
-        *ORDER_COLUMNS,
+        *CARRIED,
         "listing_id",
         urls.from_id(fv.SURFORSOUND_DETAIL, F.col("listing_id")).alias("url"),
         text.strip_number_suffix(
@@ -263,4 +263,4 @@ def details(payloads: DataFrame) -> DataFrame:
         F.col("rates.high").alias("weekly_rate_max"),
         F.col("item.weeks").alias("weekly_availabilities"),
     )
-    return to_record(rows, "surforsound_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "surforsound_details", keep=keep)

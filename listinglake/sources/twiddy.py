@@ -9,9 +9,9 @@ from listinglake import fixed_values as fv
 from listinglake.functions import arrays, dates, ids, numbers, text, urls
 from listinglake.functions.nulls import equals_ci, first_or, present, text_or_empty, truthy
 from listinglake.operators.joins import combine_left
-from listinglake.schemas import ORDER_COLUMNS, to_record
+from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, fetch_order, latest, payload_table, pick, status_drift,
 )
 
 SEARCH = """results ARRAY<STRUCT<
@@ -41,13 +41,14 @@ def search_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     item = F.col("item")
     rows = (
-        explode_items(payloads)
-        .filter(F.coalesce(numbers.whole(item["propertyId"], "bigint"), F.lit(0)) != 0)
+        explode_items(payloads, keep)
+        .withColumn("id", F.nullif(numbers.whole(item["propertyId"], "bigint"), F.lit(0)))
+        .filter(known("id"))
         .select(
-            *ORDER_COLUMNS,
+            *CARRIED,
             numbers.whole(item["propertyId"], "bigint").alias("listing_id"),
             urls.absolute_path(text_or_empty(item["propertyUrl"]), fv.TWIDDY_BASE).alias("url"),
             text_or_empty(item["propertyName"]).alias("name"),
@@ -64,7 +65,7 @@ def listings(payloads: DataFrame) -> DataFrame:
             ).alias("sleeps"),
         )
     )
-    return to_record(rows, "twiddy_listing", keep=ORDER_COLUMNS)
+    return to_record(rows, "twiddy_listing", keep=keep)
 
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
@@ -94,7 +95,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     )
 
 
-def details(payloads: DataFrame) -> DataFrame:
+def details(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
     info, extra = F.col("item.info"), F.col("item.amenities")
     baths = numbers.baths_words(extra["bathroomsSummary"])
     months = F.flatten(
@@ -120,8 +121,8 @@ def details(payloads: DataFrame) -> DataFrame:
             text.strip_html(w["weekContent"]).alias("week_content"),
         ),
     )
-    rows = explode_items(payloads).select(
-        *ORDER_COLUMNS,
+    rows = explode_items(payloads, keep).select(
+        *CARRIED,
         # A response landed under its URL has the id only inside.
         F.coalesce(
             ids.twiddy_id(F.col("entity_id")), numbers.whole(info["propertyID"], "bigint")
@@ -149,4 +150,4 @@ def details(payloads: DataFrame) -> DataFrame:
             ),
         ).alias("weekly_rates"),
     )
-    return to_record(rows, "twiddy_details", keep=ORDER_COLUMNS)
+    return to_record(rows, "twiddy_details", keep=keep)

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
 from listinglake.plans import search as plans
+from listinglake.plans.details import find_all_details
 from listinglake.plans.normalize import child_tables, detail_tables, search_tables
 from listinglake.sources import surforsound
 from listinglake.workload.json_sources import BEDS, _pick, _pick_sql, beds, cat, text
-from listinglake.workload.tables import home_list, homes_sql, joined, keyed, query, responses
+from listinglake.workload.tables import (
+    home_list, homes_sql, joined, keyed, query, responses, table,
+)
 
 HOMES = homes_sql("part")
 
@@ -430,3 +433,27 @@ def explode_windows(spark, sf):
 )
 def section_items(spark, sf):
     return child_tables(_sunrealty_details(spark, sf), fv.SUNREALTY)["amenities"]
+
+
+# ---- details by any name --------------------------------------------------------------------
+
+
+@query(
+    "details_by_url_id_or_code",
+    """SELECT CASE k % 3 WHEN 0 THEN ' https://h/' || k || '/' WHEN 1 THEN CAST(k AS VARCHAR)
+        ELSE 'H/' || k END AS identifier,
+      CASE k % 3 WHEN 0 THEN 'url' WHEN 1 THEN 'id' ELSE 'index' END AS found_by,
+      CAST(k AS VARCHAR) AS listing_id, 'https://h/' || k AS url, label || 'X' AS name
+    FROM (SELECT p_partkey AS k, p_name AS label FROM part) WHERE k % 31 <> 0""",
+)
+def details_by_url_id_or_code(spark, sf):
+    """No index of search rows: URLs stand for themselves, codes end the details' URLs."""
+    key = F.col("p_partkey")
+    requests = table(spark, sf, "part").select(
+        F.when(key % 3 == 0, cat(" https://h/", text(key), "/"))
+        .when(key % 3 == 1, text(key))
+        .otherwise(cat("H/", text(key)))
+        .alias("identifier")
+    )
+    found = find_all_details(requests, _sunrealty_details(spark, sf), fv.SUNREALTY)
+    return found.select("identifier", "found_by", "listing_id", "url", "name")

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
 from listinglake.plans import search as plans
+from listinglake.plans.details import find_all_details
 from listinglake.plans.normalize import child_tables, detail_tables, search_tables
 from listinglake.session import checkpoint_dir
 from listinglake.sources.landing import read_responses
 from listinglake.sources.sinks import write_json, write_silver
-from listinglake.workload.tables import home_list, homes_sql, joined, keyed, query, responses
+from listinglake.workload.tables import (
+    home_list, homes_sql, joined, keyed, query, responses, table,
+)
 
 HOMES = homes_sql("orders")
 
@@ -909,3 +912,35 @@ def normalize_twiddy_details(spark, sf):
 )
 def explode_calendar(spark, sf):
     return child_tables(_twiddy_details(spark, sf), fv.TWIDDY)["weekly_rates"]
+
+
+def twiddy_pages(spark, sf):
+    """Landed pages whose URL does not hold the home's id; the body does."""
+    key = F.col("key")
+    body = cat('<html><script>var page = {"propertyId":"', text(key), '"};</script></html>')
+    return responses(
+        keyed(spark, sf, "orders"), fv.TWIDDY, "page", body,
+        entity_id=cat("/outer-banks/home-", text(key * 7), "/"),
+    )
+
+
+@query(
+    "details_by_page_id",
+    """SELECT CASE WHEN k % 5 = 0 THEN CAST(k AS VARCHAR)
+        WHEN k % 2 = 0 THEN '/outer-banks/' || k
+        ELSE 'https://www.twiddy.com/outer-banks/home-' || (k * 7) END AS identifier,
+      CASE WHEN k % 5 = 0 THEN 'id' WHEN k % 2 = 0 THEN 'url' ELSE 'page' END AS found_by,
+      k AS listing_id, label AS name
+    FROM (SELECT o_orderkey AS k, o_orderpriority AS label FROM orders) WHERE k % 43 <> 0""",
+)
+def details_by_page_id(spark, sf):
+    key = F.col("o_orderkey")
+    requests = table(spark, sf, "orders").select(
+        F.when(key % 5 == 0, text(key))
+        .when(key % 2 == 0, cat("/outer-banks/", text(key)))
+        .otherwise(cat("https://www.twiddy.com/outer-banks/home-", text(key * 7)))
+        .alias("identifier")
+    )
+    pages = twiddy_pages(spark, sf).select("entity_id", "body")
+    found = find_all_details(requests, _twiddy_details(spark, sf), fv.TWIDDY, pages=pages)
+    return found.select("identifier", "found_by", "listing_id", "name")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from listinglake.workload import (  # noqa: F401
-    children, html_sources, json_sources, landed, offers, rates, reports, texts,
+    children, health, html_sources, json_sources, landed, offers, rates, reports, texts,
 )
 from listinglake.workload.tables import QUERIES, SQL, Query
 

@@ -245,8 +245,9 @@ def test_find_details(spark):
             find_details(rows, source, "not an id")
     index = rows.withColumn("page", F.lit(1)).withColumn("pos", F.lit(0))
     assert ids(find_details(rows, fv.SUNREALTY, "110-D", index)) == ["54"]
-    with pytest.raises(ValueError, match="index"):
-        find_details(rows, fv.SUNREALTY, "110-D")
+    assert ids(find_details(rows, fv.SUNREALTY, "110-D")) == ["54"]
+    assert ids(find_details(rows, fv.SUNREALTY, "https://h/outer-banks/b/110-d/")) == ["54"]
+    assert ids(find_details(rows, fv.SUNREALTY, "54")) == ["54"]
     homes = rows.withColumn("url", F.concat(F.lit(fv.TWIDDY_BASE + "/outer-banks/x"), "listing_id", F.lit("/")))
     assert ids(find_details(homes, fv.TWIDDY, "/outer-banks/x54")) == ["54"]
 
