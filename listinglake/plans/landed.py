@@ -22,6 +22,7 @@ from listinglake.plans.normalize import search_tables
 from listinglake.plans.search import SearchResult, in_area, result, stay_candidates
 from listinglake.schemas import ORDER_COLUMNS
 from listinglake.sources.dims import check_town
+from listinglake.sources.landing import newest_landed
 from listinglake.sources.landing_store import asked, stretches
 
 
@@ -43,7 +44,7 @@ def search_village(
     Repeats inside page 1 stay, as on the site; ``strict`` drops those too.
     """
     slug, _ = check_town(fv.SURFORSOUND, town)
-    folder = asked(landing, fv.SURFORSOUND, area=slug, check_in=check_in)
+    folder = newest_landed(asked(landing, fv.SURFORSOUND, area=slug, check_in=check_in), "search")
     rows = cap_in_page_order(
         _pages(folder, fv.SURFORSOUND),
         stretches(folder),
@@ -106,6 +107,7 @@ def search_stays_landed(
     """Stays for one arrival date, page by page until there are enough."""
     first, _, count = resolve_stay(check_in, check_out, nights)
     folder = asked(landing, fv.STAYS, check_in=first).filter(F.col("nights") == count)
+    folder = newest_landed(folder, "search")
 
     def rows_of(stretch: int) -> DataFrame:
         rows = in_area(_pages(folder, fv.STAYS)(stretch), place)

@@ -113,6 +113,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
         joined,
         status_drift((~F.col("is_object"), "asset is not an object")),
         F.array(F.struct("data", "gallery", "brokers")),
+        chosen=True,
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from listinglake import fixed_values as fv
 from listinglake import schemas
+from listinglake.session import settled
 
 REQUEST_COLUMNS = [
     "source", "kind", "entity_id", "params", "check_in", "nights", "page", "http_status",
@@ -34,6 +35,8 @@ def read_responses(
     prune directories before any body is read.
     """
     df = spark.read.schema(schemas.RESPONSES).format(fmt).load(path)
+    if fmt == "parquet":
+        df = df.select("*", place())
     if source:
         df = df.filter(F.col("source") == source)
     if kind:
@@ -59,11 +62,57 @@ def read_pages(spark: SparkSession, path: str, source: str, kind: str) -> DataFr
 
 
 def pick(responses: DataFrame, source: str, kind: str) -> DataFrame:
-    """Responses of one kind, with what orders the fetches of one request."""
+    """Responses of one kind, with what orders the fetches of one request.
+
+    Where the place in the landing folder is known, old fetches go here, before any body
+    is read.
+    """
     df = responses.filter((F.col("source") == source) & (F.col("kind") == kind))
+    if PLACE in df.columns and not df.isStreaming:
+        df = newest_landed(df, kind)
+    if CHOSEN in df.columns:
+        return df.withColumn("fetch", F.struct(CHOSEN))
     return df.withColumn("fetch", F.struct(*fetch_order(kind)))
 
 
+# Where a response lies in the landing folder, and that it is the newest of its request.
+PLACE, CHOSEN = "landed", "chosen"
+
+
+def place() -> Column:
+    """The file and row of a response; known to readers of Parquet files only."""
+    return F.struct("_metadata.file_path", "_metadata.row_index").alias(PLACE)
+
+
+def newest_landed(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` without the older fetches of requests that landed several times.
+
+    The choice is made on request columns, status, time and the row's place alone, so the
+    shuffle carries no body, and an old fetch is never parsed.  Most requests land once;
+    what is written is the requests that did not, then the places of their old fetches.
+    Their size is known to the planner, which sends few of them to the tasks.  Equal times
+    are told apart by the place.
+    """
+    request = F.struct(
+        "entity_id", F.to_json(F.array_sort(F.map_entries("params"))).alias("asked"),
+        "check_in", "nights", "page",
+    )
+    usable, *_ = fetch_order(kind)
+    narrow = df.select(
+        F.to_json(request, {"ignoreNullFields": "false"}).alias("_request"),
+        F.struct(usable, "fetched_at", PLACE).alias("_fetch"),
+    )
+    again = narrow.groupBy("_request").agg(
+        F.max("_fetch").alias("_best"), F.count(F.lit(1)).alias("_n")
+    )
+    again = settled(again.filter("_n > 1").select("_request", "_best"), "refetched")
+    if again.take(1):
+        old = narrow.join(again, "_request").filter("NOT (_fetch <=> _best)")
+        old = settled(old.select(f"_fetch.{PLACE}"), "old-fetches")
+        df = df.join(old, PLACE, "left_anti")
+    return df.drop(PLACE).withColumn(CHOSEN, F.lit(True))
+
+
 FETCH_COLUMNS = ["usable", "fetched_at", "body_hash"]
 
 
@@ -125,15 +174,19 @@ def status_to_rows(kind: str, rows: Column) -> Column:
     )
 
 
-def payload_table(df: DataFrame, drift: Column, items: Column) -> DataFrame:
-    """Parsed payloads; a drifted response keeps its row but has no items."""
-    return newest_fetch(
-        df.select(
-            *REQUEST_COLUMNS,
-            drift.alias("drift"),
-            F.when(drift.isNull(), items).alias("items"),
-        )
+def payload_table(
+    df: DataFrame, drift: Column, items: Column, chosen: bool = False
+) -> DataFrame:
+    """Parsed payloads; a drifted response keeps its row but has no items.
+
+    ``chosen``: the rows are the newest of their requests already.
+    """
+    payloads = df.select(
+        *REQUEST_COLUMNS,
+        drift.alias("drift"),
+        F.when(drift.isNull(), items).alias("items"),
     )
+    return payloads if chosen else newest_fetch(payloads)
 
 
 def newest_fetch(payloads: DataFrame) -> DataFrame:
@@ -143,7 +196,7 @@ def newest_fetch(payloads: DataFrame) -> DataFrame:
     filter cuts every request to one row per task before the shuffle.  A stream has
     no end to compare fetches over; there every response is passed on.
     """
-    if payloads.isStreaming:
+    if payloads.isStreaming or CHOSEN in payloads.schema["fetch"].dataType.names:
         return payloads
     asked = F.to_json(F.array_sort(F.map_entries("params")))
     newest = W.partitionBy(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from listinglake import fixed_values as fv
 from listinglake import schemas
 from listinglake.functions.text import strip
+from listinglake.sources.landing import CHOSEN, PLACE, place
 from listinglake.sources.sinks import deal_to_folders
 
 FOLDERS = ["source", "kind", "area", "check_in", "stretch"]
@@ -54,14 +55,15 @@ def stretch_of(page: Column) -> Column:
 
 
 def write_landing(responses: DataFrame, path: str, mode: str = "append") -> None:
-    laid_out = responses.withColumns({"area": asked_area(), "stretch": stretch_of(F.col("page"))})
+    rows = responses.drop(PLACE, CHOSEN)
+    laid_out = rows.withColumns({"area": asked_area(), "stretch": stretch_of(F.col("page"))})
     dealt = deal_to_folders(laid_out, FOLDERS)
     dealt.sortWithinPartitions(*FOLDERS, "page").write.mode(mode).partitionBy(*FOLDERS).parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     schema = f"{schemas.RESPONSES}, area STRING, stretch INT"
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select("*", place())
 
 
 def asked(

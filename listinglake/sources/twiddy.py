@@ -92,6 +92,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
             (numbers.whole(F.col("info.propertyID"), "bigint").isNull(), "missing propertyID")
         ),
         F.array(F.struct("info", "amenities", "calendar")),
+        chosen=True,
     )
 
 

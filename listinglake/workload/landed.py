@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listinglake import fixed_values as fv
 from listinglake.plans import landed as plans
+from listinglake.plans.normalize import search_tables
 from listinglake.session import checkpoint_dir
 from listinglake.sources.landing_store import read_landing, write_landing
 from listinglake.workload import html_sources as pages
@@ -119,3 +121,13 @@ def landed_dates_search(spark, sf):
     return plans.search_stays_on_asked_dates(
         landing, asked_dates(spark, sf), 4, min_bedrooms=2, price_max=2000, max_results=40
     ).rows
+
+
+@query(
+    "landed_refetched",
+    f"WITH {bodies.HOMES}, {bodies._REDFIN} SELECT * FROM redfin",
+)
+def landed_refetched(spark, sf):
+    """Every request landed several times; old fetches go before a body is parsed."""
+    landing = landing_of(spark, bodies.refetched(bodies.redfin_search_responses(spark, sf), "old"))
+    return search_tables(landing, fv.REDFIN).rows

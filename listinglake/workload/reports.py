@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from listinglake import fixed_values as fv
@@ -9,10 +11,12 @@ from listinglake.operators import summary
 from listinglake.operators.topk import with_rank
 from listinglake.plans import budget, health, report
 from listinglake.plans.normalize import search_tables
+from listinglake.session import checkpoint_dir
+from listinglake.sources.sinks import write_report
 from listinglake.workload.json_sources import carolinadesigns_search_responses
 from listinglake.workload.rates import TARGET
 from listinglake.workload.tables import (
-    OFFERS, PART_LISTINGS, RATE_ORDER, RATES, offers, part_details, part_listings, query, rates,
+    OFFERS, PART_LISTINGS, RATE_ORDER, RATES, SQL, offers, part_details, part_listings, query, rates,
     table,
 )
 
@@ -228,3 +232,19 @@ def report_twiddy(spark, sf):
 )
 def report_surforsound(spark, sf):
     return report.surforsound_report(_week_rows(spark, sf))
+
+
+@query("report_round_trip", SQL["report_carolinadesigns"])
+def report_round_trip(spark, sf):
+    """All report tables written, a folder each; the largest is read back."""
+    path = f"{checkpoint_dir(spark)}/listinglake/report-{uuid.uuid4().hex}"
+    homes = _week_rows(spark, sf)
+    write_report(
+        {
+            **_stays_report(spark, sf),
+            "carolinadesigns": report.carolinadesigns_report(homes),
+            "twiddy": report.twiddy_report(homes),
+        },
+        path,
+    )
+    return spark.read.parquet(f"{path}/carolinadesigns")
