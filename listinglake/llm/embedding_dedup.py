@@ -7,11 +7,15 @@
    TABLES * (RADIUS + 1) bits agree in some part up to RADIUS bits.  One side lists its
    parts, the other its parts with up to RADIUS bits flipped, and they meet in an equi-join;
    a Hamming bound on the whole code drops most of what only one part brought together.
+   How many rotations, each with tables of its own, and which bound: that is tried out on
+   pairs of the sample, true ones and made ones at just the threshold.  Where vectors share
+   a direction, their centred codes differ more, and more rotations are used.
 3. Rerank.  Pairs found are compared by cosine of the original vectors in double
    precision.  None below the threshold is linked.
 
 Equal vectors are one class from the start and are not compared with each other: a class
-carries its number of members, so copies in any number cost one row each.
+carries its number of members, so copies in any number cost one row each.  Classes are
+numbered, whatever ids their members have.
 
 The index is approximate: a pair whose code parts all differ by more than RADIUS bits is not
 found.  Recall is measured against brute force in the tests and given in the README.
@@ -19,6 +23,7 @@ found.  Recall is measured against brute force in the tests and given in the REA
 Results for odd input: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing (n_links 0, component = own id, kept); vectors of different
 lengths do not link; rows that repeat an id and vector are one vector and get equal rows;
+rows that repeat an id with another vector are vectors of their own;
 rows without id get a null component; with fewer than two usable vectors nothing is linked.
 """
 
@@ -35,9 +40,15 @@ THRESHOLD = 0.95
 BITS = 64
 TABLES = 4
 RADIUS = 1
-# Codes this far apart are not reranked: over twice the bits expected at cosine 0.95.
+# Codes further apart are not reranked: over twice the bits expected at cosine 0.95, or what
+# nearly all of the tried pairs need, if that is more.
 MOST_BITS = 20
+MOST_SHARE = 0.999
 SAMPLE = 4096
+# Shares of the tried pairs that the tables have to find: true ones, and those made at the
+# threshold, which are the hardest there are.
+TRUE_FOUND, MADE_FOUND = 0.97, 0.93
+MOST_ROTATIONS = 8
 ROUNDS = 30
 
 
@@ -72,18 +83,92 @@ class Quantiser:
         return (on * places).sum(1, dtype=np.uint64)
 
 
-def _unit(vectors: list) -> np.ndarray:
+    def found(self, x: np.ndarray, y: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """For pairs of unit vectors: whether a table brings them together, bits that differ."""
+        width = -(-self.bits // TABLES)
+        differ = self.codes(x) ^ self.codes(y)
+        mask = np.uint64((1 << width) - 1)
+        met = np.zeros(len(x), dtype=bool)
+        for t in range(TABLES):
+            met |= _bits(differ >> np.uint64(t * width) & mask) <= radius
+        return met, _bits(differ)
+
+
+def _bits(values: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(values).astype(np.int64)
+
+
+def _tried_pairs(unit: np.ndarray, threshold: float, seed: int = 3):
+    """(x, y) of true pairs in the sample, and of made ones whose cosine is the threshold.
+
+    The second vector leans from the first one towards another vector of the sample, so
+    the difference is one that the data have.
+    """
+    true = [(np.zeros(0, int), np.zeros(0, int))]
+    for i in range(0, len(unit), 512):
+        a, b = np.nonzero(unit[i : i + 512] @ unit.T >= threshold)
+        a = a + i
+        true.append((a[a < b], b[a < b]))
+    a, b = (np.concatenate(x) for x in zip(*true))
+    rng = np.random.default_rng(seed)
+    some = rng.permutation(len(a))[: 4 * SAMPLE]
+    other = unit[rng.permutation(len(unit))]
+    aside = other - (other * unit).sum(1, keepdims=True) * unit
+    length = np.sqrt((aside**2).sum(1))
+    usable = length > 1e-6
+    aside = aside[usable] / length[usable, None]
+    made = threshold * unit[usable] + np.sqrt(1 - threshold**2) * aside
+    return (unit[a[some]], unit[b[some]]), (unit[usable], made)
+
+
+def choose_tools(unit: np.ndarray, threshold: float, radius: int) -> tuple[list[Quantiser], int]:
+    """Rotations that find enough of the tried pairs, and the most bits that may differ."""
+    tried = _tried_pairs(unit, threshold)
+    tools: list[Quantiser] = []
+    met = [np.zeros(len(x), dtype=bool) for x, _ in tried]
+    most = MOST_BITS
+    while len(tools) < MOST_ROTATIONS:
+        tool = Quantiser(unit, seed=len(tools))
+        tools.append(tool)
+        for i, (x, y) in enumerate(tried):
+            found, differ = tool.found(x, y, radius)
+            met[i] |= found
+            if found.any():
+                most = max(most, int(np.quantile(differ[found], MOST_SHARE)))
+        shares = [m.mean() if len(m) else 1.0 for m in met]
+        if shares[0] >= TRUE_FOUND and shares[1] >= MADE_FOUND:
+            break
+    return tools, most
+
+
+def _unit(vectors) -> np.ndarray:
+    """Vectors of length 1; the largest entry becomes 1 first, so that no square overflows."""
     out = np.array(vectors, dtype=float)
+    out = out / np.abs(out).max(1, keepdims=True)
     return out / np.sqrt((out**2).sum(1, keepdims=True))
 
 
+def _matrices(column: pa.Array):
+    """(rows, matrix of their vectors) for each length in a list column."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    begin = np.cumsum(lengths) - lengths
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        yield at, flat[begin[at][:, None] + np.arange(n)]
+
+
 def _classes(vectors: DataFrame) -> DataFrame:
-    """(class, size, vector) of the usable vectors (id, vector, key...); class = least id."""
+    """(class, k1, k2, id, size, vector) of the usable vectors; id is the least one.
+
+    The number is given when the classes are written, so it stays.
+    """
     return (
         vectors.where("usable and id is not null")
         .groupBy("k1", "k2")
         .agg(F.min(F.struct("id", "vector")).alias("first"), F.count_distinct("id").alias("size"))
-        .select(F.col("first.id").alias("class"), "size", "first.vector")
+        .select("k1", "k2", "first.id", "size", "first.vector")
+        .withColumn("class", F.monotonically_increasing_id())
     )
 
 
@@ -118,13 +203,14 @@ def link_vectors(
     else:
         sample = (
             classes.where(F.size("vector") == length["n"])
-            .orderBy(F.xxhash64("class"), "class")
+            .orderBy("k1", "k2")
             .limit(SAMPLE)
             .select("vector")
             .collect()
         )
-        tool = Quantiser(_unit([r["vector"] for r in sample]))
-        pairs = _near(classes, tool, threshold, radius)
+        unit = _unit([r["vector"] for r in sample])
+        tools, most_bits = choose_tools(unit, threshold, radius)
+        pairs = _near(classes, tools, most_bits, threshold, radius)
     pairs = settle(pairs, "pairs")
 
     sizes = classes.select("class", "size")
@@ -135,17 +221,21 @@ def link_vectors(
         .agg(F.sum("size").alias("others"))
     )
     home = components(pairs).select(F.col("node").alias("class"), "component")
+    # The smallest id of a component, over the classes in it.
+    least = (
+        home.join(classes.select("class", "id"), "class")
+        .groupBy("component")
+        .agg(F.min("id").alias("component_id"))
+    )
+    home = home.join(least, "component").select("class", "component_id")
     point = (
-        vectors.where("usable and id is not null")
-        .groupBy("k1", "k2")
-        .agg(F.min("id").alias("class"))
-        .join(sizes, "class")
+        classes.select("class", "k1", "k2", "id", "size")
         .join(others, "class", "left")
         .join(home, "class", "left")
         .select(
             "k1", "k2", F.lit(True).alias("usable"),
             (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class").alias("component_id"),
+            F.coalesce("component_id", "id").alias("component_id"),
         )
     )
     return (
@@ -160,45 +250,52 @@ def link_vectors(
     )
 
 
-def _near(classes: DataFrame, tool: Quantiser, threshold: float, radius: int) -> DataFrame:
+def _near(
+    classes: DataFrame, tools: list[Quantiser], most_bits: int, threshold: float, radius: int
+) -> DataFrame:
     """Pairs (a < b) of classes with cosine of at least ``threshold``."""
-    bits = tool.bits
+    bits = tools[0].bits
     width = -(-bits // TABLES)
 
     def encode(batches):
         for batch in batches:
-            vectors = batch.column("vector").to_pylist()
-            lengths = np.array([len(v) for v in vectors])
-            codes = np.zeros(len(vectors), dtype=np.uint64)
-            for n in np.unique(lengths):
-                at = np.flatnonzero(lengths == n)
-                codes[at] = tool.codes(_unit([vectors[i] for i in at]))
+            codes = np.zeros((batch.num_rows, len(tools)), dtype=np.uint64)
+            for at, matrix in _matrices(batch.column("vector")):
+                unit = _unit(matrix)
+                for t, tool in enumerate(tools):
+                    codes[at, t] = tool.codes(unit)
+            bounds = pa.array(np.arange(batch.num_rows + 1) * len(tools), pa.int32())
+            flat = pa.array(codes.view(np.int64).reshape(-1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(codes.view(np.int64))], names=["class", "code"]
+                [batch.column("class"), pa.ListArray.from_arrays(bounds, flat)],
+                names=["class", "codes"],
             )
 
-    codes = classes.select("class", "vector").mapInArrow(encode, "class long, code long")
+    codes = classes.select("class", "vector").mapInArrow(encode, "class long, codes array<long>")
     codes = settle(codes, "codes")
+    codes = codes.select("class", F.posexplode("codes").alias("turn", "code"))
     cut = F.array(
         *[
             F.shiftrightunsigned("code", t * width).bitwiseAND(F.lit((1 << width) - 1))
             for t in range(TABLES)
         ]
     )
-    parts = codes.select("class", "code", F.posexplode(cut).alias("table", "part"))
+    parts = codes.select("class", "turn", "code", F.posexplode(cut).alias("table", "part"))
     flips = [0]
     for _ in range(radius):
         flips = sorted({f ^ (1 << i) for f in flips for i in range(width)} | set(flips))
     probes = parts.select(
-        F.col("class").alias("a"), F.col("code").alias("code_a"), "table",
+        F.col("class").alias("a"), F.col("code").alias("code_a"), "turn", "table",
         F.explode(F.transform(F.array(*map(F.lit, flips)), lambda f: f.bitwiseXOR(F.col("part"))))
         .alias("part"),
     )
-    tables = parts.select(F.col("class").alias("b"), F.col("code").alias("code_b"), "table", "part")
+    tables = parts.select(
+        F.col("class").alias("b"), F.col("code").alias("code_b"), "turn", "table", "part"
+    )
     found = (
-        probes.join(tables, ["table", "part"])
+        probes.join(tables, ["turn", "table", "part"])
         .where("a < b")
-        .where(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= MOST_BITS)
+        .where(F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))) <= most_bits)
         .select("a", "b")
         .distinct()
     )
@@ -209,13 +306,15 @@ def _near(classes: DataFrame, tool: Quantiser, threshold: float, radius: int) ->
 
     def rerank(batches):
         for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            cosine = np.zeros(len(x))
-            lengths = np.array([len(v) if len(v) == len(w) else 0 for v, w in zip(x, y)])
-            for n in np.unique(lengths[lengths > 0]):
-                at = np.flatnonzero(lengths == n)
-                left, right = _unit([x[i] for i in at]), _unit([y[i] for i in at])
-                cosine[at] = (left * right).sum(1)
+            x, y = batch.column("x"), batch.column("y")
+            same = x.value_lengths().to_numpy(zero_copy_only=False) == y.value_lengths().to_numpy(
+                zero_copy_only=False
+            )
+            batch = batch.filter(pa.array(same))
+            cosine = np.zeros(batch.num_rows)
+            left, right = _matrices(batch.column("x")), _matrices(batch.column("y"))
+            for (at, one), (_, other) in zip(left, right):
+                cosine[at] = (_unit(one) * _unit(other)).sum(1)
             yield batch.select(["a", "b"]).filter(pa.array(cosine >= threshold))
 
     return pairs.select("a", "b", "x", "y").mapInArrow(rerank, "a long, b long")
