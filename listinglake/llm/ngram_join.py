@@ -22,12 +22,13 @@ space is cut in two steps.
 
 Equal sets are one point of the space from the start.  Rarity comes from a counting table
 of fixed size over all texts; it decides only the order, never a result, so its
-collisions cost at most time.  Shingles are compared by 64-bit hashes, points by 128 bits.
+collisions cost at most time.  Shingles are compared by 64-bit hashes; sets are told apart by
+128 bits and joined by 64 of them.
 
 Results for odd input: null or empty texts, and texts without words, have no shingles and
 are linked with nothing (component = own id); texts below five words are one shingle; rows
-without id are returned with a null component; rows that repeat an id belong to that id;
-own columns replace those of the same name.
+without id are returned with a null component; rows that repeat an id with another text are
+documents of their own, which ``text_hash`` tells apart; other columns are not read.
 """
 
 from __future__ import annotations
@@ -55,6 +56,8 @@ COUNT_SLICES = 64
 # Regions expected to hold more rows than this are dealt to several tasks.
 REGION_ROWS = 1 << 16
 RANK_BITS = 26  # 67 million shingles a text
+# Rows of a region that are looked at together; larger ones go on as they are.
+HELD_ROWS = 1 << 18
 
 
 def _counter_of(values: np.ndarray) -> np.ndarray:
@@ -73,7 +76,7 @@ def _key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _profile(docs: DataFrame, k: int) -> DataFrame:
-    """A row per document (id, n, key, key2), and rows with each task's shingle counts."""
+    """A row per document (id, text_hash, n, key, key2), and rows with each task's counts."""
     width = (1 << COUNT_BITS) // COUNT_SLICES
 
     def profile(batches):
@@ -88,27 +91,28 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
+                        part.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([x for x, _ in keys], pa.int64()),
                         pa.array([x for _, x in keys], pa.int64()),
                         pa.nulls(len(sets), pa.int32()),
                         pa.nulls(len(sets), pa.binary()),
                     ],
-                    names=["id", "n", "key", "key2", "slice", "counts"],
+                    names=["id", "text_hash", "n", "key", "key2", "slice", "counts"],
                 )
         parts = counts.reshape(COUNT_SLICES, width)
         full = [i for i in range(COUNT_SLICES) if parts[i].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(full), pa.int64())] * 4
+            [pa.nulls(len(full), pa.int64())] * 5
             + [
                 pa.array(full, pa.int32()),
                 pa.array([zlib.compress(parts[i].tobytes(), 1) for i in full], pa.binary()),
             ],
-            names=["id", "n", "key", "key2", "slice", "counts"],
+            names=["id", "text_hash", "n", "key", "key2", "slice", "counts"],
         )
 
     return docs.mapInArrow(
-        profile, "id long, n long, key long, key2 long, slice int, counts binary"
+        profile, "id long, text_hash long, n long, key long, key2 long, slice int, counts binary"
     )
 
 
@@ -145,9 +149,12 @@ def _shingle_counts(profile: DataFrame) -> np.ndarray:
 def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
     """(pivot, key, n, rank): the regions each point lies in or is copied to.
 
-    Regions of a single point are dropped.
+    A row stays only if some other point of its region could be linked to it with the
+    pivot as first common shingle, by the sizes and the point's own place there.  Every
+    link has its two rows in the region of its first common pivot, so none is lost.
     """
     order = docs.sparkSession.sparkContext.broadcast(counts)
+    ones = (1 << RANK_BITS) - 1
 
     def place(batches):
         seen: set[int] = set()
@@ -180,42 +187,62 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                     )
 
     def shared(batches):
-        """Rows whose pivot has another point; the rows come sorted by pivot and key."""
+        """Rows that may meet a partner in their region; rows come sorted by pivot and key."""
         names = ["pivot", "at", "key"]
-        held = None  # the last row, and whether the row before it has the same pivot
-        before = False
-        for batch in batches:
-            cols = [batch.column(x).to_numpy(zero_copy_only=False) for x in names]
-            if held is not None:
-                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            pivot, _, key = cols
-            if not len(pivot):
-                continue
+        held = [np.zeros(0, dtype=np.int64)] * 3  # the last region, which may go on
+        open_pivot = None  # a region too large to be held; its rows all go through
+
+        def send(cols, every=False):
+            pivot, at, key = cols
             fresh = np.ones(len(pivot), dtype=bool)
             fresh[1:] = (pivot[1:] != pivot[:-1]) | (key[1:] != key[:-1])
-            cols = [c[fresh] for c in cols]
+            pivot, at, key = (c[fresh] for c in cols)
+            if not every:
+                group = np.cumsum(np.concatenate([[0], pivot[1:] != pivot[:-1]])) if len(pivot) else pivot
+                n, rank = (at >> RANK_BITS) & ones, at & ones
+                # A region dealt to several tasks may have its other points elsewhere.
+                keep = may_meet(group, n, rank, percent) | counts_hot(pivot)
+                # Partners that went away leave others without one.
+                left = may_meet(group[keep], n[keep], rank[keep], percent) | counts_hot(pivot[keep])
+                keep[keep] = left
+                pivot, at, key = pivot[keep], at[keep], key[keep]
+            for i in range(0, len(pivot), 1 << 16):
+                part = slice(i, i + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[part]) for c in (pivot, at, key)], names=names
+                )
+
+        for batch in batches:
+            cols = [
+                np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)])
+                for h, c in zip(held, names)
+            ]
             pivot = cols[0]
-            same = pivot[1:] == pivot[:-1]
-            near = np.zeros(len(pivot), dtype=bool)
-            near[0] = before
-            near[1:] |= same
-            before_last = bool(near[-1])
-            near[:-1] |= same
-            # A region dealt to several tasks may have its other points elsewhere.
-            near |= counts_hot(pivot)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c[:-1][near[:-1]]) for c in cols], names=names
-            )
-            held, before = [c[-1:] for c in cols], before_last
-        if held is not None and (before or counts_hot(held[0])[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
+            if not len(pivot):
+                continue
+            if open_pivot is not None:
+                till = int(np.searchsorted(pivot != open_pivot, True))
+                yield from send([c[:till] for c in cols], every=True)
+                cols = [c[till:] for c in cols]
+                pivot = cols[0]
+                if not len(pivot):
+                    held = cols
+                    continue
+                open_pivot = None
+            last = len(pivot) - int(np.searchsorted((pivot != pivot[-1])[::-1], True))
+            yield from send([c[:last] for c in cols])
+            held = [c[last:] for c in cols]
+            if len(held[0]) > HELD_ROWS:
+                open_pivot = held[0][0]
+                yield from send([c[:-1] for c in held], every=True)
+                held = [c[-1:] for c in held]
+        yield from send(held, every=open_pivot is not None)
 
     def counts_hot(pivot: np.ndarray) -> np.ndarray:
         return order.value[_counter_of(pivot.view(np.uint64))] >= REGION_ROWS
 
     # Slice, size and rank travel in one number: these rows are the most of the shuffle.
     schema = "pivot long, at long, key long"
-    ones = (1 << RANK_BITS) - 1
     return (
         docs.select("text")
         .mapInArrow(place, schema)
@@ -231,6 +258,24 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     )
 
 
+def may_meet(group: np.ndarray, n: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a row's region holds another one that sizes and its own rank allow a link with.
+
+    With the pivot as first common shingle, at most 1 + (n - rank - 1) are common, which
+    bounds the partner's size from above, as the sizes' ratio does from both sides.
+    """
+    if not len(n):
+        return np.zeros(0, dtype=bool)
+    wide = int(n.max()) + 2
+    least = -(-percent * n // 100)
+    most = np.minimum(100 * n // percent, (100 + percent) * (n - rank) // percent - n)
+    most = np.clip(most, least - 1, wide - 1)
+    sizes = np.sort(group * wide + n)
+    met = np.searchsorted(sizes, group * wide + most, side="right")
+    met -= np.searchsorted(sizes, group * wide + least, side="left")
+    return met - (most >= n) > 0
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(key, set) of the points in ``wanted`` (id, key), from the documents ``id``."""
     spark = docs.sparkSession
@@ -372,10 +417,16 @@ def jaccard_components(
     percent: int = PERCENT,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """(id, n_shingles, component_id): a row for every row of ``docs``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    """(id, text_hash, n_shingles, component_id): a row for every row of ``docs``.
+
+    ``text_hash`` is Spark's xxhash64 of the text.
+    """
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("text_hash"),
+    )
     profile = settle(_profile(rows, shingle), "profile")
-    members = profile.where("slice is null").select("id", "n", "key", "key2")
+    members = profile.where("slice is null").select("id", "text_hash", "n", "key", "key2")
     points = (
         members.where("id is not null and key is not null")
         .groupBy("key", "key2")
@@ -474,6 +525,7 @@ def jaccard_components(
     point = point.join(least, "home").select("key", "component_id")
     return members.join(point, "key", "left").select(
         "id",
+        "text_hash",
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
     )
@@ -490,4 +542,4 @@ def _homes(keys: DataFrame, links: DataFrame) -> DataFrame:
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_components(docs).withColumnRenamed("id", "doc_id")
+    return jaccard_components(docs).drop("text_hash").withColumnRenamed("id", "doc_id")

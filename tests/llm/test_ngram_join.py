@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from listinglake.llm import ngram_join
@@ -14,27 +15,38 @@ def plain(rows, k=5, percent=75):
             sets.append({tuple(found[p : p + k]) for p in range(len(found) - k + 1)})
         else:
             sets.append({tuple(found)} if found else set())
-    group = {i: i for i, _ in rows if i is not None}
+    # A document is an id with a text; rows that repeat both are one.
+    group = {(i, t): (i, t) for i, t in rows if i is not None}
 
-    def root(i):
-        while group[i] != i:
-            i = group[i]
-        return i
+    def root(node):
+        while group[node] != node:
+            node = group[node]
+        return node
 
-    for a, (i, _) in enumerate(rows):
-        for b, (j, _) in enumerate(rows[:a]):
+    for a, x in enumerate(rows):
+        for b, y in enumerate(rows[:a]):
             common = len(sets[a] & sets[b])
-            if i is None or j is None or not common:
+            if x[0] is None or y[0] is None or not common:
                 continue
             if 100 * common >= percent * len(sets[a] | sets[b]):
-                x, y = root(i), root(j)
-                group[max(x, y)] = min(x, y)
-    return [(i, len(s), None if i is None else root(i)) for (i, _), s in zip(rows, sets)]
+                x, y = root(x), root(y)
+                group[x] = y
+                x = rows[a]
+    least = {}
+    for node in group:
+        least[root(node)] = min(node[0], least.get(root(node), node[0]))
+    return [
+        (i, len(s), None if i is None else least[root((i, t))]) for (i, t), s in zip(rows, sets)
+    ]
+
+
+def components(docs, **options):
+    return ngram_join.jaccard_components(docs, **options).drop("text_hash")
 
 
 def test_components_as_in_plain_python(spark):
     rows = corpus()
-    got = ngram_join.jaccard_components(frame(spark, rows)).collect()
+    got = components(frame(spark, rows)).collect()
     assert as_set(got) == as_set(plain(rows))
 
 
@@ -52,12 +64,45 @@ def test_graded_copies_around_the_threshold(spark):
     want = as_set(plain(rows))
     assert 3 < len({c for _, _, c in want}) < 60
     for levels in (1, 2):
-        got = ngram_join.jaccard_components(frame(spark, rows), levels=levels).collect()
+        got = components(frame(spark, rows), levels=levels).collect()
         assert as_set(got) == want
 
 
 def test_no_links_and_empty_tables(spark):
     docs = frame(spark, [(5, "a b c d e f"), (6, "g h i j k l"), (7, None)])
-    got = ngram_join.jaccard_components(docs.withColumn("key", F.lit("x")))
+    got = components(docs.withColumn("key", F.lit("x")))
     assert as_set(got.collect()) == [(5, 2, 5), (6, 2, 6), (7, 0, 7)]
-    assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
+    assert components(docs.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_with_another_text(spark):
+    rng = random.Random(9)
+    a, b = prose(rng, 40, 10**6), prose(rng, 40, 10**6)
+    got = components(frame(spark, [(5, a), (12, a), (12, b), (20, b), (20, b)]))
+    assert as_set(got.collect()) == as_set([(5, 36, 5), (12, 36, 5), (12, 36, 12), (20, 36, 12), (20, 36, 12)])
+
+
+def test_rows_that_cannot_meet_go_and_links_stay():
+    rng = np.random.default_rng(1)
+    for percent in (75, 60):
+        for _ in range(200):
+            m = int(rng.integers(1, 40))
+            group = np.sort(rng.integers(0, 6, m))
+            n = rng.integers(1, 60, m)
+            rank = np.array([rng.integers(0, k * (100 - percent) // 100 + 1) for k in n])
+            keep = ngram_join.may_meet(group, n, rank, percent)
+            for i in range(m):
+                mates = [
+                    j for j in range(m) if j != i and group[i] == group[j]
+                    and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
+                    and (100 + percent) * (n[i] - rank[i]) >= percent * (n[i] + n[j])
+                ]
+                assert keep[i] == bool(mates)
+
+
+def test_large_regions_are_not_held(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HELD_ROWS", 5)
+    rng = random.Random(4)
+    start = prose(rng, 12, 10**6)
+    rows = [(i, f"{start} {prose(rng, rng.randrange(1, 6), 30)}") for i in range(60)]
+    assert as_set(components(frame(spark, rows)).collect()) == as_set(plain(rows))
