@@ -7,7 +7,10 @@ and is no piece is written as its UTF-8 bytes.
 
 A piece never holds the space mark behind another symbol (checked when a model is loaded),
 so no merge crosses the place before a space mark, and a text is encoded word by word.
-Every distinct word of a worker goes through the agenda once; in each Arrow batch the new
+Every distinct word of a worker goes through the agenda once: the new words of a batch side
+by side, a row each whose cheapest pair (the first of equals) is merged in every round until
+no row has one; longer words, and those with symbols that are no piece, one by one over a
+heap.  In each Arrow batch the new
 words are also encoded by the sentencepiece library, and a difference stops the job.  Words
 that the library cannot be given alone are checked in their texts: every text that holds
 one is encoded by the library as a whole, and its ids are compared.
@@ -25,6 +28,7 @@ import hashlib
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +37,10 @@ from listinglake.llm.common import Recent, more, table
 from listinglake.llm.wordhash import pieces
 
 SPACE = "▁"
-KNOWN_WORDS = 500_000  # words kept per worker and generation, see Recent
+KNOWN_WORDS = 250_000  # words kept per worker and generation, see Recent
+# Words of up to so many symbols are merged side by side, so many rows at once.
+LONGEST_ROW = 32
+ROWS = 1 << 14
 
 
 class Codec:
@@ -57,6 +64,78 @@ class Codec:
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.word = regex.compile(r"(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.known = Recent(KNOWN_WORDS)
+        # All pairs of pieces that make a piece: left * count + right, sorted.
+        pairs = sorted(
+            (self.ids[p[:i]] * count + self.ids[p[i:]], i_, self.cost[p])
+            for p, i_ in self.ids.items()
+            for i in range(1, len(p))
+            if p[:i] in self.ids and p[i:] in self.ids
+        )
+        self.pair = np.array([x[0] for x in pairs] + [2**62], dtype=np.int64)
+        self.made = np.array([x[1] for x in pairs] + [-1], dtype=np.int32)
+        self.price = np.array([x[2] for x in pairs] + [np.inf])
+        self.count = count
+        self.symbol = np.full(0x110000, -1, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbol[ord(piece)] = i
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost, piece) that symbols side by side make; no piece costs infinitely much."""
+        key = left.astype(np.int64) * self.count + right
+        at = np.searchsorted(self.pair, key)
+        hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.price[at], np.inf), self.made[at]
+
+    def rows(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words whose symbols are all pieces; every row has its own agenda."""
+        width = max(map(len, words))
+        codes = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        place = np.arange(width)
+        symbol = np.where(place < lengths[:, None], self.symbol[codes], -1)
+        after = np.where(place + 1 < lengths[:, None], place + 1, -1)
+        before = np.broadcast_to(place - 1, symbol.shape).copy()
+        cost = np.full(symbol.shape, np.inf)
+        made = np.full(symbol.shape, -1, dtype=np.int32)
+        cost[:, :-1], made[:, :-1] = self._pairs(symbol[:, :-1], symbol[:, 1:])
+        row = np.arange(len(words))
+        while len(row):
+            left = cost[row].argmin(1)
+            open_ = np.isfinite(cost[row, left])
+            row, left = row[open_], left[open_]
+            right = after[row, left]
+            symbol[row, left] = made[row, left]
+            symbol[row, right] = -1
+            cost[row, right] = cost[row, left] = np.inf
+            behind = after[row, left] = after[row, right]
+            has = behind >= 0
+            r, at, to = row[has], left[has], behind[has]
+            before[r, to] = at
+            cost[r, at], made[r, at] = self._pairs(symbol[r, at], symbol[r, to])
+            ahead = before[row, left]
+            has = ahead >= 0
+            r, at, to = row[has], ahead[has], left[has]
+            cost[r, at], made[r, at] = self._pairs(symbol[r, at], symbol[r, to])
+        kept = symbol >= 0
+        flat = symbol[kept].tolist()
+        ends = np.cumsum(kept.sum(1)).tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def ids_of(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of normalised words."""
+        get = self.ids.get
+        side, out = [], {}
+        for w in words:
+            if len(w) <= LONGEST_ROW and None not in map(get, w):
+                side.append(w)
+            else:
+                out[w] = self.agenda(w)
+        side.sort(key=len)  # rows of like length
+        for i in range(0, len(side), ROWS):
+            some = side[i : i + ROWS]
+            out.update(zip(some, self.rows(some)))
+        return out
 
     def agenda(self, text: str) -> tuple[int, ...]:
         """Ids of a normalised stretch of text."""
@@ -98,7 +177,7 @@ class Codec:
 
     def learn(self, words: list[str]) -> dict[str, tuple[tuple[int, ...], bool]]:
         """Ids of words, compared with the library in one call, and if they could be."""
-        made = {w: self.agenda(w) for w in words}
+        made = self.ids_of(words)
         # Only words that the library can be given alone: it puts a space mark in front.
         alone = [w for w in words if w[0] == SPACE]
         plain = [w[1:].replace(SPACE, " ") for w in alone]

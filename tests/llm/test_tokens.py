@@ -82,9 +82,18 @@ def test_agenda_gives_the_librarys_ids(limit):
         assert tool.encode(part) == tool.model.encode(part)
 
 
+def test_rows_merge_as_the_heap_does(monkeypatch):
+    tool = piece_codec.Codec(MODEL)
+    some = {w for t in tool.normal(texts(2000, 6)) for w in tool.word.findall(t)} | {"▁" * 40, "a" * 32, "a" * 33, "q"}
+    monkeypatch.setattr(piece_codec, "ROWS", 100)
+    found = tool.ids_of(list(some))
+    assert found == {w: tool.agenda(w) for w in some}
+    assert tool.ids_of([]) == {}
+
+
 def test_a_wrong_merge_stops_the_job():
     tool = piece_codec.Codec(MODEL)
-    tool.cost = {p: -c for p, c in tool.cost.items()}
+    tool.cost, tool.price = {p: -c for p, c in tool.cost.items()}, -tool.price
     with pytest.raises(ValueError, match="differ"):
         tool.encode(["the reality of undecided merges, abandoned strawberries"])
 
@@ -116,6 +125,6 @@ def test_words_the_library_cannot_take_alone_are_checked_in_their_texts(tmp_path
     tool = piece_codec.Codec(str(tmp_path / "tiny.model"))
     assert tool.encode(many) == tool.model.encode(many)
     tool = piece_codec.Codec(str(tmp_path / "tiny.model"))
-    tool.cost = {p: -c for p, c in tool.cost.items()}
+    tool.cost, tool.price = {p: -c for p, c in tool.cost.items()}, -tool.price
     with pytest.raises(ValueError, match="differ on a text"):
         tool.encode(["undecided"])
