@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import lower_ascii, table
+from listinglake.llm.common import lower_ascii, table, unused
 
 WINDOW = 10
 # 400,000 windows of about 100 bytes are 40 MB.
@@ -168,20 +168,25 @@ def remove_hits(
 
     A removed word takes the separators behind it along.
     """
+    id_col, print_col, at_col = unused(docs, "_id", "_print", "_at")
     hit = (
         find_hits(docs, benchmark, n, text_col=text_col)
         .where("size(hits) > 0")
-        .select(F.col("id").alias("_id"), F.col("print").alias("_print"), _hit_words().alias("_at"))
+        .select(
+            F.col("id").alias(id_col), F.col("print").alias(print_col), _hit_words().alias(at_col)
+        )
     )
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_print"))
+    on = F.col("doc_id").eqNullSafe(F.col(id_col)) & (F.xxhash64(text_col) == F.col(print_col))
     text = F.col(text_col)
     lead = F.regexp_extract(text, rf"\A[{RAW}]*", 0)
     parts = F.regexp_extract_all(text, F.lit(f"[^{RAW}]+[{RAW}]*"), F.lit(0))
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("_at", i))
+    # The places that stay come from a hash set, so long texts with many hits are linear.
+    places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(at_col))
+    kept = F.transform(places, lambda i: F.get(parts, i))
     cut = F.concat(lead, F.array_join(kept, ""))
     return docs.join(hit, on, "left").select(
         *[
-            F.when(F.col("_at").isNotNull(), cut).otherwise(text).alias(c) if c == text_col
+            F.when(F.col(at_col).isNotNull(), cut).otherwise(text).alias(c) if c == text_col
             else docs[c]
             for c in docs.columns
         ]

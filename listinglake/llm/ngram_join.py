@@ -56,6 +56,8 @@ COUNT_SLICES = 64
 # Regions expected to hold more rows than this are dealt to several tasks.
 REGION_ROWS = 1 << 16
 RANK_BITS = 26  # 67 million shingles a text
+# Regions of so many points keep them all: pairs of a group are found by its centre there.
+CENTRED = 8
 # Rows of a region that are looked at together; larger ones go on as they are.
 HELD_ROWS = 1 << 18
 
@@ -106,7 +108,7 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
             [pa.nulls(len(full), pa.int64())] * 5
             + [
                 pa.array(full, pa.int32()),
-                pa.array([zlib.compress(parts[i].tobytes(), 1) for i in full], pa.binary()),
+                pa.array([_packed(parts[i]) for i in full], pa.binary()),
             ],
             names=["id", "text_hash", "n", "key", "key2", "slice", "counts"],
         )
@@ -116,6 +118,16 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters byte by byte: the upper bytes of small ones are zeros side by side."""
+    return zlib.compress(counts.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    parts = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(parts.T).view(np.uint32).reshape(-1)
+
+
 def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sum of two counts; one that would run over stays at the greatest value."""
     total = a + b
@@ -129,7 +141,7 @@ def _shingle_counts(profile: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(counts), dtype=np.uint32)
+                part = _unpacked(counts)
                 total[i] = _add(total[i], part) if i in total else part
         yield pa.RecordBatch.from_arrays(
             [
@@ -200,11 +212,12 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
             if not every:
                 group = np.cumsum(np.concatenate([[0], pivot[1:] != pivot[:-1]])) if len(pivot) else pivot
                 n, rank = (at >> RANK_BITS) & ones, at & ones
-                # A region dealt to several tasks may have its other points elsewhere.
-                keep = may_meet(group, n, rank, percent) | counts_hot(pivot)
+                # A region dealt to several tasks may have its other points elsewhere, and
+                # one of many points is where the levels below find its centre.
+                whole = counts_hot(pivot) | (np.bincount(group)[group] >= CENTRED)
+                keep = may_meet(group, n, rank, percent) | whole
                 # Partners that went away leave others without one.
-                left = may_meet(group[keep], n[keep], rank[keep], percent) | counts_hot(pivot[keep])
-                keep[keep] = left
+                keep[keep] = may_meet(group[keep], n[keep], rank[keep], percent) | whole[keep]
                 pivot, at, key = pivot[keep], at[keep], key[keep]
             for i in range(0, len(pivot), 1 << 16):
                 part = slice(i, i + (1 << 16))
@@ -417,9 +430,10 @@ def jaccard_components(
     percent: int = PERCENT,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """(id, text_hash, n_shingles, component_id): a row for every row of ``docs``.
+    """(id, text_hash, n_shingles, component_id, group): a row for every row of ``docs``.
 
-    ``text_hash`` is Spark's xxhash64 of the text.
+    ``text_hash`` is Spark's xxhash64 of the text; ``group`` numbers the linked groups, and
+    is null for documents without shingles.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
@@ -522,12 +536,13 @@ def jaccard_components(
         "key", "id", F.coalesce("home", "key").alias("home")
     )
     least = point.groupBy("home").agg(F.min("id").alias("component_id"))
-    point = point.join(least, "home").select("key", "component_id")
+    point = point.join(least, "home").select("key", "component_id", F.col("home").alias("group"))
     return members.join(point, "key", "left").select(
         "id",
         "text_hash",
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.col("group")).alias("group"),
     )
 
 
@@ -542,4 +557,4 @@ def _homes(keys: DataFrame, links: DataFrame) -> DataFrame:
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_components(docs).drop("text_hash").withColumnRenamed("id", "doc_id")
+    return jaccard_components(docs).drop("text_hash", "group").withColumnRenamed("id", "doc_id")

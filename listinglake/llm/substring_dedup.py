@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import mark_table, marked, more, settle, table
+from listinglake.llm.common import mark_table, marked, more, settle, table, unused
 from listinglake.llm.wordhash import (
     pieces, span_hashes, window_hashes, word_hashes, words_of,
 )
@@ -186,6 +186,7 @@ def remove_repeats(
     )
     own = ["n_words", "n_removed", "kept_text"]
     base = docs.drop(*own)
+    start_col, windows_col = unused(base, "_start", "_windows")
     joined = base.join(
         spans,
         (base[id_col].cast("long") == spans["_id"])
@@ -193,16 +194,16 @@ def remove_repeats(
         "left",
     ).select(
         *[base[c] for c in base.columns],
-        F.col("spans.start").alias("_start"),
-        F.col("spans.windows").alias("_windows"),
+        spans["spans"].getField("start").alias(start_col),
+        spans["spans"].getField("windows").alias(windows_col),
     )
-    keep = [c for c in joined.columns if c not in ("_start", "_windows")]
+    keep = base.columns
 
     def cut(batches):
         for batch in batches:
             texts = batch.column(text_col).cast(pa.large_binary()).to_pylist()
-            starts = batch.column("_start").to_pylist()
-            counts = batch.column("_windows").to_pylist()
+            starts = batch.column(start_col).to_pylist()
+            counts = batch.column(windows_col).to_pylist()
             n_words, n_removed, kept = [], [], []
             for text, start, count in zip(texts, starts, counts):
                 words = (text or b"").split()  # the separators of bytes.split are ours

@@ -185,3 +185,19 @@ def test_licences_that_fill_no_line_or_paragraph(spark):
     for i, text in rows:
         best = max(best_window(text, theirs) for theirs in known)
         assert got[i]["dice"] == pytest.approx(best if best >= license_scan.THRESHOLD else 0)
+
+
+def test_hits_go_whatever_the_other_columns_are_called(spark):
+    rng = random.Random(12)
+    passage = prose(rng, 10, 10**6)
+    long = " ".join([passage] * 400)
+    rows = [(1, f"before {passage}; behind"), (2, "clean text"), (3, f"x {long} y"), (4, None)]
+    docs = frame(spark, rows)
+    for name in ("_at", "_id", "_print", "__at", "id", "hits", "words"):
+        docs = docs.withColumn(name, F.lit(name))
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = decontaminate.remove_hits(docs, items)
+    assert got.columns == docs.columns
+    found = {r["doc_id"]: r for r in got.collect()}
+    assert {i: r["text"] for i, r in found.items()} == {1: "before behind", 2: "clean text", 3: "x y", 4: None}
+    assert all(r[c] == c for r in found.values() for c in ("_at", "_id", "_print", "__at", "id", "hits", "words"))

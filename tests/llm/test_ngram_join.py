@@ -41,7 +41,7 @@ def plain(rows, k=5, percent=75):
 
 
 def components(docs, **options):
-    return ngram_join.jaccard_components(docs, **options).drop("text_hash")
+    return ngram_join.jaccard_components(docs, **options).drop("text_hash", "group")
 
 
 def test_components_as_in_plain_python(spark):

@@ -5,6 +5,7 @@ import random
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from listinglake.llm import registry
@@ -51,8 +52,8 @@ def test_stages_one_after_another(spark, sf_dir):
             gone = {i for i, _ in before} - {i for i, _ in after}
             assert gone <= bad and len(gone) >= 0.9 * len(bad)
         elif name == "near_duplicates":
-            first = {i for i, _, c in plain_components(before) if i == c}
-            want = {(i, t) for i, t in before if i is None or i in first}
+            found = zip(before, plain_components(before))
+            want = {(i, t) for (i, t), (_, _, c) in found if i is None or i == c}
             assert len(want) < len(before)
             assert as_set(after) == as_set(want | set())
         elif name == "substring_dedup":
@@ -86,3 +87,40 @@ def test_stages_one_after_another(spark, sf_dir):
 def test_the_registered_query_runs_all_stages(spark, sf_dir):
     got = registry.queries()["pipeline"](spark, sf_dir)
     assert {"doc_id", "ids", "n_tokens"} <= set(got.columns) and got.count() > 50
+
+
+OWN = [
+    "n_words", "n_removed", "kept_text", "score", "predicted", "evidence", "_at", "_id", "_print",
+    "_start", "_windows", "spans", "hits", "id", "key", "component_id", "text_hash", "group", "slice", "a", "b",
+]
+
+
+def test_columns_of_operators_own_names_come_through(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name in OWN:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}/"), F.col("doc_id").cast("string")))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == columns, name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    rows = docs.collect()
+    assert rows and all(r[c] == (None if r["doc_id"] is None else f"{c}/{r['doc_id']}") for r in rows for c in OWN)
+
+
+def test_texts_under_a_repeated_id_are_not_lost(spark, sf_dir):
+    rng = random.Random(1)
+    a, b, c, d = (prose(rng, 60, 10**6) for _ in range(4))
+    rows = [
+        (5, a, "en"), (12, a, "en"), (12, b, "en"), (20, b, "en"),  # b stays with the smallest id it has
+        (30, c, "en"), (30, d, "en"), (30, d, "de"),  # two texts of one id, one of them twice
+        (40, c[: len(c) - 8], "en"), (41, "", "en"), (41, None, "en"), (41, " ", "en"), (None, a, "x"), (None, a, "x"),
+    ]
+    docs = spark.createDataFrame([(i, t, lang, "s", None if t is None else len(t)) for i, t, lang in rows], DOCS)
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert as_set((r["doc_id"], r["text"], r["lang"]) for r in got) == as_set([
+        (5, a, "en"), (12, b, "en"), (30, c, "en"), (30, d, "de"), (41, "", "en"), (41, None, "en"), (41, " ", "en"),
+        (None, a, "x"), (None, a, "x"),
+    ])
+    both = [(7, c, "en", "s", 1), (7, c[: len(c) - 8], "en", "s", 1)]  # two texts of one id that are near copies
+    assert corpus_pipeline.near_duplicates(spark, spark.createDataFrame(both, DOCS), sf_dir).count() == 1

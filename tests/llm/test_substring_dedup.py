@@ -39,3 +39,13 @@ def test_own_columns_replace_others_and_empty_tables_pass(spark):
     assert got.columns[-3:] == ["n_words", "n_removed", "kept_text"] and "m" in got.columns
     assert got.count() == 4
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = corpus()
+    docs = frame(spark, rows)
+    for name in ("_start", "_windows", "spans", "start", "print", "_id", "__start"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = substring_dedup.remove_repeats(docs).collect()
+    assert as_set((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == as_set(plain(rows, 50))
+    assert all(r[c] == c for r in got for c in ("_start", "_windows", "spans", "start", "print", "_id", "__start"))
