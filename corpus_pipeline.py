@@ -11,14 +11,15 @@ Stages, each over all that the one before kept:
 
 All but the last return the columns of documents.  A text that loses words has ``n_chars``
 brought up to date; one that does not stays byte for byte.  Rows without doc_id are never
-duplicates of others and stay; rows that repeat a doc_id stay or go together, exact
-repeats become one row.
+duplicates of others and stay; rows that repeat a doc_id with another text are documents of
+their own, and rows that repeat both become one: the first by their other columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from listinglake.llm.common import settle, table
 from listinglake.llm.decontaminate import remove_hits
@@ -28,43 +29,59 @@ from listinglake.llm.substring_dedup import remove_repeats
 from listinglake.llm.toxicity import score_documents
 
 
-def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with ``n_chars`` of the present text, as the given columns."""
-    if "n_chars" in columns:
-        docs = docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return docs.select(*columns)
+# The columns that no operator looks at travel as one, so that none can clash with an
+# operator's own.
+ROW, ROW_HASH, ROW_RANK = "__row", "__text_hash", "__rank"
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    rest = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("_")).alias(ROW))
+
+
+def _together(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """``rows`` of ``_apart`` with the columns of ``like``; ``n_chars`` of the present text."""
+
+    def column(field):
+        if field.name in ("doc_id", "text"):
+            return F.col(field.name)
+        if field.name == "n_chars":
+            return F.length("text").cast(field.dataType).alias("n_chars")
+        return F.col(f"{ROW}.`{field.name}`")
+
+    return rows.select(*[column(f) for f in like.schema.fields])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = score_documents(docs, table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = score_documents(_apart(docs), table(spark, sf_dir, "labels"))
+    return _together(scored.where("predicted = 0"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs)
+    found = jaccard_components(docs.select("doc_id", "text"))
+    # One document of each group: its smallest id, and of several texts under that id one.
     kept = (
-        found.where("id is not null")
-        .groupBy(F.col("id").alias("_id"))
-        .agg(F.min("component_id").alias("_component"))
-        .where("_id = _component")
+        found.where("id = component_id")
+        .groupBy(F.col("id").alias("doc_id"), F.coalesce("group", "text_hash").alias("group"))
+        .agg(F.min("text_hash").alias(ROW_HASH))
+        .select("doc_id", ROW_HASH)
+        .distinct()
     )
-    rows = docs.where("doc_id is not null")
-    rows = rows.join(kept.select(F.col("_id").alias("doc_id")), "doc_id", "left_semi")
+    rows = _apart(docs).withColumn(ROW_HASH, F.xxhash64("text"))
+    named = rows.where("doc_id is not null").join(kept, ["doc_id", ROW_HASH], "left_semi")
     # A document that stands there twice is a copy of itself.
-    rows = rows.dropDuplicates(["doc_id", "text"])
-    return rows.select(*docs.columns).union(docs.where("doc_id is null"))
+    first = W.partitionBy("doc_id", ROW_HASH).orderBy(F.to_json(ROW))
+    named = named.withColumn(ROW_RANK, F.row_number().over(first)).where(F.col(ROW_RANK) == 1)
+    return _together(named.drop(ROW_RANK).unionByName(rows.where("doc_id is null")), docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return _with_text(
-        remove_repeats(docs).withColumn("text", text).drop("n_words", "n_removed", "kept_text"),
-        docs.columns,
-    )
+    return _together(remove_repeats(_apart(docs)).withColumn("text", text), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_text(remove_hits(docs, table(spark, sf_dir, "benchmark")), docs.columns)
+    return _together(remove_hits(_apart(docs), table(spark, sf_dir, "benchmark")), docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
