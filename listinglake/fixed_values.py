@@ -140,8 +140,8 @@ HEALTH_SPEC = [
 HEALTH_EMPTY = "search returned 0 results — could be drift OR genuinely empty"
 HEALTH_SEARCH_MISSING = "search result missing required fields: "
 HEALTH_DETAILS_MISSING = "details missing required fields: "
-HEALTH_OK = ("search + details OK (", " results, all required fields populated)")
-HEALTH_COUNT = ("search returned ", " results")
+HEALTH_OK = "search + details OK (%s results, all required fields populated)"
+HEALTH_COUNT = "search returned %s results"
 
 # ---- fixed values: budget and report rules --------------------------------
 BUDGET_MIN_BEDROOMS = 7

@@ -35,10 +35,6 @@ def group(c: Column, pattern: str, idx: int = 1) -> Column:
     return present(F.regexp_extract(c, pattern, idx))
 
 
-def matches(c: Column, pattern: str) -> Column:
-    return c.rlike(pattern)
-
-
 def strip_html(c: Column, entities: bool = True) -> Column:
     """Each tag -> one space, hard spaces -> spaces, trimmed; null -> ''."""
     out = F.replace(
