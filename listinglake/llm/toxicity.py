@@ -48,6 +48,7 @@ BLOCK = 64
 FLOOR = 0.03
 # Distance added to that of a point when it votes: 1 / (NEAR + distance).
 NEAR = 0.02
+KNOWN_WORDS = 100_000  # words kept per worker and generation, see Recent
 REST = ""  # the term of all words without a term of their own
 
 WORD = re.compile(r"\w+")
@@ -64,7 +65,7 @@ class Reader:
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
         self.rest = vocabulary[REST]
-        self.known = Recent(300_000)
+        self.known = Recent(KNOWN_WORDS)
 
     def _look(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         get = self.vocabulary.get
