@@ -57,7 +57,7 @@ COUNT_SLICES = 64
 REGION_ROWS = 1 << 16
 RANK_BITS = 26  # 67 million shingles a text
 # Regions of so many points keep them all: pairs of a group are found by its centre there.
-CENTRED = 8
+CENTRED = 12
 # Rows of a region that are looked at together; larger ones go on as they are.
 HELD_ROWS = 1 << 18
 
@@ -158,7 +158,9 @@ def _shingle_counts(profile: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
+def _regions(
+    docs: DataFrame, points: DataFrame, counts: np.ndarray, k: int, percent: int
+) -> DataFrame:
     """(pivot, key, n, rank): the regions each point lies in or is copied to.
 
     A row stays only if some other point of its region could be linked to it with the
@@ -166,12 +168,16 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     link has its two rows in the region of its first common pivot, so none is lost.
     """
     order = docs.sparkSession.sparkContext.broadcast(counts)
+    # A point is placed by the document that stands for it; most copies are passed over.
+    named = docs.sparkSession.sparkContext.broadcast(mark_table(points, "id"))
     ones = (1 << RANK_BITS) - 1
 
     def place(batches):
         seen: set[int] = set()
         counts = order.value
         for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            batch = batch.filter(pa.array(marked(named.value, ids)))
             for part in pieces(batch, "text"):
                 out = [[], [], []]
                 for shingles in shingle_sets(part.column("text"), k):
@@ -257,7 +263,8 @@ def _regions(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     # Slice, size and rank travel in one number: these rows are the most of the shuffle.
     schema = "pivot long, at long, key long"
     return (
-        docs.select("text")
+        docs.where("id is not null")
+        .select("id", "text")
         .mapInArrow(place, schema)
         .repartition("pivot", F.shiftright("at", 2 * RANK_BITS))
         .sortWithinPartitions("pivot", "key")
@@ -447,7 +454,7 @@ def jaccard_components(
         .agg(F.min("id").alias("id"))
     )
     points = settle(points.select("id", "key"), "points")
-    regions = settle(_regions(rows, _shingle_counts(profile), shingle, percent), "regions")
+    regions = settle(_regions(rows, points, _shingle_counts(profile), shingle, percent), "regions")
     placed = regions.select("key").distinct()
 
     links = tried = None
