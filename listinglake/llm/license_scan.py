@@ -268,13 +268,24 @@ def windows(docs: DataFrame, templates: DataFrame, threshold: float) -> DataFram
     )
     # The pairs of the given templates: as bounded as the parameter is.
     some = sorted({b for r in templates.select("theirs").collect() for b in r["theirs"]})
-    hits = let(
-        F.transform(
-            pairs(words(F.col("text"))),
-            lambda b, p: F.struct(p.alias("place"), b.alias("pair")),
-        ),
-        lambda every: F.filter(every, lambda h: h["pair"].isin(some)),
-    )
+    firsts = sorted({b.split(" ")[0] for b in some})
+    seconds = sorted({b.split(" ")[1] for b in some})
+
+    def known_pairs(w: Column) -> Column:
+        """Places and pairs; a pair is only written out where both its words are known."""
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(w) - 2),
+            lambda p: F.get(w, p).isin(firsts) & F.get(w, p + 1).isin(seconds),
+        )
+        made = F.transform(
+            F.when(F.size(w) > 1, places),
+            lambda p: F.struct(
+                p.alias("place"), F.concat(F.get(w, p), F.lit(" "), F.get(w, p + 1)).alias("pair")
+            ),
+        )
+        return F.filter(made, lambda h: h["pair"].isin(some))
+
+    hits = let(words(F.col("text")), known_pairs)
     # A document meets a template only if it holds as many of its pairs as a match needs.
     held = docs.select("id", "print", "text", hits.alias("hits")).where(F.size("hits") > 0)
     held = held.withColumn("ours", F.array_distinct("hits.pair"))
