@@ -180,10 +180,14 @@ def remove_hits(
     text = F.col(text_col)
     lead = F.regexp_extract(text, rf"\A[{RAW}]*", 0)
     parts = F.regexp_extract_all(text, F.lit(f"[^{RAW}]+[{RAW}]*"), F.lit(0))
-    # The places that stay come from a hash set, so long texts with many hits are linear.
-    places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(at_col))
-    kept = F.transform(places, lambda i: F.get(parts, i))
-    cut = F.concat(lead, F.array_join(kept, ""))
+
+    def kept(all_parts: Column) -> Column:
+        # The places that stay come from a hash set, so long texts with many hits are linear.
+        places = F.array_except(F.sequence(F.lit(0), F.size(all_parts) - 1), F.col(at_col))
+        return F.transform(places, lambda i: F.get(all_parts, i))
+
+    # Bound by an outer lambda, the parts are cut once a text and not once a word.
+    cut = F.concat(lead, F.array_join(F.flatten(F.transform(F.array(parts), kept)), ""))
     return docs.join(hit, on, "left").select(
         *[
             F.when(F.col(at_col).isNotNull(), cut).otherwise(text).alias(c) if c == text_col
