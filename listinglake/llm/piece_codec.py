@@ -216,9 +216,17 @@ def codec(path: str) -> Codec:
 
 
 def encode_decode(
-    docs: DataFrame, path: str, text_col: str = "text", with_ids: bool = True
+    docs: DataFrame,
+    path: str,
+    text_col: str = "text",
+    with_ids: bool = True,
+    keep_words: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids`` (if asked for), ``ids_sha256`` and ``decoded_text``."""
+    """``docs`` with ``n_tokens``, ``ids`` (if asked for), ``ids_sha256`` and ``decoded_text``.
+
+    Without ``keep_words`` a worker forgets its words behind each task, which leaves its
+    memory to the job that uses it next.
+    """
     own = ["n_tokens", "ids_sha256", "decoded_text"] + ["ids"] * with_ids
     base = docs.drop(*own)
     keep = base.columns
@@ -241,6 +249,8 @@ def encode_decode(
                     [part.column(c) for c in keep] + columns,
                     names=[*keep, *own],
                 )
+        if not keep_words:
+            tool.known = Recent(KNOWN_WORDS)
 
     return base.mapInArrow(run, schema)
 
