@@ -87,7 +87,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    coded = encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = encode_decode(docs, path, keep_words=False)
     return coded.select("doc_id", "text", "lang", "source", "n_tokens", "ids", "ids_sha256")
 
 
