@@ -37,7 +37,7 @@ from listinglake.llm.common import Recent, more, table
 from listinglake.llm.wordhash import pieces
 
 SPACE = "▁"
-KNOWN_WORDS = 250_000  # words kept per worker and generation, see Recent
+KNOWN_WORDS = 600_000  # words kept per worker and generation, see Recent
 # Words of up to so many symbols are merged side by side, so many rows at once.
 LONGEST_ROW = 32
 ROWS = 1 << 14
