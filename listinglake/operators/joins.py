@@ -33,9 +33,11 @@ def join_unique(
 
     The unique side is the result of a grouping on the key, and run-time skew
     handling does not reach through that.  So it is written first: then both sides are
-    exchanged for the join, and a hot key's rows are split, equal ones too.
+    exchanged for the join, and a hot key's rows are split, equal ones too.  Files tell
+    little of the size in memory, so the side is never taken for small enough to go through
+    the driver.
     """
-    return rows.join(settled(unique, "unique"), key, how)
+    return rows.join(settled(unique, "unique").hint("merge"), key, how)
 
 
 def left_or_empty(base: DataFrame, sides: dict[str, DataFrame], key: str) -> DataFrame:

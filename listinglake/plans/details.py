@@ -11,6 +11,7 @@ from listinglake.functions.text import strip
 from listinglake.operators.dedupe import dedupe_first
 from listinglake.operators.joins import join_unique, resolve_identifier, resolve_identifiers
 from listinglake.schemas import ORDER_COLUMNS
+from listinglake.session import settled
 
 CANONICAL_ID = {
     fv.STAYS: ids.stays_id,
@@ -89,19 +90,14 @@ def find_all_details(
     3. an id, as the details have it;
     4. an id or code, as the search rows have it (``index``), or the details' own URLs.
 
-    Each way is a column of keys on one union of (key, rank, detail row), so requests and
+    Each way is a column of keys on one union of (key, rank), so requests and the names of
     details are exchanged once for all of them.  ``found_by`` names the way.
     """
     if source not in BASE:
         raise ValueError(f"no pages are looked up for {source}")
-    own = "_detail"
-    # One detail row per page and id: repeats would multiply requests.
-    rows = dedupe_first(details, ["listing_id", "url"], _order(details))
-    rows = rows.select(
-        F.struct(*rows.columns).alias(own),
-        F.col("listing_id").cast("string").alias("_id"),
-        same_page(F.col("url")).alias("_url"),
-    )
+    # One detail row per page and id: repeats would multiply requests.  They are written, as
+    # they are read for their names, for codes, and for the rows that are meant in the end.
+    rows = settled(dedupe_first(details, ["listing_id", "url"], _order(details)), "details")
     text = strip(F.col(identifier).cast("string"))
     asked = requests.withColumns(
         {"_asked": text, "_page": same_page(_page(source, text))}
@@ -123,24 +119,30 @@ def find_all_details(
         inside = inside.filter("_inside != ''").groupBy("_page").agg(F.min("_inside").alias("_inside"))
         ways.append(way(1, "page", F.concat(F.lit("i"), "_inside"), named.join(inside, "_page")))
     if source == fv.SUNREALTY:
-        known = details if index is None else index
+        known = rows if index is None else index
         hits = resolve_identifiers(
             named.filter("_page is null").select("_asked"), known, "_asked", _order(known)
         )
         ways.append(
             way(3, "index", F.concat(F.lit("u"), same_page(F.col("url"))), hits)
         )
-    keys = rows.select(
-        own, "_id", "_url", F.explode(F.array(F.concat(F.lit("u"), "_url"), F.concat(F.lit("i"), "_id"))).alias("_key")
+    # Names lead to a home's id and page; its row is fetched once, behind all choices.
+    home, own = F.struct("listing_id", "url").alias("_home"), "_detail"
+    named_rows = rows.select(
+        home, F.col("listing_id").cast("string").alias("_id"), same_page(F.col("url")).alias("_url")
+    )
+    keys = named_rows.select(
+        "*", F.explode(F.array(F.concat(F.lit("u"), "_url"), F.concat(F.lit("i"), "_id"))).alias("_key")
     ).filter("_key is not null")
-    keys = dedupe_first(keys, ["_key"], ["_id", "_url"]).select("_key", own)
+    keys = dedupe_first(keys, ["_key"], ["_id", "_url"]).select("_key", "_home")
     wanted = ways[0]
     for more in ways[1:]:
         wanted = wanted.unionByName(more)
     hits = wanted.filter("_key is not null").join(keys, "_key")
-    best = hits.groupBy("_asked").agg(F.min_by(F.struct("found_by", own), "_rank").alias("_hit"))
-    best = best.select("_asked", "_hit.found_by", f"_hit.{own}")
-    found = join_unique(asked, best, "_asked")
+    best = hits.groupBy("_asked").agg(F.min_by(F.struct("found_by", "_home"), "_rank").alias("_hit"))
+    best = best.select("_asked", "_hit.found_by", "_hit._home")
+    homes = rows.select(home, F.struct(*rows.columns).alias(own)).hint("merge")
+    found = join_unique(asked, best, "_asked").join(homes, "_home")
     taken = set(requests.columns) | {"found_by"}
     return found.select(
         *requests.columns, "found_by",

@@ -4,6 +4,8 @@ import json
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from listinglake import fixed_values as fv
 from listinglake import schemas
 from listinglake.operators.dedupe import dedupe_later_pages
@@ -103,3 +105,25 @@ def plain_any(rows):
     """``plain`` for rows whose key may be null; null is a key like any other."""
     filled = [(p, i, -1 if k is None else k, t) for p, i, k, t in rows]
     return [(p, i, None if k == -1 else k, t) for p, i, k, t in plain(filled)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_details_are_chosen_by_name_and_fetched_once(spark):
+    from listinglake.operators.joins import join_unique
+    from listinglake.plans.details import find_all_details
+
+    rows = [("1", "https://h/a", "x"), (None, "https://h/b/", "y"), ("3", None, "z")]
+    details = spark.createDataFrame(rows, "listing_id string, url string, name string")
+    asked = spark.createDataFrame([("https://h/a/",), ("https://h/b",), ("3",), ("9",)], "identifier string")
+    found = find_all_details(asked, details, fv.SUNREALTY)
+    assert "_detail" not in "".join(
+        line for line in _plan(found).splitlines() if "min_by" in line
+    )
+    got = sorted((r["identifier"], r["found_by"], r["name"]) for r in found.collect())
+    assert got == [("3", "id", "z"), ("https://h/a/", "url", "x"), ("https://h/b", "url", "y")]
+    few = spark.createDataFrame([("3", 1)], "listing_id string, v int")
+    joined = join_unique(details, few, "listing_id")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().sparkPlan().toString()
