@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from listinglake import fixed_values as fv
 from listinglake import schemas
 from listinglake.functions import dates, numbers
 from listinglake.functions.nulls import present
 from listinglake.operators.union import union_all
+from listinglake.session import settled
 from listinglake.sources.sinks import deal_to_folders
 
 
@@ -158,14 +160,37 @@ def child_table(details: dict[str, DataFrame], table: str) -> DataFrame:
 
 
 def child_tables(details: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All child tables that the given sources have."""
+    """All child tables that the given sources have.
+
+    For several tables, the details are parsed once: their lists are written in one pass, and
+    each table reads its own column.
+    """
+    tables = [t for t, shapes in SHAPES.items() if any(source in details for source in shapes)]
+    if len(tables) < 2 or any(rows.isStreaming for rows in details.values()):
+        return {table: child_table(details, table) for table in tables}
+    lists = settled(union_all([_lists(rows, source, tables) for source, rows in details.items()]), "lists")
     return {
-        table: child_table(details, table)
-        for table, shapes in SHAPES.items()
-        if any(source in details for source in shapes)
+        table: lists.select("source", "listing_id", F.posexplode(table).alias("pos", "_entry"))
+        .select("source", "listing_id", "pos", "_entry.*")
+        for table in tables
     }
 
 
+def _lists(details: DataFrame, source: str, tables: list[str]) -> DataFrame:
+    """A source's lists, a column per table; null where the source has none."""
+
+    def column(table: str) -> Column:
+        shape = SHAPES[table].get(source)
+        kind = ArrayType(StructType(schemas.child_fields(table)))
+        return (shape() if shape else F.lit(None)).cast(kind).alias(table)
+
+    return details.select(
+        F.lit(source).alias("source"),
+        F.col("listing_id").cast("string").alias("listing_id"),
+        *[column(table) for table in tables],
+    )
+
+
 def write_children(tables: dict[str, DataFrame], path: str, mode: str = "append") -> None:
     """A folder per table, in it one per source."""
     for name, rows in tables.items():

@@ -127,3 +127,19 @@ def test_details_are_chosen_by_name_and_fetched_once(spark):
     few = spark.createDataFrame([("3", 1)], "listing_id string, v int")
     joined = join_unique(details, few, "listing_id")
     assert "SortMergeJoin" in joined._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_child_tables_read_written_lists(landed):
+    from listinglake.plans.children import child_tables
+    from listinglake.plans.normalize import detail_tables
+
+    info = '{"propertyID": "5", "name": "n", "exteriorImage": "https://e/5"}'
+    more = '{"sectionModel": {"featuredAmenities": [{"displayLabel": "Pool"}]}}'
+    given = landed(
+        (fv.TWIDDY, "info", info, {"entity_id": "5"}), (fv.TWIDDY, "amenities", more, {"entity_id": "5"})
+    )
+    tables = child_tables({fv.TWIDDY: detail_tables(given, fv.TWIDDY).rows})
+    assert all("from_json" not in _plan(t) and "parquet" in _plan(t) for t in tables.values())
+    assert [tuple(r) for r in tables["images"].collect()] == [(fv.TWIDDY, "5", 0, "https://e/5")]
+    assert [tuple(r) for r in tables["amenities"].collect()] == [(fv.TWIDDY, "5", 0, "Pool", True)]
+    assert tables["weekly_rates"].collect() == []
