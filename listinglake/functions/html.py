@@ -14,6 +14,7 @@ import sys
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from listinglake.functions.text import strip
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TEXT = "#text"
+# Characters of pages whose nodes are Python objects at one time, in bytes.
+SLICE_BYTES = 1 << 20
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -135,9 +138,20 @@ def html_nodes(body: Column, attrs: list[str], keep_blanks: bool = False) -> Col
 
     @F.arrow_udf(f"ARRAY<STRUCT<{ddl}>>")
     def flatten(pages: pa.Array) -> pa.Array:
+        # Python holds the nodes of a few pages at a time, Arrow the others.
+        parts, start, size = [], 0, 0
+        for at, length in enumerate(pc.binary_length(pages).to_pylist()):
+            size += length or 0
+            if size >= SLICE_BYTES:
+                parts.append(flatten_slice(pages[start : at + 1]))
+                start, size = at + 1, 0
+        return pa.concat_arrays([*parts, flatten_slice(pages[start:])])
+
+    def flatten_slice(pages: pa.Array) -> pa.Array:
         rows = _NodeTable(names, keep_blanks)
         offsets: list[int | None] = []
-        for page in pages.to_pylist():
+        for page in pages:
+            page = page.as_py()
             offsets.append(len(rows.tag) if page is not None else None)
             if page is not None:
                 rows.add_page(page)

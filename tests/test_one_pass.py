@@ -143,3 +143,26 @@ def test_child_tables_read_written_lists(landed):
     assert [tuple(r) for r in tables["images"].collect()] == [(fv.TWIDDY, "5", 0, "https://e/5")]
     assert [tuple(r) for r in tables["amenities"].collect()] == [(fv.TWIDDY, "5", 0, "Pool", True)]
     assert tables["weekly_rates"].collect() == []
+
+
+def test_nodes_of_few_pages_are_python_objects_at_a_time(spark, monkeypatch):
+    from listinglake.functions import html
+
+    class Counting(html._NodeTable):
+        size = 0
+
+        def add_page(self, page):
+            self.size += len(page)
+            assert self.size <= 300, "too many pages at once"
+            super().add_page(page)
+
+    monkeypatch.setattr(html, "SLICE_BYTES", 200)
+    monkeypatch.setattr(html, "_NodeTable", Counting)
+    texts = [None if n % 7 == 0 else f"<p>{n}<b>{'x' * (n % 50)}</b></p>" for n in range(100)]
+    given = spark.createDataFrame(list(enumerate(texts)), "n int, body string").coalesce(1)
+    nodes = given.select("n", html.html_nodes(F.col("body"), ["class"]).alias("nodes"))
+    for n, found in nodes.collect():
+        assert (found is None) == (n % 7 == 0)
+        if found is not None:
+            assert [x["tag"] for x in found][:3] == ["p", "#text", "b"]
+            assert found[0]["end"] == len(found) and found[1]["text"] == str(n)
