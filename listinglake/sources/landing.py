@@ -192,16 +192,40 @@ def payload_table(
 def newest_fetch(payloads: DataFrame) -> DataFrame:
     """One row per request: its newest usable response, else its newest one.
 
-    A request is an entity or a set of parameters, with its dates and page.  The rank-1
-    filter cuts every request to one row per task before the shuffle.  A stream has
-    no end to compare fetches over; there every response is passed on.
+    A request is an entity or a set of parameters, with its dates and page.  Requests are
+    counted first, on their own columns: parsed records are shuffled and sorted only where a
+    request landed several times.  If that is so for very many, all rows are ranked.  A
+    stream has no end to compare fetches over; there every response is passed on.
     """
     if payloads.isStreaming or CHOSEN in payloads.schema["fetch"].dataType.names:
         return payloads
+    # Equal hashes of different requests do no harm: the rank tells them apart.
+    request = F.xxhash64(*_request()).alias("_again")
+    again = payloads.select(request).groupBy("_again").agg(F.count(F.lit(1)).alias("_n"))
+    again = settled(again.filter("_n > 1").select("_again"), "refetched")
+    many = again.count()
+    if not many:
+        return payloads
+    if many > SENT_REQUESTS:
+        return _ranked_fetches(payloads)
+    again = F.broadcast(again)
+    keyed = payloads.withColumn("_again", request)
+    once = keyed.join(again, "_again", "left_anti").drop("_again")
+    return once.unionByName(_ranked_fetches(keyed.join(again, "_again", "left_semi").drop("_again")))
+
+
+# Repeated requests up to which their hashes are sent to the tasks; a few MB.
+SENT_REQUESTS = 500_000
+
+
+def _request() -> list[Column]:
     asked = F.to_json(F.array_sort(F.map_entries("params")))
-    newest = W.partitionBy(
-        "source", "kind", "entity_id", asked, "check_in", "nights", "page"
-    ).orderBy(
+    return [*map(F.col, ("source", "kind", "entity_id")), asked, *map(F.col, ("check_in", "nights", "page"))]
+
+
+def _ranked_fetches(payloads: DataFrame) -> DataFrame:
+    """The rank-1 filter cuts every request to one row per task before the shuffle."""
+    newest = W.partitionBy(*_request()).orderBy(
         F.col("fetch.usable").desc(),
         F.col("fetch.fetched_at").desc_nulls_last(),
         F.col("fetch.body_hash"),

@@ -166,3 +166,32 @@ def test_nodes_of_few_pages_are_python_objects_at_a_time(spark, monkeypatch):
         if found is not None:
             assert [x["tag"] for x in found][:3] == ["p", "#text", "b"]
             assert found[0]["end"] == len(found) and found[1]["text"] == str(n)
+
+
+def test_records_are_ranked_only_where_requests_repeat(landed):
+    from listinglake.plans.normalize import search_tables
+
+    def page(n, price):
+        home = f'{{"propertyId": {n}, "propertyName": "{price}"}}'
+        return (fv.TWIDDY, "search", f'{{"results": [{home}]}}')
+
+    once = [(*page(n, "a"), {"params": {"town": "duck"}, "page": n}) for n in (1, 2, 3)]
+    rows = search_tables(landed(*once), fv.TWIDDY).rows
+    assert "row_number" not in _plan(rows)
+    assert sorted(r["listing_id"] for r in rows.collect()) == [1, 2, 3]
+
+    again = (*page(2, "b"), {"params": {"town": "duck"}, "page": 2, "http_status": 503})
+    rows = search_tables(landed(*once, again), fv.TWIDDY).rows
+    assert "row_number" in _plan(rows) and "LeftAnti" in _plan(rows)
+    assert sorted((r["listing_id"], r["name"]) for r in rows.collect()) == [(1, "a"), (2, "a"), (3, "a")]
+
+
+def test_many_repeated_requests_are_ranked_at_once(landed, monkeypatch):
+    from listinglake.plans.normalize import search_tables
+    from listinglake.sources import landing
+
+    monkeypatch.setattr(landing, "SENT_REQUESTS", 0)
+    row = (fv.TWIDDY, "search", '{"results": [{"propertyId": 7}]}', {"page": 1})
+    rows = search_tables(landed(row, row), fv.TWIDDY).rows
+    assert "LeftAnti" not in _plan(rows)
+    assert [r["listing_id"] for r in rows.collect()] == [7]
