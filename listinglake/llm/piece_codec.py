@@ -9,8 +9,7 @@ A piece never holds the space mark behind another symbol (checked when a model i
 so no merge crosses the place before a space mark, and a text is encoded word by word.
 Every distinct word of a worker goes through the agenda once: the new words of a batch side
 by side, a row each whose cheapest pair (the first of equals) is merged in every round until
-no row has one; longer words, and those with symbols that are no piece, one by one over a
-heap.  In each Arrow batch the new
+no row has one (symbols that are no piece never merge); longer words one by one over a heap.  In each Arrow batch the new
 words are also encoded by the sentencepiece library, and a difference stops the job.  Words
 that the library cannot be given alone are checked in their texts: every text that holds
 one is encoded by the library as a whole, and its ids are compared.
@@ -27,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,11 @@ SPACE = "▁"
 KNOWN_WORDS = 600_000  # words kept per worker and generation, see Recent
 # Words of up to so many symbols are merged side by side, so many rows at once.
 LONGEST_ROW = 32
-ROWS = 1 << 14
+ROWS = 1 << 11  # whose arrays stay in the cache
+
+
+class Unchecked(tuple):
+    """Ids of a word that the library cannot be given alone."""
 
 
 class Codec:
@@ -73,7 +77,7 @@ class Codec:
         )
         self.pair = np.array([x[0] for x in pairs] + [2**62], dtype=np.int64)
         self.made = np.array([x[1] for x in pairs] + [-1], dtype=np.int32)
-        self.price = np.array([x[2] for x in pairs] + [np.inf])
+        self.price = np.array([x[2] for x in pairs] + [np.inf], dtype=np.float32)  # as in the model
         self.count = count
         self.symbol = np.full(0x110000, -1, dtype=np.int32)
         for piece, i in self.ids.items():
@@ -85,18 +89,20 @@ class Codec:
         key = left.astype(np.int64) * self.count + right
         at = np.searchsorted(self.pair, key)
         hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.price[at], np.inf), self.made[at]
+        return np.where(hit, self.price[at], np.float32(np.inf)), self.made[at]
 
     def rows(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words whose symbols are all pieces; every row has its own agenda."""
+        """Ids of words; every row has its own agenda."""
         width = max(map(len, words))
         codes = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        place = np.arange(width)
-        symbol = np.where(place < lengths[:, None], self.symbol[codes], -1)
+        place = np.arange(width, dtype=np.int32)
+        held = place < lengths[:, None]
+        symbol = np.where(held, self.symbol[codes], -1)
+        foreign = held & (symbol < 0)
         after = np.where(place + 1 < lengths[:, None], place + 1, -1)
         before = np.broadcast_to(place - 1, symbol.shape).copy()
-        cost = np.full(symbol.shape, np.inf)
+        cost = np.full(symbol.shape, np.inf, dtype=np.float32)
         made = np.full(symbol.shape, -1, dtype=np.int32)
         cost[:, :-1], made[:, :-1] = self._pairs(symbol[:, :-1], symbol[:, 1:])
         row = np.arange(len(words))
@@ -120,18 +126,29 @@ class Codec:
         kept = symbol >= 0
         flat = symbol[kept].tolist()
         ends = np.cumsum(kept.sum(1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        out = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        for k in foreign.any(1).nonzero()[0].tolist():
+            ids: list[int] = []
+            for i, char, none in zip(symbol[k].tolist(), words[k], foreign[k].tolist()):
+                if none:
+                    self._spell(char, ids)
+                elif i >= 0:
+                    ids.append(i)
+            out[k] = tuple(ids)
+        return out
+
+    def _spell(self, symbol: str, out: list[int]) -> None:
+        """Adds what stands for a symbol that is no piece."""
+        if self.bytes:
+            out.extend([self.bytes[b] for b in symbol.encode()])
+        elif not (out and out[-1] == self.unknown):
+            out.append(self.unknown)  # neighbours without a piece are one unknown
 
     def ids_of(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of normalised words."""
-        get = self.ids.get
-        side, out = [], {}
-        for w in words:
-            if len(w) <= LONGEST_ROW and None not in map(get, w):
-                side.append(w)
-            else:
-                out[w] = self.agenda(w)
-        side.sort(key=len)  # rows of like length
+        # An array of texts does not tell trailing zeros from none.
+        out = {w: self.agenda(w) for w in words if len(w) > LONGEST_ROW or "\0" in w}
+        side = sorted([w for w in words if w not in out], key=len)  # rows of like length
         for i in range(0, len(side), ROWS):
             some = side[i : i + ROWS]
             out.update(zip(some, self.rows(some)))
@@ -169,31 +186,31 @@ class Codec:
         for symbol in filter(None, symbols):
             if symbol in self.ids:
                 out.append(self.ids[symbol])
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in symbol.encode())
-            elif not (out and out[-1] == self.unknown):
-                out.append(self.unknown)  # neighbours without a piece are one unknown
+            else:
+                self._spell(symbol, out)
         return tuple(out)
 
-    def learn(self, words: list[str]) -> dict[str, tuple[tuple[int, ...], bool]]:
-        """Ids of words, compared with the library in one call, and if they could be."""
+    def learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of words, compared with the library in one call where they can be."""
         made = self.ids_of(words)
         # Only words that the library can be given alone: it puts a space mark in front.
-        alone = [w for w in words if w[0] == SPACE]
-        plain = [w[1:].replace(SPACE, " ") for w in alone]
-        alone = [(w, p) for w, p, q in zip(alone, plain, self.normal(plain)) if w == q]
-        for (w, _), ids in zip(alone, self.model.encode([p for _, p in alone], num_threads=1)):
-            if made[w] != tuple(ids):
-                raise ValueError(f"agenda and library differ on {w!r}: {made[w]}, {ids}")
-        checked = {w for w, _ in alone}
-        return {w: (ids, w in checked) for w, ids in made.items()}
+        marked = [w for w in words if w[0] == SPACE]
+        plain = [w[1:].replace(SPACE, " ") for w in marked]
+        alone = {w: p for w, p, q in zip(marked, plain, self.normal(plain)) if w == q}
+        found = self.model.encode(list(alone.values()), num_threads=1)
+        if [made[w] for w in alone] != list(map(tuple, found)):
+            w, ids = next((w, ids) for w, ids in zip(alone, found) if made[w] != tuple(ids))
+            raise ValueError(f"agenda and library differ on {w!r}: {made[w]}, {ids}")
+        if len(alone) < len(made):
+            made |= {w: Unchecked(ids) for w, ids in made.items() if w not in alone}
+        return made
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
         split = [self.word.findall(t) for t in self.normal(texts)]
-        known = self.known.hold({w for words in split for w in words}, self.learn)
-        out = [[i for w in words for i in known[w][0]] for words in split]
-        unchecked = {w for w, (_, checked) in known.items() if not checked}
+        known = self.known.hold(set().union(*split), self.learn)
+        out = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        unchecked = {w for w, ids in known.items() if type(ids) is Unchecked}
         if unchecked:
             at = [k for k, words in enumerate(split) if not unchecked.isdisjoint(words)]
             whole = self.model.encode([texts[k] for k in at], num_threads=1)

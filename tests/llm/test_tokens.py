@@ -128,3 +128,18 @@ def test_words_the_library_cannot_take_alone_are_checked_in_their_texts(tmp_path
     tool.cost, tool.price = {p: -c for p, c in tool.cost.items()}, -tool.price
     with pytest.raises(ValueError, match="differ on a text"):
         tool.encode(["undecided"])
+
+
+def test_words_with_symbols_that_are_no_piece_are_merged_side_by_side(monkeypatch):
+    tool = piece_codec.Codec(MODEL)
+    words = [f"▁{a}{b}" for a in ("love", "ↀ", "aↀb", "日ↀↀ") for b in ("", "th", "ↀing", "1ↀ")]
+    assert any(c not in tool.ids for w in words for c in w)
+    want = {w: tool.agenda(w) for w in words}
+
+    def alone(word):
+        raise AssertionError(f"{word!r} went alone")
+
+    monkeypatch.setattr(tool, "agenda", alone)
+    assert tool.ids_of(words) == want
+    texts_ = [" ".join(w[1:] for w in words), "ↀ"]
+    assert tool.encode(texts_) == tool.model.encode(texts_)
