@@ -14,6 +14,7 @@ from listinglake.operators.paging import cap_in_page_order
 from listinglake.operators.topk import cap
 from listinglake.plans import landed as plans
 from listinglake.plans.normalize import search_tables
+from listinglake.sources import landing as sources_landing
 from listinglake.sources.landing import newest_landed
 from listinglake.sources.landing_store import (
     area_key, asked, read_landing, stretch_of, stretches, write_landing,
@@ -274,6 +275,26 @@ def test_old_fetches_go_before_bodies_are_read(spark, store):
     assert [(r["page"], r["drift"]) for r in tables.quarantine.collect()] == [(3, "HTTP status 500")]
 
 
+def test_many_old_fetches_shuffle_no_body(spark, store, monkeypatch):
+    rows = [(p, d, 200, card(p * 10 + d)) for p in range(1, 400) for d in (1, 2, 3)]
+    landing = asked(store(*fetches(*rows)), fv.SURFORSOUND)
+    monkeypatch.setattr(sources_landing, "BLOCK_ROWS", 128)  # several blocks a file
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as with more old fetches than the planner sends by itself
+    try:
+        for sent in (0, 1_000_000):
+            monkeypatch.setattr(sources_landing, "SENT_REQUESTS", sent)
+            left = newest_landed(landing, "search")
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan
+            assert plan.count("Exchange") == plan.count("BroadcastExchange")
+            got = sorted((r["page"], r["body"]) for r in left.collect())
+            assert got == [(p, card(p * 10 + 3)) for p in range(1, 400)]
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_nothing_is_shuffled_when_all_landed_once(spark, store):
     landing = store(*fetches(*[(p, 1, 200, card(p)) for p in range(1, 9)]))
     folder = asked(landing, fv.SURFORSOUND)
