@@ -1,5 +1,6 @@
 """Jobs that read their input once: the health report, and repeats on later pages."""
 
+import datetime as dt
 import json
 import random
 import re
@@ -80,6 +81,51 @@ def test_each_folder_is_read_once_for_health(spark, tmp_path):
     assert scans(whole, "body") == 1 + 3
 
 
+def test_health_parses_the_details_it_may_need_only(spark, tmp_path):
+    def info(n, **other):
+        return json.dumps({"propertyID": n, "name": f"Home {n}", **other})
+
+    def asset(n):
+        return row(fv.CREXI, "details", json.dumps({"name": f"A{n}"}), entity=str(n))
+
+    old = (fv.CAROLINADESIGNS, "details", "5", None, None, None, 1, 200, dt.datetime(2026, 1, 1), stay(5))
+    # The newest fetch counts, though it has lost the id.
+    new = (*old[:8], dt.datetime(2026, 1, 2), "{}")
+    escaped = '{"Propid": "\\u0035", "Propname": "Five", "NumBedrooms": "4"}'
+    rows = [
+        row(fv.TWIDDY, "search", twiddy_search((7, "Seven", "3 beds"))),
+        *[row(fv.TWIDDY, "info", info(n), entity=str(n)) for n in (6, 8, 77)],
+        row(fv.TWIDDY, "info", info(7), entity="https://h/seven"),  # the id is inside only
+        row(fv.TWIDDY, "amenities", '{"bedrooms": 3}', entity="https://h/seven"),
+        row(fv.CREXI, "search", '{"data": [{"id": "3", "name": "x", "locations": [{"city": "a", "state": "TX"}]}]}'),
+        *[asset(n) for n in (1, 2, 3, 33)],
+        row(fv.CAROLINADESIGNS, "search", json.dumps({"Results": [{"Propid": "5", "Propname": "Five", "Bedrooms": 3, "Baths": "2/1"}]})),
+        *[row(fv.CAROLINADESIGNS, "details", stay(n), entity=str(n)) for n in (1, 2, 3)],
+    ]
+
+    def judged(name, *more):
+        path = str(tmp_path / name)
+        write_landing(spark.createDataFrame([*rows, *more], schemas.RESPONSES), path)
+        landing = read_landing(spark, path)
+        return landing, report(health.health_of_landing(landing))
+
+    landing, got = judged("a", old, new)
+    assert got[fv.TWIDDY][0] == got[fv.CREXI][0] == "PASS"
+    assert got[fv.CAROLINADESIGNS][1] == "details failed: missing Propid"
+    _, got = judged("b", row(fv.CAROLINADESIGNS, "details", escaped, entity="/five"))
+    assert got[fv.CAROLINADESIGNS][0] == "PASS"
+
+    def left(source, wanted):
+        one = spark.createDataFrame([(wanted,)], "id string")
+        found = health._details_of(landing, source, one)
+        return sorted(r["entity_id"] for r in found.collect())
+
+    assert left(fv.CREXI, "3") == ["3"] and left(fv.CREXI, None) == []
+    assert left(fv.TWIDDY, "8") == ["8", "https://h/seven", "https://h/seven"]
+    assert left(fv.CAROLINADESIGNS, "2") == ["2"]
+    assert left(fv.CAROLINADESIGNS, "x") == ["1", "2", "3", "5"]  # not digits: all are parsed
+
+
 def plain(rows):
     seen, out = set(), []
     for page, pos, key, at in sorted(rows):
