@@ -12,7 +12,7 @@ from listinglake.functions.nulls import (
 )
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 SEARCH = """Title STRING, Results ARRAY<STRUCT<
@@ -33,7 +33,7 @@ DETAIL_PAGE = fv.CAROLINADESIGNS_BASE + "/property-detail-page"
 
 def search_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.CAROLINADESIGNS, "search").select(
-        *REQUEST_COLUMNS, F.from_json("body", SEARCH).alias("data")
+        *REQUEST_COLUMNS, F.from_json(usable_body(), SEARCH).alias("data")
     )
     return payload_table(
         df,
@@ -73,7 +73,7 @@ def listings(payloads: DataFrame, keep: list[str] = ORDER_COLUMNS) -> DataFrame:
 
 def detail_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.CAROLINADESIGNS, "details").select(
-        *REQUEST_COLUMNS, F.from_json("body", DETAILS).alias("data")
+        *REQUEST_COLUMNS, F.from_json(usable_body(), DETAILS).alias("data")
     )
     return payload_table(
         df,

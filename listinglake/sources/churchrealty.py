@@ -14,7 +14,7 @@ from listinglake.functions.html import (
 from listinglake.functions.nulls import present
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 # Paragraph labels that are known but carry no field.
@@ -81,7 +81,7 @@ def search_payloads(responses: DataFrame) -> DataFrame:
         pick(responses, fv.CHURCHREALTY, "search")
         .select(
             *REQUEST_COLUMNS,
-            html_nodes(F.col("body"), ["class", "href", "src"]).alias("nodes"),
+            html_nodes(usable_body(), ["class", "href", "src"]).alias("nodes"),
         )
         .withColumn(
             "cards",
@@ -109,7 +109,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
         pick(responses, fv.CHURCHREALTY, "details")
         .select(
             *REQUEST_COLUMNS,
-            html_nodes(F.col("body"), ["class", "src"]).alias("nodes"),
+            html_nodes(usable_body(), ["class", "src"]).alias("nodes"),
         )
         .withColumn("wrap", _box(F.col("nodes"), "property_wrap"))
         .withColumn("content", _box(inside(F.col("nodes"), F.col("wrap")), "property_item_content"))

@@ -11,8 +11,8 @@ from listinglake.functions.nulls import text_or_empty
 from listinglake.operators.joins import left_or_empty
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table, pick,
-    status_drift, status_to_rows,
+    REQUEST_COLUMNS, explode_items, fetch_order, latest, payload_table,
+    pick, status_drift, status_to_rows, usable_body,
 )
 
 # ``state`` is an object with a code, or plain text; read it as text.
@@ -46,7 +46,7 @@ def first_location(locations: Column) -> Column:
 
 def search_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.CREXI, "search").select(
-        *REQUEST_COLUMNS, F.from_json("body", SEARCH).alias("data")
+        *REQUEST_COLUMNS, F.from_json(usable_body(), SEARCH).alias("data")
     )
     items = F.col("data.data")
     return payload_table(

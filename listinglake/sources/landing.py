@@ -196,6 +196,11 @@ def ok_status() -> Column:
     return F.coalesce(F.col("http_status").between(200, 299), F.lit(True))
 
 
+def usable_body() -> Column:
+    """The body of a usable response; that of a failed one is not parsed, its status is its drift."""
+    return F.when(ok_status(), F.col("body"))
+
+
 def status_drift(*reasons: tuple[Column, str]) -> Column:
     """First failing rule as text, null when the response is usable."""
     out = F.when(
@@ -269,8 +274,11 @@ def _request() -> list[Column]:
 
 
 def _ranked_fetches(payloads: DataFrame) -> DataFrame:
-    """The rank-1 filter cuts every request to one row per task before the shuffle."""
-    newest = W.partitionBy(*_request()).orderBy(
+    """The rank-1 filter cuts every request to one row per task before the shuffle.
+
+    The hash comes first: sorts compare one number, and the request where it is equal.
+    """
+    newest = W.partitionBy(F.xxhash64(*_request()), *_request()).orderBy(
         F.col("fetch.usable").desc(),
         F.col("fetch.fetched_at").desc_nulls_last(),
         F.col("fetch.body_hash"),

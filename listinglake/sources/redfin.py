@@ -13,7 +13,7 @@ from listinglake.functions.embedded import (
 from listinglake.functions.nulls import first_present, present, text_or_empty
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 VALUE_TEXT = "STRUCT<value: STRING>"
@@ -40,7 +40,7 @@ AGENTS = """STRUCT<mainHouseInfo: STRUCT<listingAgents: ARRAY<STRUCT<
 
 
 def _with_cache(df: DataFrame, *extra: Column) -> DataFrame:
-    state = json_after_marker(F.col("body"), fv.REDFIN_STATE_MARKER)
+    state = json_after_marker(usable_body(), fv.REDFIN_STATE_MARKER)
     return df.select(
         *REQUEST_COLUMNS,
         *extra,
@@ -100,7 +100,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
     df = (
         _with_cache(
             pick(responses, fv.REDFIN, "details"),
-            ld_json_description(F.col("body")).alias("description"),
+            ld_json_description(usable_body()).alias("description"),
         )
         .withColumn("home", cache_payload(F.col("cache"), fv.REDFIN_HOME_KEY, HOME))
         .withColumn("agents", cache_payload(F.col("cache"), fv.REDFIN_AGENT_KEY, AGENTS))

@@ -11,7 +11,7 @@ from listinglake.functions.embedded import script_json
 from listinglake.functions.nulls import first_or, present, text_or_empty, truthy
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 STATE = "$.niobeClientData[0][1].data"
@@ -56,7 +56,7 @@ def search_payloads(responses: DataFrame) -> DataFrame:
         pick(responses, fv.STAYS, "search")
         .select(
             *REQUEST_COLUMNS,
-            script_json(F.col("body"), fv.STAYS_STATE_SCRIPT).alias("state"),
+            script_json(usable_body(), fv.STAYS_STATE_SCRIPT).alias("state"),
         )
         .withColumn(
             "results",
@@ -119,7 +119,7 @@ def detail_payloads(responses: DataFrame) -> DataFrame:
         pick(responses, fv.STAYS, "details")
         .select(
             *REQUEST_COLUMNS,
-            script_json(F.col("body"), fv.STAYS_STATE_SCRIPT).alias("state"),
+            script_json(usable_body(), fv.STAYS_STATE_SCRIPT).alias("state"),
         )
         .withColumn("data", F.from_json(F.get_json_object("state", STATE), DETAIL_STATE))
     )

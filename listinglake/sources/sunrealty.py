@@ -17,7 +17,7 @@ from listinglake.functions.nulls import (
 )
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 SEARCH = """response STRUCT<docs: ARRAY<STRUCT<
@@ -36,7 +36,7 @@ WINDOWS = "ARRAY<STRUCT<avail: ARRAY<STRUCT<b: STRING, e: STRING, a: STRING>>>>"
 
 def search_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.SUNREALTY, "search").select(
-        *REQUEST_COLUMNS, F.from_json("body", SEARCH).alias("data")
+        *REQUEST_COLUMNS, F.from_json(usable_body(), SEARCH).alias("data")
     )
     return payload_table(
         df,
@@ -160,9 +160,9 @@ def windows(body: Column) -> Column:
 def detail_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.SUNREALTY, "details").select(
         *REQUEST_COLUMNS,
-        html_nodes(F.col("body"), ["class", "src", "data-src"]).alias("nodes"),
-        windows(F.col("body")).alias("windows"),
-        ids.sunrealty_page_id(F.col("body")).alias("listing_id"),
+        html_nodes(usable_body(), ["class", "src", "data-src"]).alias("nodes"),
+        windows(usable_body()).alias("windows"),
+        ids.sunrealty_page_id(usable_body()).alias("listing_id"),
     )
     titled = F.exists(
         "nodes", lambda n: is_tag(n, "div") & class_contains(n, "field-name-title")

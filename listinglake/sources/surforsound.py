@@ -15,7 +15,7 @@ from listinglake.functions.html import (
 from listinglake.functions.nulls import first_present, truthy
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, payload_table, pick, status_drift, usable_body,
 )
 
 CARD_ID = r"/property/(\d+)"
@@ -190,10 +190,10 @@ def week_rows(body: Column) -> Column:
 def detail_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.SURFORSOUND, "details").select(
         *REQUEST_COLUMNS,
-        html_nodes(F.col("body"), ["class", "id", "data-lazy"], keep_blanks=True).alias(
+        html_nodes(usable_body(), ["class", "id", "data-lazy"], keep_blanks=True).alias(
             "nodes"
         ),
-        week_rows(F.col("body")).alias("weeks"),
+        week_rows(usable_body()).alias("weeks"),
     )
     headed = F.exists("nodes", lambda n: is_tag(n, "h1"))
     return payload_table(

@@ -11,7 +11,8 @@ from listinglake.functions.nulls import equals_ci, first_or, present, text_or_em
 from listinglake.operators.joins import combine_left
 from listinglake.schemas import CARRIED, ORDER_COLUMNS, to_record
 from listinglake.sources.landing import (
-    REQUEST_COLUMNS, explode_items, known, fetch_order, latest, payload_table, pick, status_drift,
+    REQUEST_COLUMNS, explode_items, known, fetch_order, latest,
+    payload_table, pick, status_drift, usable_body,
 )
 
 SEARCH = """results ARRAY<STRUCT<
@@ -32,7 +33,7 @@ CALENDAR = """availabilityYears ARRAY<STRUCT<months: ARRAY<STRUCT<weeks: ARRAY<S
 
 def search_payloads(responses: DataFrame) -> DataFrame:
     df = pick(responses, fv.TWIDDY, "search").select(
-        *REQUEST_COLUMNS, F.from_json("body", SEARCH).alias("data")
+        *REQUEST_COLUMNS, F.from_json(usable_body(), SEARCH).alias("data")
     )
     return payload_table(
         df,

@@ -462,11 +462,16 @@ crexi AS (
 def refetched(landed, body):
     """Every response landed twice more: an older one with ``body``, and a newer failure."""
     at = F.lit("2024-05-01").cast("timestamp")
-    older = landed.withColumns({"fetched_at": at, "body": F.lit(body)})
-    newer = landed.withColumn("fetched_at", at + F.expr("interval 2 days"))
-    failed = newer.withColumn("http_status", F.lit(503))
-    good = landed.withColumn("fetched_at", at + F.expr("interval 1 day"))
-    return older.unionByName(good).unionByName(failed)
+    # A body is built once, and then landed by its fetches.
+    fetches = landed.withColumn("_day", F.explode(F.array(*map(F.lit, range(3)))))
+    day = F.col("_day")
+    return fetches.withColumns(
+        {
+            "fetched_at": at + F.make_dt_interval(day),
+            "http_status": F.when(day == 2, 503).otherwise(F.col("http_status")),
+            "body": F.when(day == 0, body).otherwise(F.col("body")),
+        }
+    ).drop("_day")
 
 
 @query("normalize_crexi_refetched", f"WITH {HOMES}, {_CREXI} SELECT * FROM crexi")

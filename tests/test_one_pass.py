@@ -241,3 +241,14 @@ def test_many_repeated_requests_are_ranked_at_once(landed, monkeypatch):
     rows = search_tables(landed(row, row), fv.TWIDDY).rows
     assert "LeftAnti" not in _plan(rows)
     assert [r["listing_id"] for r in rows.collect()] == [7]
+
+
+def test_bodies_of_failed_fetches_are_not_parsed(landed):
+    from listinglake.plans.normalize import search_tables
+
+    row = (fv.TWIDDY, "search", '{"results": [{"propertyId": 7}]}', {"page": 1})
+    failed = (*row[:3], {"page": 2, "http_status": 503})
+    tables = search_tables(landed(row, failed), fv.TWIDDY)
+    assert re.search(r"from_json\([^\n]*CASE WHEN coalesce\(\(\(http_status", _plan(tables.rows))
+    assert [r["listing_id"] for r in tables.rows.collect()] == [7]
+    assert [r["drift"] for r in tables.quarantine.collect()] == ["HTTP status 503"]
