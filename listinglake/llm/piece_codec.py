@@ -65,8 +65,8 @@ class Codec:
                 self.ids[piece], self.cost[piece] = i, -model.get_score(i)
         self.unknown = model.unk_id()
         self.decimal = [str(i) for i in range(count)]
-        crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.word = regex.compile(r"(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        self.word = regex.compile(r"(?s).+" if self.crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.known = Recent(KNOWN_WORDS)
         # All pairs of pieces that make a piece: left * count + right, sorted.
         pairs = sorted(
@@ -190,6 +190,13 @@ class Codec:
                 self._spell(symbol, out)
         return tuple(out)
 
+    def words(self, text: str) -> list[str]:
+        """The stretches of a normalised text that no merge leaves."""
+        plain = text[:1] == SPACE != text[-1:] and SPACE * 2 not in text
+        if plain and not self.crossing:  # single marks, each in front of a word
+            return [SPACE + w for w in text[1:].split(SPACE)]
+        return self.word.findall(text)
+
     def learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of words, compared with the library in one call where they can be."""
         made = self.ids_of(words)
@@ -207,7 +214,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        split = [self.word.findall(t) for t in self.normal(texts)]
+        split = [self.words(t) for t in self.normal(texts)]
         known = self.known.hold(set().union(*split), self.learn)
         out = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
         unchecked = {w for w, ids in known.items() if type(ids) is Unchecked}

@@ -143,3 +143,9 @@ def test_words_with_symbols_that_are_no_piece_are_merged_side_by_side(monkeypatc
     assert tool.ids_of(words) == want
     texts_ = [" ".join(w[1:] for w in words), "ↀ"]
     assert tool.encode(texts_) == tool.model.encode(texts_)
+
+
+def test_words_of_plain_and_other_texts():
+    tool = piece_codec.Codec(MODEL)
+    for text in ["", "▁", "▁a", "▁a▁b", "▁a▁", "▁a▁▁b", "a▁b", "▁▁a", "a\n▁b\x00", "▁a▁b▁▁"]:
+        assert tool.words(text) == tool.word.findall(text)
