@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -116,15 +116,25 @@ class Recent:
 
     def hold(self, keys: set, make: Callable[[list], dict]) -> dict:
         """The values of all ``keys``; ``make`` computes those that are not known."""
+        distinct = list(keys)
+        return dict(zip(distinct, self.values(distinct, make)))
+
+    def values(self, keys: list, make: Callable[[list], dict]) -> list:
+        """The values of distinct ``keys``, in their order."""
         young, old = self.young, self.old
-        out = {k: young[k] for k in keys if k in young}
-        rest = [k for k in keys if k not in out]
+        rest = [k for k in keys if k not in young]
         again = {k: old[k] for k in rest if k in old}
         again |= make([k for k in rest if k not in again])
         if len(young) + len(again) > self.limit:
-            self.old, self.young = young, {}
-        self.young |= again
-        return out | again
+            self.old, self.young = young, again
+            return [again[k] if k in again else young[k] for k in keys]
+        young |= again
+        return [young[k] for k in keys]
+
+    def forget(self, keys: Iterable) -> None:
+        """``keys`` that were computed by the last call count as not known."""
+        for k in keys:
+            self.young.pop(k, None)
 
 
 # ---- fixed-size bit tables ------------------------------------------------------

@@ -5,16 +5,19 @@ then by place.  The best pair is merged, the pairs it makes with its neighbours
 agenda, and entries whose symbols have changed meanwhile are skipped.  What is left over
 and is no piece is written as its UTF-8 bytes.
 
-A piece never holds the space mark behind another symbol (checked when a model is loaded),
-so no merge crosses the place before a space mark, and a text is encoded word by word.
-Every distinct word of a worker goes through the agenda once: the new words of a batch side
+No merge crosses a place between two symbols that stand side by side in no piece, so a text
+is cut at such places and encoded stretch by stretch.  (A table of hashed pairs tells them;
+two pairs on one place of it only make a stretch longer.)  As a rule no piece holds the space
+mark behind another symbol, and every word, which is from one space mark to the next, begins
+a stretch; where pieces do cross words, the whole text counts as a word.
+Every distinct stretch of a worker goes through the agenda once: the new ones of a slice side
 by side, a row each whose cheapest pair (the first of equals) is merged in every round until
-no row has one (symbols that are no piece never merge); longer words one by one over a heap.  In each Arrow batch the new
-words are also encoded by the sentencepiece library, and a difference stops the job.  Words
-that the library cannot be given alone are checked in their texts: every text that holds
-one is encoded by the library as a whole, and its ids are compared.
-Models whose pieces do cross words are encoded as one stretch each.  Normalising a text and
-decoding ids are the library's.
+no row has one (symbols that are no piece never merge); longer ones one by one over a heap.
+In each slice the sentencepiece library also encodes a word around every new stretch, and a
+difference stops the job.  Where it cannot be given that word, every text of the slice
+that holds the stretch is encoded by the library as a whole, its ids are compared, and the
+stretch counts as new again in the next slice.
+Normalising a text and decoding ids are the library's.
 
 Results for odd input: a null text is encoded like an empty one (no ids, empty decoded
 text); rows that repeat are encoded each; rows without id are kept; own columns replace
@@ -24,12 +27,14 @@ those of the same name.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,14 +42,33 @@ from listinglake.llm.common import Recent, more, table
 from listinglake.llm.wordhash import pieces
 
 SPACE = "▁"
-KNOWN_WORDS = 600_000  # words kept per worker and generation, see Recent
-# Words of up to so many symbols are merged side by side, so many rows at once.
+KNOWN_WORDS = 600_000  # stretches kept per worker and generation, see Recent
+PAIR_BITS = 18  # of the table of pairs that stand in pieces, a byte each
+# Stretches of up to so many symbols are merged side by side, so many rows at once.
 LONGEST_ROW = 32
 ROWS = 1 << 11  # whose arrays stay in the cache
+TOGETHER = 16  # words that the library is given at once
 
 
-class Unchecked(tuple):
-    """Ids of a word that the library cannot be given alone."""
+class Stretches(NamedTuple):
+    """Where normalised texts, one behind the other, are cut."""
+
+    whole: str
+    start: np.ndarray  # first symbol of each stretch, and the number of symbols at the end
+    names: pa.Array  # distinct stretches
+    name: np.ndarray  # which of them each stretch is
+    word: np.ndarray  # first stretch of each word, and the number of stretches at the end
+    text: np.ndarray  # the same of each text
+
+
+def _pair_place(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The place in the table of pairs of symbols (uint32) side by side."""
+    mixed = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)
+    return mixed >> np.uint32(32 - PAIR_BITS)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
 
 
 class Codec:
@@ -64,7 +88,7 @@ class Codec:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[piece], self.cost[piece] = i, -model.get_score(i)
         self.unknown = model.unk_id()
-        self.decimal = [str(i) for i in range(count)]
+        self.decimal = pa.array([str(i) for i in range(count)], pa.large_string())
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.word = regex.compile(r"(?s).+" if self.crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.known = Recent(KNOWN_WORDS)
@@ -83,6 +107,10 @@ class Codec:
         for piece, i in self.ids.items():
             if len(piece) == 1:
                 self.symbol[ord(piece)] = i
+        beside = "".join({p[i : i + 2] for p in self.ids for i in range(len(p) - 1)})
+        beside = np.frombuffer(beside.encode("utf-32-le"), dtype=np.uint32)
+        self.inside = np.zeros(1 << PAIR_BITS, dtype=bool)
+        self.inside[_pair_place(beside[::2], beside[1::2])] = True
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cost, piece) that symbols side by side make; no piece costs infinitely much."""
@@ -91,8 +119,8 @@ class Codec:
         hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.price[at], np.float32(np.inf)), self.made[at]
 
-    def rows(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words; every row has its own agenda."""
+    def rows(self, words: list[str]) -> list[bytes]:
+        """Ids of stretches; every row has its own agenda."""
         width = max(map(len, words))
         codes = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -124,9 +152,9 @@ class Codec:
             r, at, to = row[has], ahead[has], left[has]
             cost[r, at], made[r, at] = self._pairs(symbol[r, at], symbol[r, to])
         kept = symbol >= 0
-        flat = symbol[kept].tolist()
-        ends = np.cumsum(kept.sum(1)).tolist()
-        out = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        flat = symbol[kept].tobytes()
+        ends = (4 * np.cumsum(kept.sum(1))).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends)]
         for k in foreign.any(1).nonzero()[0].tolist():
             ids: list[int] = []
             for i, char, none in zip(symbol[k].tolist(), words[k], foreign[k].tolist()):
@@ -134,7 +162,7 @@ class Codec:
                     self._spell(char, ids)
                 elif i >= 0:
                     ids.append(i)
-            out[k] = tuple(ids)
+            out[k] = _packed(ids)
         return out
 
     def _spell(self, symbol: str, out: list[int]) -> None:
@@ -144,8 +172,8 @@ class Codec:
         elif not (out and out[-1] == self.unknown):
             out.append(self.unknown)  # neighbours without a piece are one unknown
 
-    def ids_of(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of normalised words."""
+    def ids_of(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of stretches of normalised texts, as int32."""
         # An array of texts does not tell trailing zeros from none.
         out = {w: self.agenda(w) for w in words if len(w) > LONGEST_ROW or "\0" in w}
         side = sorted([w for w in words if w not in out], key=len)  # rows of like length
@@ -154,8 +182,8 @@ class Codec:
             out.update(zip(some, self.rows(some)))
         return out
 
-    def agenda(self, text: str) -> tuple[int, ...]:
-        """Ids of a normalised stretch of text."""
+    def agenda(self, text: str) -> bytes:
+        """Ids of a normalised stretch of text, as int32."""
         get, symbols, n = self.cost.get, list(text), len(text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         pairs = []
@@ -188,52 +216,136 @@ class Codec:
                 out.append(self.ids[symbol])
             else:
                 self._spell(symbol, out)
-        return tuple(out)
+        return _packed(out)
 
     def words(self, text: str) -> list[str]:
-        """The stretches of a normalised text that no merge leaves."""
+        """The words of a normalised text, plainly: no merge leaves them."""
         plain = text[:1] == SPACE != text[-1:] and SPACE * 2 not in text
         if plain and not self.crossing:  # single marks, each in front of a word
             return [SPACE + w for w in text[1:].split(SPACE)]
         return self.word.findall(text)
 
-    def learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of words, compared with the library in one call where they can be."""
-        made = self.ids_of(words)
-        # Only words that the library can be given alone: it puts a space mark in front.
-        marked = [w for w in words if w[0] == SPACE]
-        plain = [w[1:].replace(SPACE, " ") for w in marked]
-        alone = {w: p for w, p, q in zip(marked, plain, self.normal(plain)) if w == q}
-        found = self.model.encode(list(alone.values()), num_threads=1)
-        if [made[w] for w in alone] != list(map(tuple, found)):
-            w, ids = next((w, ids) for w, ids in zip(alone, found) if made[w] != tuple(ids))
-            raise ValueError(f"agenda and library differ on {w!r}: {made[w]}, {ids}")
-        if len(alone) < len(made):
-            made |= {w: Unchecked(ids) for w, ids in made.items() if w not in alone}
-        return made
+    def stretches(self, texts: list[str]) -> Stretches:
+        """Cuts normalised texts where no merge crosses."""
+        whole = "".join(texts)
+        codes = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)
+        text = np.cumsum([0, *map(len, texts)])
+        first = text[:-1][text[:-1] < text[1:]]
+        cut = np.ones(len(codes), dtype=bool)
+        cut[1:] = ~self.inside[_pair_place(codes[:-1], codes[1:])]
+        word = np.zeros(len(codes), dtype=bool)
+        if not self.crossing:
+            mark = codes == ord(SPACE)
+            word[1:] = mark[1:] & ~mark[:-1]
+            cut |= word
+        if not self.bytes:  # neighbours without a piece are one unknown
+            foreign = self.symbol[codes] < 0
+            cut[1:] &= ~(foreign[1:] & foreign[:-1])
+            word &= cut
+        cut[first] = word[first] = True
+        start = np.append(np.flatnonzero(cut), len(codes))
+        data = np.frombuffer(whole.encode(), dtype=np.uint8)
+        byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # of each symbol
+        names = pa.LargeStringArray.from_buffers(
+            len(start) - 1, pa.py_buffer(byte[start]), pa.py_buffer(data)
+        ).dictionary_encode()
+        word = np.append(np.flatnonzero(word[start[:-1]]), len(start) - 1)
+        name = names.indices.to_numpy()
+        return Stretches(whole, start, names.dictionary, name, word, np.searchsorted(start, text))
+
+    def coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, where those of each text begin and the end)."""
+        cut = self.stretches(self.normal(texts))
+        names, new = cut.names.to_numpy(zero_copy_only=False).tolist(), set()
+
+        def learn(unknown: list[str]) -> dict[str, bytes]:
+            new.update(unknown)
+            return self.ids_of(unknown)
+
+        ids = self.known.values(names, learn)
+        flat = np.frombuffer(b"".join(ids), dtype=np.int32)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        count = sizes[cut.name]
+        at = np.zeros(len(count) + 1, dtype=np.int64)
+        np.cumsum(count, out=at[1:])
+        begin = (np.cumsum(sizes) - sizes)[cut.name] - at[:-1]
+        flat = flat[np.repeat(begin, count) + np.arange(at[-1])]
+        unchecked = new
+        try:
+            fresh = np.array([k for k, n in enumerate(names) if n in new], dtype=np.int64)
+            left = self.check(texts, cut, flat, at, fresh)
+            unchecked = [names[k] for k in left]
+        finally:
+            self.known.forget(unchecked)
+        return flat, at[cut.text]
+
+    def check(
+        self, texts: list[str], cut: Stretches, flat: np.ndarray, at: np.ndarray, new: np.ndarray
+    ) -> np.ndarray:
+        """Compares the ids of a word around each of the ``new`` stretches with the library's.
+
+        ``at`` tells where the ids of each stretch begin.  Returns the stretches for which
+        whole texts were compared instead.
+        """
+        place = np.zeros(len(cut.names), dtype=np.int64)
+        place[cut.name[::-1]] = np.arange(len(cut.name))[::-1]  # where each stands first
+        around = np.searchsorted(cut.word, place[new], side="right") - 1
+        some = np.unique(around)
+        a, b = cut.word[some], cut.word[some + 1]
+        words = [cut.whole[i:j] for i, j in zip(cut.start[a].tolist(), cut.start[b].tolist())]
+        made = [flat[i:j] for i, j in zip(at[a].tolist(), at[b].tolist())]
+        alone = self._check_words(words, made)
+        left = new[~alone[np.searchsorted(some, around)]]
+        if len(left):
+            held = np.flatnonzero(np.isin(cut.name, left))
+            held = np.unique(np.searchsorted(cut.text, held, side="right") - 1).tolist()
+            whole = self.model.encode([texts[k] for k in held], num_threads=1)
+            for k, ids in zip(held, whole):
+                made = flat[at[cut.text[k]] : at[cut.text[k + 1]]].tolist()
+                if made != ids:
+                    raise ValueError(f"agenda and library differ on a text: {made}, {ids}")
+        return left
+
+    def _check_words(self, words: list[str], made: list[np.ndarray]) -> np.ndarray:
+        """Compares the words that the library can be given, and tells which these are."""
+        given = np.zeros(len(words), dtype=bool)
+
+        def compare(groups: list[list[int]]) -> None:
+            joined = ["".join([words[k] for k in group]) for group in groups]
+            plain = [w[1:].replace(SPACE, " ") for w in joined]  # it puts a mark in front
+            whole = [i for i, q in enumerate(self.normal(plain)) if q == joined[i]]
+            found = self.model.encode([plain[i] for i in whole], num_threads=1)
+            for i, ids in zip(whole, found):
+                ours = np.concatenate([made[k] for k in groups[i]]).tolist()
+                if ours != ids:
+                    raise ValueError(f"agenda and library differ on {joined[i]!r}: {ours}, {ids}")
+                given[groups[i]] = True
+
+        if not self.crossing and SPACE in self.ids:  # words side by side stay apart
+            some = [k for k, w in enumerate(words) if w[0] == SPACE != w[-1]]
+            compare([some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)])
+        compare([[k] for k in np.flatnonzero(~given).tolist() if words[k][0] == SPACE])
+        return given
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        split = [self.words(t) for t in self.normal(texts)]
-        known = self.known.hold(set().union(*split), self.learn)
-        out = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
-        unchecked = {w for w, ids in known.items() if type(ids) is Unchecked}
-        if unchecked:
-            at = [k for k, words in enumerate(split) if not unchecked.isdisjoint(words)]
-            whole = self.model.encode([texts[k] for k in at], num_threads=1)
-            for k, ids in zip(at, whole):
-                if out[k] != ids:
-                    raise ValueError(f"agenda and library differ on a text: {out[k]}, {ids}")
-        return out
+        return list(_lists(*self.coded(texts)))
 
-    def digest(self, ids: list[int]) -> str:
-        """SHA-256 of the decimal ids joined by commas."""
-        return hashlib.sha256(",".join([self.decimal[i] for i in ids]).encode()).hexdigest()
+    def digests(self, flat: np.ndarray, begin: np.ndarray) -> list[str]:
+        """SHA-256 of the decimal ids of each text joined by commas."""
+        decimal = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), self.decimal.take(flat))
+        joined = pa.compute.binary_join(decimal, pa.scalar(",", pa.large_string()))
+        return [hashlib.sha256(x.as_buffer()).hexdigest() for x in joined]
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids) if ids else ""
 
 
+def _lists(flat: np.ndarray, begin: np.ndarray) -> Iterator[list[int]]:
+    begin = begin.tolist()
+    return (flat[a:b].tolist() for a, b in zip(begin, begin[1:]))
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -261,14 +373,14 @@ def encode_decode(
         tool = codec(path)
         for batch in batches:
             for part in pieces(batch, text_col):
-                coded = tool.encode([t or "" for t in part.column(text_col).to_pylist()])
+                flat, at = tool.coded([t or "" for t in part.column(text_col).to_pylist()])
                 columns = [
-                    pa.array([len(ids) for ids in coded], pa.int64()),
-                    pa.array([tool.digest(ids) for ids in coded], pa.string()),
-                    pa.array([tool.decode(ids) for ids in coded], pa.string()),
+                    pa.array(np.diff(at), pa.int64()),
+                    pa.array(tool.digests(flat, at), pa.string()),
+                    pa.array([tool.decode(ids) for ids in _lists(flat, at)], pa.string()),
                 ]
                 if with_ids:
-                    columns.append(pa.array(coded, pa.list_(pa.int32())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep] + columns,
                     names=[*keep, *own],

@@ -149,3 +149,90 @@ def test_words_of_plain_and_other_texts():
     tool = piece_codec.Codec(MODEL)
     for text in ["", "▁", "▁a", "▁a▁b", "▁a▁", "▁a▁▁b", "a▁b", "▁▁a", "a\n▁b\x00", "▁a▁b▁▁"]:
         assert tool.words(text) == tool.word.findall(text)
+
+
+def tiny(tmp_path, lines, **options):
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines * 50), model_prefix=str(tmp_path / "m"), model_type="bpe",
+        hard_vocab_limit=False, minloglevel=2, **{"vocab_size": 60, **options},
+    )
+    return piece_codec.Codec(str(tmp_path / "m.model"))
+
+
+def test_words_are_cut_where_no_piece_holds_both_symbols(monkeypatch):
+    tool = piece_codec.Codec(MODEL)
+    beside = {p[i : i + 2] for p in tool.ids for i in range(len(p) - 1)}
+    assert "y." not in beside and "a$" not in beside and "nd" in beside
+    asked, ids_of = [], tool.ids_of
+    monkeypatch.setattr(tool, "ids_of", lambda words: asked.extend(words) or ids_of(words))
+    for part in (["really and"], ["really. and$$$ really"], ["", "and$$$and. really"]):
+        assert tool.encode(part) == tool.model.encode(part)
+    assert "▁really" in asked and "▁and" in asked
+    assert len(asked) == len(set(asked)) and not any(w.startswith("▁really.") for w in asked)
+
+
+@pytest.mark.parametrize("bits", [18, 2])
+def test_cuts_keep_texts_and_words(monkeypatch, bits):
+    monkeypatch.setattr(piece_codec, "PAIR_BITS", bits)  # few places: hardly a cut inside words
+    tool = piece_codec.Codec(MODEL)
+    for many in (tool.normal(texts(300, 8)), ["", "▁", "a▁b", "", "▁▁a▁", "b", ""], [""], []):
+        cut = tool.stretches(many)
+        names = cut.names.to_pylist()
+        parts = [names[k] for k in cut.name]
+
+        def split(at):
+            return [parts[a:b] for a, b in zip(at, at[1:])]
+
+        assert ["".join(x) for x in split(cut.text.tolist())] == many
+        words = [w for t in many for w in tool.words(t)]
+        assert ["".join(x) for x in split(cut.word.tolist())] == words
+        assert [cut.whole[a:b] for a, b in zip(cut.start, cut.start[1:])] == parts
+        inner = {w[a + len(x) - 1 : a + len(x) + 1] for w, row in zip(words, split(cut.word.tolist()))
+                 for a, x in zip([sum(map(len, row[:i])) for i in range(len(row))], row[:-1])}
+        assert not any(pair in p for pair in inner for p in tool.ids)
+    many = texts(300, 9)
+    assert tool.encode(many) == tool.model.encode(many)
+    assert tool.encode([""]) == [[]] and tool.encode([]) == []
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {},
+        {"split_by_whitespace": False},
+        {"byte_fallback": True, "vocab_size": 320},
+        {"remove_extra_whitespaces": False},
+        {"add_dummy_prefix": False, "remove_extra_whitespaces": False},
+    ],
+)
+def test_other_models_give_the_librarys_ids(tmp_path, options):
+    lines = ["the reality of undecided merges and berries", "of the  and of the"]
+    tool = tiny(tmp_path, lines, **options)
+    many = texts(300, 10) + [
+        "of the", "the of the", "ↀↀ ↀ", "aↀ ↀb", "the  of", " the", "the ", "日本ↀ", "ↀ日 日ↀ",
+    ]
+    for _ in range(2):  # unknown stretches, then known ones
+        assert tool.encode(many) == tool.model.encode(many)
+
+
+def test_a_stretch_that_failed_its_check_stays_unknown():
+    tool = piece_codec.Codec(MODEL)
+    right = tool.cost, tool.price
+    tool.cost, tool.price = {p: -c for p, c in tool.cost.items()}, -tool.price
+    for _ in range(2):  # a second try in the same worker is compared again
+        with pytest.raises(ValueError, match="differ"):
+            tool.encode(["the reality of undecided merges"])
+    tool.cost, tool.price = right
+    assert tool.encode(["the reality"]) == tool.model.encode(["the reality"])
+
+
+def test_digests_of_many_and_no_ids():
+    import hashlib
+
+    tool = piece_codec.Codec(MODEL)
+    many = ["", "one two", "", "three", "😀"]
+    want = [
+        hashlib.sha256(",".join(map(str, tool.model.encode(t))).encode()).hexdigest() for t in many
+    ]
+    assert tool.digests(*tool.coded(many)) == want
+    assert tool.digests(*tool.coded([])) == []
