@@ -59,6 +59,19 @@ def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def giving_back(run: Callable) -> Callable:
+    """``run`` over Arrow batches; behind a task, what Arrow holds unused goes to the system.
+
+    Workers live on in later stages, which may need the memory themselves.
+    """
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every end of ``links(a, b)``; component is the smallest node.
 

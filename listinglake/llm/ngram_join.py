@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglake.llm.common import (
-    components, mark_table, marked, more, settle, table,
+    components, giving_back, mark_table, marked, more, settle, table,
 )
 from listinglake.llm.wordhash import mix, pieces, shingle_sets
 
@@ -56,6 +56,8 @@ COUNT_SLICES = 64
 # Regions expected to hold more rows than this are dealt to several tasks.
 REGION_ROWS = 1 << 16
 RANK_BITS = 26  # 67 million shingles a text
+# Bytes of text looked at together; the arrays take some fifty times that.
+PIECE = 1 << 18
 # Regions of so many points keep them all: pairs of a group are found by its centre there.
 CENTRED = 12
 # Rows of a region that are looked at together; larger ones go on as they are.
@@ -84,7 +86,7 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
     def profile(batches):
         counts = np.zeros(1 << COUNT_BITS, dtype=np.uint32)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 sets = shingle_sets(part.column("text"), k)
                 if sets:
                     at, times = np.unique(_counter_of(np.concatenate(sets)), return_counts=True)
@@ -114,7 +116,7 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
         )
 
     return docs.mapInArrow(
-        profile, "id long, text_hash long, n long, key long, key2 long, slice int, counts binary"
+        giving_back(profile), "id long, text_hash long, n long, key long, key2 long, slice int, counts binary"
     )
 
 
@@ -178,7 +180,7 @@ def _regions(
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
             batch = batch.filter(pa.array(marked(named.value, ids)))
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 out = [[], [], []]
                 for shingles in shingle_sets(part.column("text"), k):
                     n = len(shingles)
@@ -187,7 +189,7 @@ def _regions(
                     key = _key(shingles)[0]
                     if key in seen:
                         continue
-                    if len(seen) >= 200_000:  # only saves work: equal rows go below
+                    if len(seen) >= 50_000:  # only saves work: equal rows go below
                         seen.clear()
                     seen.add(key)
                     rarity = counts[_counter_of(shingles)].astype(np.int64)
@@ -265,7 +267,7 @@ def _regions(
     return (
         docs.where("id is not null")
         .select("id", "text")
-        .mapInArrow(place, schema)
+        .mapInArrow(giving_back(place), schema)
         .repartition("pivot", F.shiftright("at", 2 * RANK_BITS))
         .sortWithinPartitions("pivot", "key")
         .mapInArrow(shared, schema)
@@ -296,29 +298,55 @@ def may_meet(group: np.ndarray, n: np.ndarray, rank: np.ndarray, percent: int) -
     return met - (most >= n) > 0
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(key, set) of the points in ``wanted`` (id, key), from the documents ``id``."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(mark_table(wanted, "id"))
+def _sets(
+    docs: DataFrame, points: DataFrame, pairs: DataFrame, k: int, kind: type = np.uint64
+) -> DataFrame:
+    """(key, set) of the points in ``pairs``; each set as the upper bits of its shingles.
+
+    The sets are made anew, for the points of the pairs only: writing those of all
+    documents would take more disk than the texts do.  The set of a text that stands in
+    the table once has no second row anywhere and is written where it is made; only those
+    of texts with copies are dealt out by key, to keep one of each.  A row too many, by
+    collisions in the tables of bits, meets no pair.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    wanted = settle(points.join(ends, "key", "left_semi"), "wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(
+        [
+            mark_table(wanted, "id"),
+            mark_table(wanted, "key"),
+            mark_table(wanted.where("copied"), "key"),
+        ]
+    )
+    shift = np.uint64(64 - 8 * np.dtype(kind).itemsize)
 
     def sets(batches):
+        by_id, by_key, copied = bits.value
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            batch = batch.filter(pa.array(marked(bits.value, ids)))
-            for part in pieces(batch, "text"):
+            batch = batch.filter(pa.array(marked(by_id, ids)))
+            for part in pieces(batch, "text", PIECE):
                 found = shingle_sets(part.column("text"), k)
+                keys = np.array([_key(s)[0] if len(s) else 0 for s in found], dtype=np.int64)
+                there = marked(by_key, keys) & np.array([len(s) > 0 for s in found])
+                found = [s for s, yes in zip(found, there.tolist()) if yes]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"),
-                        pa.array([_key(s)[0] if len(s) else None for s in found], pa.int64()),
-                        pa.array([s.tobytes() for s in found], pa.binary()),
+                        part.column("id").filter(pa.array(there)),
+                        pa.array(keys[there]),
+                        pa.array([(s >> shift).astype(kind).tobytes() for s in found], pa.binary()),
+                        pa.array(marked(copied, keys[there])),
                     ],
-                    names=["id", "key", "set"],
+                    names=["id", "key", "set", "copied"],
                 )
 
-    made = docs.where("id is not null").mapInArrow(sets, "id long, key long, set binary")
-    made = made.join(wanted, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
-    return settle(made.drop("id"), "sets")
+    made = docs.where("id is not null").mapInArrow(
+        giving_back(sets), "id long, key long, set binary, copied boolean"
+    )
+    made = settle(made, "made")
+    one = made.where("copied").drop("copied").join(wanted, ["id", "key"], "left_semi")
+    one = settle(one.dropDuplicates(["id", "key"]).select("key", "set"), "sets")
+    return made.where("not copied").select("key", "set").union(one)
 
 
 def _common(left: list[bytes], right: list[bytes], kind) -> list[int]:
@@ -354,7 +382,7 @@ def _with_common(pairs: DataFrame, sets: DataFrame, kind) -> DataFrame:
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
     both = both.select("a", "b", *rest, "set_a", "set_b")
-    return both.mapInArrow(count, more(both.select("a", "b", *rest).schema, "common long"))
+    return both.mapInArrow(giving_back(count), more(both.select("a", "b", *rest).schema, "common long"))
 
 
 def _measure(
@@ -362,31 +390,16 @@ def _measure(
 ) -> DataFrame:
     """``pairs`` (a, b, na, nb) with ``common``, the size of the intersection.
 
-    The sets are made anew, for the points of the pairs only: writing those of all
-    documents would take more disk than the texts do.  With ``percent``, pairs that cannot
-    be linked are left out first, by 16 bits of every shingle: equal shingles have equal
-    bits, so these have in common at least as much as the sets.
+    With ``percent``, pairs that cannot be linked are left out first, by 16 bits of every
+    shingle: equal shingles have equal bits, so these have in common at least as much as
+    the sets.  Whole sets are made for the pairs that are left.
     """
     pairs = settle(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(docs, points.join(ends, "key", "left_semi"), k)
     if percent is not None:
-
-        def shorten(batches):
-            for batch in batches:
-                short = [
-                    np.sort((np.frombuffer(s, np.uint64) >> np.uint64(48)).astype(np.uint16))
-                    for s in batch.column("set").to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array([s.tobytes() for s in short], pa.binary())],
-                    names=["key", "set"],
-                )
-
-        short = sets.select("key", "set").mapInArrow(shorten, "key long, set binary")
+        short = _sets(docs, points, pairs, k, np.uint16)
         pairs = _with_common(pairs, short, np.uint16).where(_linked(percent)).drop("common")
         pairs = settle(pairs, "likely")
-    return _with_common(pairs, sets, np.uint64)
+    return _with_common(pairs, _sets(docs, points, pairs, k), np.uint64)
 
 
 def _linked(percent: int) -> Column:
@@ -451,21 +464,20 @@ def jaccard_components(
     points = (
         members.where("id is not null and key is not null")
         .groupBy("key", "key2")
-        .agg(F.min("id").alias("id"))
+        .agg(F.min("id").alias("id"), (F.count(F.lit(1)) > 1).alias("copied"))
     )
-    points = settle(points.select("id", "key"), "points")
+    points = settle(points.select("id", "key", "copied"), "points")
     regions = settle(_regions(rows, points, _shingle_counts(profile), shingle, percent), "regions")
-    placed = regions.select("key").distinct()
 
     links = tried = None
-    home = placed.withColumn("home", F.col("key"))
+    here = regions.withColumn("home", F.col("key"))
     for level in range(levels):
         # Per region, the most central text of each part: few rarer shingles before the
         # region's.  The pivot is the most central of all, then that of a part outside.
-        here = regions.join(home, "key")
-        central = F.min(F.struct(F.expr("rank / n").alias("off"), "key", "n", "rank"))
-        parts = here.groupBy("pivot", "home").agg(central.alias("p"))
+        parts = here.withColumn("p", F.struct(F.expr("rank / n").alias("off"), "key", "n", "rank"))
         pick = F.min if level % 2 == 0 else F.max
+        if pick is F.max:  # the least of all needs no least of each part
+            parts = parts.groupBy("pivot", "home").agg(F.min("p").alias("p"))
         centre = (
             parts.groupBy("pivot")
             .agg(
@@ -502,9 +514,8 @@ def jaccard_components(
         tried = step if tried is None else tried.union(step)
         new = found.where(_linked(percent)).select("a", "b")
         links = new if links is None else links.union(new)
-        home = _homes(placed, links)
+        here = _at_home(regions, links)
 
-    here = regions.join(home, "key")
     mixed = (
         here.groupBy("pivot")
         .agg(F.min("home").alias("low"), F.max("home").alias("high"))
@@ -553,13 +564,11 @@ def jaccard_components(
     )
 
 
-def _homes(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, home) for all keys: the component under ``links``, or the key itself."""
+def _at_home(regions: DataFrame, links: DataFrame) -> DataFrame:
+    """``regions`` with ``home``: the key's component under ``links``, or the key itself."""
     found = components(links).select(F.col("node").alias("key"), F.col("component").alias("home"))
-    return settle(
-        keys.join(found, "key", "left").select("key", F.coalesce("home", "key").alias("home")),
-        "homes",
-    )
+    here = regions.join(settle(found, "homes"), "key", "left")
+    return here.withColumn("home", F.coalesce("home", "key"))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,3 +106,29 @@ def test_large_regions_are_not_held(spark, monkeypatch):
     start = prose(rng, 12, 10**6)
     rows = [(i, f"{start} {prose(rng, rng.randrange(1, 6), 30)}") for i in range(60)]
     assert as_set(components(frame(spark, rows)).collect()) == as_set(plain(rows))
+
+
+def test_sets_of_texts_without_copies_are_not_shuffled(spark, monkeypatch):
+    plans = {}
+    settle = ngram_join.settle
+
+    def kept(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, name, **options)
+
+    monkeypatch.setattr(ngram_join, "settle", kept)
+    rng = random.Random(5)
+    texts = [prose(rng, 30, 10**6) for _ in range(4)]
+    # 3 stands there twice, 7 and 8 are copies, 9 repeats an id with another text.
+    rows = [(1, texts[0]), (3, texts[1]), (3, texts[1]), (7, texts[2]), (8, texts[2]), (9, texts[3]), (9, texts[0] + " z")]
+    docs = frame(spark, rows).selectExpr("doc_id as id", "text", "xxhash64(text) as text_hash")
+    members = ngram_join._profile(docs, 5).where("slice is null")
+    points = members.groupBy("key").agg(
+        F.min("id").alias("id"), (F.count(F.lit(1)) > 1).alias("copied"), F.min("n").alias("n")
+    ).localCheckpoint()
+    keys = [(r["key"], r["n"]) for r in points.collect()]
+    pairs = spark.createDataFrame([(keys[0][0], k) for k, _ in keys[1:]], "a long, b long")
+    for kind in (np.uint64, np.uint16):
+        got = ngram_join._sets(docs, points.drop("n"), pairs, 5, kind).collect()
+        assert sorted((r["key"], len(np.frombuffer(r["set"], kind))) for r in got) == sorted(keys)
+        assert "Exchange" not in plans["made"] and "Exchange" in plans["sets"]
