@@ -38,11 +38,12 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from listinglake.llm.common import Recent, more, table
+from listinglake.llm.common import Recent, giving_back, more, table
 from listinglake.llm.wordhash import pieces
 
 SPACE = "▁"
 KNOWN_WORDS = 600_000  # stretches kept per worker and generation, see Recent
+FEWER_WORDS = 150_000  # the same for a job that shares its memory with others
 PAIR_BITS = 18  # of the table of pairs that stand in pieces, a byte each
 # Stretches of up to so many symbols are merged side by side, so many rows at once.
 LONGEST_ROW = 32
@@ -74,7 +75,7 @@ def _packed(ids: list[int]) -> bytes:
 class Codec:
     """The model at ``path``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -91,7 +92,7 @@ class Codec:
         self.decimal = pa.array([str(i) for i in range(count)], pa.large_string())
         self.crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.word = regex.compile(r"(?s).+" if self.crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.known = Recent(KNOWN_WORDS)
+        self.known = Recent(known_words)
         # All pairs of pieces that make a piece: left * count + right, sorted.
         pairs = sorted(
             (self.ids[p[:i]] * count + self.ids[p[i:]], i_, self.cost[p])
@@ -360,8 +361,8 @@ def encode_decode(
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` (if asked for), ``ids_sha256`` and ``decoded_text``.
 
-    Without ``keep_words`` a worker forgets its words behind each task, which leaves its
-    memory to the job that uses it next.
+    Without ``keep_words`` a task has tables and words of its own, fewer of the latter, and
+    leaves the worker's memory to the job that uses it next.
     """
     own = ["n_tokens", "ids_sha256", "decoded_text"] + ["ids"] * with_ids
     base = docs.drop(*own)
@@ -370,7 +371,7 @@ def encode_decode(
     schema = more(base.schema, columns + ", ids array<int>" * with_ids)
 
     def run(batches):
-        tool = codec(path)
+        tool = codec(path) if keep_words else Codec(path, FEWER_WORDS)
         for batch in batches:
             for part in pieces(batch, text_col):
                 flat, at = tool.coded([t or "" for t in part.column(text_col).to_pylist()])
@@ -385,10 +386,8 @@ def encode_decode(
                     [part.column(c) for c in keep] + columns,
                     names=[*keep, *own],
                 )
-        if not keep_words:
-            tool.known = Recent(KNOWN_WORDS)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(giving_back(run), schema)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import mark_table, marked, more, settle, table, unused
+from listinglake.llm.common import giving_back, mark_table, marked, more, settle, table, unused
 from listinglake.llm.wordhash import (
     pieces, span_hashes, window_hashes, word_hashes, words_of,
 )
 
 WINDOW = 50
 SHORT_RUN = 16  # words under a minimizer; any window covers WINDOW - SHORT_RUN + 1 of them
+PIECE = 1 << 19  # bytes of text looked at together
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -91,7 +92,7 @@ def repeated_spans(
 
     def minimizers(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 hashes, _, (text, start, count, least) = _paths(
                     part.column("text"), window, short_run
                 )
@@ -108,7 +109,7 @@ def repeated_spans(
 
     met = (
         rows.select("id", "text")
-        .mapInArrow(minimizers, "m long, piece long, id long")
+        .mapInArrow(giving_back(minimizers), "m long, piece long, id long")
         .groupBy("m")
         .agg(
             F.min("id").alias("a"), F.max("id").alias("b"),
@@ -125,7 +126,7 @@ def repeated_spans(
     def edges(batches):
         repeated, branching = bits.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 hashes, first, (text, start, count, least) = _paths(
                     part.column("text"), window, short_run
                 )
@@ -152,7 +153,7 @@ def repeated_spans(
                 )
 
     found = rows.mapInArrow(
-        edges, "h1 long, h2 long, id long, print long, start int, windows int"
+        giving_back(edges), "h1 long, h2 long, id long, print long, start int, windows int"
     )
     found = settle(found, "edges")
     source = (

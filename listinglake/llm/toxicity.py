@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglake.llm.common import Recent, more, settle, table
+from listinglake.llm.common import Recent, giving_back, more, settle, table
 from listinglake.llm.wordhash import pieces
 
 MAX_EXAMPLES = 8192
@@ -277,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], Index]:
             [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["term", "n"]
         )
 
-    found = docs.select("text").mapInArrow(frequencies, "term int, n long")
+    found = docs.select("text").mapInArrow(giving_back(frequencies), "term int, n long")
     frequency = np.zeros(len(vocabulary) + 1)
     for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect():
         frequency[r["term"]] = r["n"]
@@ -380,7 +380,7 @@ def score_documents(
                     names=[*keep, *own],
                 )
 
-    return base.mapInArrow(run, more(base.schema, columns))
+    return base.mapInArrow(giving_back(run), more(base.schema, columns))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from listinglake.llm import piece_codec, token_counts
+from listinglake.llm import common, piece_codec, token_counts
 from llm_cases import corpus, frame
 
 JSON = public_tokenizers.path("word_bpe_49k.json")
@@ -236,3 +236,27 @@ def test_digests_of_many_and_no_ids():
     ]
     assert tool.digests(*tool.coded(many)) == want
     assert tool.digests(*tool.coded([])) == []
+
+
+def test_a_codec_of_fewer_words_keeps_no_more_and_codes_the_same():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [f"word{i} and another{i * 7}, {i * i}" for i in range(400)]
+    few, many = piece_codec.Codec(path, 50), piece_codec.Codec(path)
+    for i in range(0, len(texts), 20):
+        part = texts[i : i + 20]
+        assert few.encode(part) == many.encode(part)
+    # A generation holds one slice at least, and two are kept.
+    assert len(few.known.young) + len(few.known.old) < 300 < len(many.known.young)
+
+
+def test_arrow_memory_goes_back_behind_a_task(monkeypatch):
+    said = []
+
+    class Pool:
+        def release_unused(self):
+            said.append("back")
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    for x in common.giving_back(lambda batches: (2 * b for b in batches))([1, 2]):
+        said.append(x)
+    assert said == [2, 4, "back"]
