@@ -131,4 +131,4 @@ def test_sets_of_texts_without_copies_are_not_shuffled(spark, monkeypatch):
     for kind in (np.uint64, np.uint16):
         got = ngram_join._sets(docs, points.drop("n"), pairs, 5, kind).collect()
         assert sorted((r["key"], len(np.frombuffer(r["set"], kind))) for r in got) == sorted(keys)
-        assert "Exchange" not in plans["made"] and "Exchange" in plans["sets"]
+        assert "hashpartitioning" not in plans["made"] and "hashpartitioning" in plans["sets"]
