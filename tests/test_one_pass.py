@@ -126,6 +126,52 @@ def test_health_parses_the_details_it_may_need_only(spark, tmp_path):
     assert left(fv.CAROLINADESIGNS, "x") == ["1", "2", "3", "5"]  # not digits: all are parsed
 
 
+def test_health_compares_whole_ids_before_it_parses(spark):
+    def page(n, **other):
+        return json.dumps({"Propid": n, "NumBedrooms": "7", "MinPrice": 7, **other})
+
+    bodies = {
+        "text": page("7"), "number": page(7), "single": "{'Propid' : '7'}", "longer": page("17"),
+        "inner": page("1", Sidebar=[{"Propid": "7"}]), "elsewhere": page("8", CanonicalUrl="https://c/7"),
+        "escaped": '{"Prop\\u0069d": "7"}',
+    }
+    homes = {
+        "item": '<p>7</p><script>{"item_id" : "7"}</script>', "eid": '{"eid": 7, "n": 9}',
+        "other": '<p>7</p>{"item_id": "8", "eid": 7}', "longer": '{"item_id": "17"}', "7": "<p>gone</p>",
+    }
+    rows = [row(fv.CAROLINADESIGNS, "details", body, entity=name) for name, body in bodies.items()]
+    rows += [row(fv.SUNREALTY, "details", body, entity=name) for name, body in homes.items()]
+    landing = spark.createDataFrame(rows, schemas.RESPONSES).withColumn("chosen", F.lit(True))
+    wanted = spark.createDataFrame([("7",)], "id string")
+
+    def left(source):
+        return {r["entity_id"] for r in health._details_of(landing, source, wanted).collect()}
+
+    assert left(fv.CAROLINADESIGNS) == {"text", "number", "single", "inner", "escaped"}
+    assert left(fv.SUNREALTY) == {"item", "eid", "7"}
+
+
+def test_landed_bodies_are_packed(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from listinglake.workload import health as job
+
+    def searches(spark, sf):
+        rows = [row(fv.TWIDDY, "search", twiddy_search((n, "Home", "3 beds")), n) for n in range(3)]
+        return spark.createDataFrame(rows, schemas.RESPONSES)
+
+    monkeypatch.setattr(job, "SEARCHES", {fv.TWIDDY: searches})
+    monkeypatch.setattr(job, "DETAILS", {})
+    monkeypatch.setattr(job, "checkpoint_dir", lambda spark: str(tmp_path))
+    landing = job.landed(spark, "")
+    # Page 0 becomes the last one.
+    assert {(r["page"], r["body"]) for r in landing.collect()} == {
+        (n or 2**31 - 1, twiddy_search((n, "Home", "3 beds"))) for n in range(3)}
+    files = list(tmp_path.rglob("*.parquet"))
+    body = pq.ParquetFile(files[0]).metadata.row_group(0).to_dict()["columns"]
+    assert files and {c["compression"] for c in body} == {"ZSTD"}
+
+
 def plain(rows):
     seen, out = set(), []
     for page, pos, key, at in sorted(rows):
