@@ -298,3 +298,103 @@ def test_bodies_of_failed_fetches_are_not_parsed(landed):
     assert re.search(r"from_json\([^\n]*CASE WHEN coalesce\(\(\(http_status", _plan(tables.rows))
     assert [r["listing_id"] for r in tables.rows.collect()] == [7]
     assert [r["drift"] for r in tables.quarantine.collect()] == ["HTTP status 503"]
+
+
+def stay_page(data):
+    state = json.dumps({"niobeClientData": [["k", {"data": data}]]})
+    return (
+        "<html><script>var x = 1;</script>"
+        f'<script id="data-deferred-state-0" type="a">{state}</script><p>x</p><script>y</script></html>'
+    )
+
+
+def odd_stays():
+    """Pages whose fields have other types than they should, or come twice."""
+    rng = random.Random(7)
+    photos = [{"baseUrl": "https://1"}, {"baseUrl": ""}, {"baseUrl": 5}, "x", None, {"baseUrl": {"a": 1}}]
+    values = [
+        "x", 5, 1.5, None, True, [], {}, [1, {"title": "t"}], {"title": ["t"]}, [[{"amenities": 3}]],
+        [{"amenities": [{"title": "Wifi", "available": "no"}, {"title": "TV", "available": True}]}],
+    ]
+    names = ["title", "lat", "seeAllAmenitiesGroups", "cardData", "ratings", "houseRules", "overallRating"]
+    for n in range(120):
+        sections = []
+        for kind in rng.sample(["HERO_DEFAULT", "HERO_DEFAULT", "AMENITIES_DEFAULT", "LOCATION_DEFAULT", "", None, 7], 5):
+            section = {name: rng.choice(values) for name in rng.sample(names, 4)}
+            if kind == "HERO_DEFAULT":
+                items = list(section.items()) + [("previewImages", rng.choice([rng.sample(photos, 3), rng.choice(values)]))]
+                rng.shuffle(items)
+                section = dict(items)
+            sections.append({"sectionId": kind, "section": rng.choice([section, section, section, "x", [section], None])})
+        stops = [{"items": [{"image": {"uri": f"https://t{n}"}}, {"image": rng.choice(values)}]}, rng.choice(values)]
+        state = {
+            "presentation": {"stayProductDetailPage": {"sections": {"sections": sections}}},
+            "node": {"pdpPresentation": {"mediaTour": {"stops": rng.choice([stops, None])}}},
+        }
+        if n % 17 == 0:
+            state["presentation"]["stayProductDetailPage"]["sections"]["sections"] = rng.choice([None, "x", []])
+        yield stay_page(state)
+
+
+def test_images_of_stays_are_the_same_without_other_fields(landed):
+    from listinglake.plans.normalize import detail_tables
+
+    pages = [*odd_stays(), "<p>gone</p>", '<script id="data-deferred-state-0">{']
+    given = landed(*[
+        (fv.STAYS, "details", page, {"entity_id": str(n), "http_status": 500 if n == 9 else 200})
+        for n, page in enumerate(pages)
+    ])
+    whole = detail_tables(given, fv.STAYS)
+    lists = ["image_urls", "amenities", "unavailable_amenities"]
+
+    def taken(rows, columns):
+        return sorted((tuple(r) for r in rows.select("listing_id", *columns).collect()), key=repr)
+
+    for columns in (["image_urls"], lists):
+        few = detail_tables(given, fv.STAYS, columns)
+        assert few.rows.columns == ["listing_id", *columns, "page", "pos"]
+        assert taken(few.rows, columns) == taken(whole.rows, columns)
+        assert few.quarantine.count() == whole.quarantine.count() > 2
+    assert sum(len(images) for _, images in taken(whole.rows, ["image_urls"])) > 30
+    assert detail_tables(given, fv.STAYS, ["image_urls", "title"]).rows.columns == whole.rows.columns
+
+
+def test_child_images_parse_no_other_fields(spark, tmp_path):
+    from listinglake.workload import children as job
+
+    orders = "o_orderkey bigint, o_orderpriority string, o_totalprice double, o_orderstatus string"
+    parts = "p_partkey bigint, p_name string, p_retailprice double, p_type string"
+    spark.createDataFrame([(n, "1-URGENT", 2.5, "F") for n in (1, 2, 58, 87)], orders).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(n, "tin bolt", 2.5, "STEEL") for n in (1, 2, 19, 31)], parts).write.parquet(f"{tmp_path}/part.parquet")
+    rows = job.child_images(spark, str(tmp_path))
+    # The bodies are made in the same plan; their schemas do not count.
+    parsed = re.sub(r"StructsToJsonEvaluator\(.*?\)\.evaluate\(", "", _plan(rows))
+    # Of stays, redfin, crexi (assets and brokers), twiddy (calendars), surforsound and sunrealty.
+    for field in ("lat", "agentName", "marketingDescription", "lastName", "weekContent", "formattedRate", "avail"):
+        assert f"StructField({field}," not in parsed, field
+    assert "StructField(previewImages," in parsed
+    got = {(r["source"], r["listing_id"], r["pos"], r["url"]) for r in rows.collect() if r["listing_id"].endswith("2")}
+    assert got == {
+        (fv.STAYS, "2", 0, "https://i/2"), (fv.STAYS, "2", 1, "https://i/a"), (fv.STAYS, "2", 2, "https://i/b2"),
+        (fv.CAROLINADESIGNS, "2", 0, "https://i/2"),
+        (fv.CHURCHREALTY, "hall-for-sale-2", 0, "https://1/2"), (fv.CHURCHREALTY, "hall-for-sale-2", 1, "https://2"),
+        (fv.REDFIN, "2", 0, "https://f/2"), (fv.REDFIN, "2", 1, "https://s/1"),
+        (fv.SUNREALTY, "2", 0, "https://i.rezfusion.com/2"), (fv.SUNREALTY, "2", 1, "https://i.rezfusion.com/z"),
+        (fv.SURFORSOUND, "2", 0, "https://www.surforsound.com/media/2.jpg?w=1"), (fv.SURFORSOUND, "2", 1, "https://x/media/2.jpg"),
+        (fv.TWIDDY, "2", 0, "https://e/2"),
+    }
+
+
+def test_texts_of_attributes_are_read_once_within_bounds(spark, monkeypatch):
+    from listinglake.functions import html
+
+    monkeypatch.setattr(html, "KNOWN_TEXTS", 3)
+    calls = []
+    read = html._NodeTable._read
+    monkeypatch.setattr(html._NodeTable, "_read", lambda self, text: calls.append(text) or read(self, text))
+    table = html._NodeTable(("class", "src"), False)
+    for n in range(50):
+        table.add_page(f"<p class=' a  b '>{n}<img SRC=x{n} alt='class'/></p><b title='src'>t</b>")
+    assert len(table.known) == 3 and calls.count(" class=' a  b '") == 1
+    assert [list(v)[:5] for v in table.values()] == [["a b", None, None, None, None], [None, None, "x0", None, None]]
+    assert table.i[:5] == [0, 1, 2, 3, 4] and table.end[:5] == [3, 2, 3, 5, 5]
